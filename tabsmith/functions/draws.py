@@ -1,0 +1,75 @@
+"""Repeatable pseudo-random draws: a hash of a row id and a column name, never task state.
+
+A lost executor recomputes the same values, and a draw does not depend on
+partitioning.
+"""
+
+from __future__ import annotations
+
+import math
+from collections.abc import Sequence
+
+from pyspark.sql import Column
+from pyspark.sql import functions as F
+
+_MANTISSA = 2**53
+
+
+def uniform(row_id: Column, name: str) -> Column:
+    """A draw in (0, 1) for each row and name."""
+    bits = F.xxhash64(row_id, F.lit(name)).bitwiseAND(F.lit(_MANTISSA - 1))
+    return (bits + F.lit(0.5)) / F.lit(float(_MANTISSA))
+
+
+def uniform_int(row_id: Column, name: str, low: int, high: int) -> Column:
+    """An integer in [low, high)."""
+    return F.floor(uniform(row_id, name) * (high - low)).cast("long") + low
+
+
+def choice(row_id: Column, name: str, options: Sequence) -> Column:
+    """One of `options`, all equally likely."""
+    index = uniform_int(row_id, name, 0, len(options)).cast("int")
+    return F.element_at(F.array(*[F.lit(o) for o in options]), index + 1)
+
+
+def weighted_choice(row_id: Column, name: str, options: Sequence, weights: Sequence[float]) -> Column:
+    u = uniform(row_id, name)
+    total, upto, out = sum(weights), 0.0, None
+    for option, weight in list(zip(options, weights))[:-1]:
+        upto += weight / total
+        out = F.when(u < upto, F.lit(option)) if out is None else out.when(u < upto, F.lit(option))
+    return F.lit(options[-1]) if out is None else out.otherwise(F.lit(options[-1]))
+
+
+def normal(row_id: Column, name: str, mean: float = 0.0, sd: float = 1.0) -> Column:
+    radius = F.sqrt(F.lit(-2.0) * F.ln(uniform(row_id, name + ":r")))
+    return F.lit(mean) + F.lit(sd) * radius * F.cos(2 * math.pi * uniform(row_id, name + ":t"))
+
+
+def lognormal(row_id: Column, name: str, mean: float, sigma: float) -> Column:
+    return F.exp(normal(row_id, name, mean, sigma))
+
+
+def exponential(row_id: Column, name: str, scale: float) -> Column:
+    return F.lit(-scale) * F.ln(uniform(row_id, name))
+
+
+def poisson(row_id: Column, name: str, lam: float, highest: int = 30) -> Column:
+    """By inversion; the tail above `highest` has no weight that a draw could reach for small lam."""
+    weights = [math.exp(-lam) * lam**i / math.factorial(i) for i in range(highest + 1)]
+    return weighted_choice(row_id, name, list(range(highest + 1)), weights)
+
+
+def beta_int(row_id: Column, name: str, a: int, b: int) -> Column:
+    """Beta with whole parameters: the a-th smallest of a + b - 1 uniforms."""
+    draws = [uniform(row_id, f"{name}:{i}") for i in range(a + b - 1)]
+    return F.element_at(F.array_sort(F.array(*draws)), a)
+
+
+def replace_at_rate(value: Column, row_id: Column, name: str, rate: float, replacement: Column) -> Column:
+    """`replacement` for about `rate` of the rows, `value` for the others."""
+    return F.when(uniform(row_id, name) < rate, replacement).otherwise(value)
+
+
+def blank_at_rate(value: Column, row_id: Column, name: str, rate: float) -> Column:
+    return F.when(uniform(row_id, name) >= rate, value)
