@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from importlib import import_module
 
-_MODULES = ("cleaning", "dates", "fitting")
+_MODULES = ("splitting", "evaluation", "io")
 
 
 def all_queries():

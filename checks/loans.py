@@ -11,6 +11,8 @@ import re
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tabsmith.session import keep_methods_small
+
 # name | type | expression. U<s> is a draw in 0..999; P(<s>;a|b|c) picks one item, ~ is an apostrophe.
 _SPEC = r"""
 loan_id	string	concat('LN-', lpad(cast(k as string), 10, '0'))
@@ -86,6 +88,7 @@ _BLANKS = {"phone_number": 600, "employer_name": 1000}
 
 
 def loans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    keep_methods_small(spark)
     orders = spark.read.parquet(f"{sf_dir}/orders.parquet")
     customer = spark.read.parquet(f"{sf_dir}/customer.parquet")
     base = spark.sql(

@@ -8,7 +8,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from tabsmith.functions.text import PLAIN_NULLS, literal_map, null_tokens, strip_lower, to_number
+from tabsmith.functions.text import literal_map, strip, to_number
 
 MONTHS = {
     name: str(i + 1)
@@ -32,16 +32,17 @@ def _parse_one(text: Column, fmt: str) -> Column:
     pattern = "^" + "".join(
         _FIELDS[t] if t in _FIELDS else r"\s+" if t.isspace() else re.escape(t) for t in tokens
     ) + "$"
-    if order == ["%Y", "%m", "%d"] and fmt == "%Y-%m-%d":
+    if fmt == "%Y-%m-%d":
         iso = text
-    else:
+    elif "%b" in order:
         def field(name: str) -> Column:
             return F.regexp_extract(text, pattern, order.index(name) + 1)
 
-        month = (
-            F.element_at(literal_map(MONTHS), F.lower(field("%b"))) if "%b" in order else field("%m")
-        )
+        month = F.element_at(literal_map(MONTHS), F.lower(field("%b")))
         iso = F.concat(field("%Y"), F.lit("-"), month, F.lit("-"), field("%d"))
+    else:
+        moved = "-".join(f"${order.index(f) + 1}" for f in ("%Y", "%m", "%d"))
+        iso = F.regexp_replace(text, pattern, moved)
     return F.when(text.rlike(pattern), iso.try_cast("date"))
 
 
@@ -67,7 +68,8 @@ def days_since(date: Column, reference: str) -> Column:
 
 def months_of_term(text: Column) -> Column:
     """`5 years` as 60, `36` as 36, anything else NULL."""
-    term = null_tokens(strip_lower(text), PLAIN_NULLS)
     # no digits extract as '', which does not cast
-    years = F.regexp_extract(term, "([0-9]+)", 1).try_cast("double")
-    return F.when(term.contains("year"), years * 12).otherwise(to_number(term))
+    years = F.regexp_extract(text, "([0-9]+)", 1).try_cast("double")
+    # the strip runs only for text that is no number as it stands
+    months = F.coalesce(to_number(text), to_number(strip(text)))
+    return F.when(F.lower(text).contains("year"), years * 12).otherwise(months)

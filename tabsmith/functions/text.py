@@ -21,7 +21,11 @@ NUMBER_PATTERN = r"^[+-]?([0-9]+[.]?[0-9]*|[.][0-9]+)([eE][+-]?[0-9]+)?$"
 
 
 def strip(text: Column) -> Column:
-    return F.trim(text, F.lit(WHITESPACE))
+    # trimming a set of characters is slow, so text that begins and ends visibly is left alone
+    def visible(position: int) -> Column:
+        return F.substring(text, position, 1).between("!", "~")
+
+    return F.when(visible(1) & visible(-1), text).otherwise(F.trim(text, F.lit(WHITESPACE)))
 
 
 def strip_lower(text: Column) -> Column:
@@ -41,10 +45,13 @@ def literal_map(mapping: Mapping) -> Column:
 
 def normalize(text: Column, mapping: Mapping, tokens: Sequence[str] = MAPPED_NULLS) -> Column:
     """Look up the stripped lower-case text; missing and unmapped text gives NULL."""
-    key = strip_lower(text)
+    lookup = literal_map(mapping)
     if any(t in mapping for t in tokens):
-        key = null_tokens(key, tokens)
-    return F.element_at(literal_map(mapping), key)
+        return F.element_at(lookup, null_tokens(strip_lower(text), tokens))
+    # nearly all text is found with its spaces trimmed; the full strip runs for the rest
+    return F.coalesce(
+        F.element_at(lookup, F.lower(F.trim(text))), F.element_at(lookup, strip_lower(text))
+    )
 
 
 def replace_exact(text: Column, typos: Mapping[str, str], tokens: Sequence[str] = PLAIN_NULLS) -> Column:

@@ -39,30 +39,25 @@ class _Span:
     last: int
 
 
-def _bin(x: Column, span: _Span, bins: int) -> Column:
-    # only the order matters, and every step is monotone, so rounding cannot put values in wrong order
-    if math.isinf(float(span.high) - float(span.low)):
-        if math.isinf(float(span.high)) or math.isinf(float(span.low)):
-            raise ValueError("infinite values have no place in a numeric column")
-        share = (x / 2 - F.lit(span.low / 2)) / F.lit(span.high / 2 - span.low / 2)
-    else:
-        share = (x - F.lit(span.low)).cast("double") / F.lit(float(span.high - span.low))
-    return F.least(F.floor(share * bins).cast("int"), F.lit(bins - 1))
+def _histogram(df: DataFrame, spans: dict[str, _Span], bins: int) -> DataFrame:
+    """(i, bin, n, low, high) over the values of column i that lie in its span."""
+    if any(math.isinf(float(s.high) - float(s.low)) for s in spans.values()):
+        raise ValueError("values must be finite and span less than a double can hold")
 
+    def of_column(values) -> Column:
+        return F.element_at(F.array(*[F.lit(v) for v in values]), F.col("i") + 1)
 
-def _histogram(df: DataFrame, spans: dict[str, _Span], bins: int) -> DataFrame:
-    names = list(spans)
-    # the span's bin travels with the value, so that the pass needs no lookup by column
-    pairs = [
-        F.when(
-            F.col(c).between(F.lit(s.low), F.lit(s.high)),
-            F.struct(F.lit(i).alias("i"), _bin(F.col(c), s, bins).alias("bin"), F.col(c).alias("x")),
-        ).alias(f"p{i}")
-        for i, (c, s) in enumerate(spans.items())
-    ]
-    values = df.select(*names).select(F.explode(F.array_compact(F.array(*pairs))).alias("p")).select("p.*")
-    return values.groupBy("i", "bin").agg(
-        F.count(F.lit(1)).alias("n"), F.min("x").alias("low"), F.max("x").alias("high")
+    x, low = F.col("x"), of_column(s.low for s in spans.values())
+    high = of_column(s.high for s in spans.values())
+    width = of_column(float(s.high - s.low) for s in spans.values())
+    # only the order matters, and every step is monotone, so rounding cannot put values in wrong order
+    place = F.floor((x - low).cast("double") / width * bins).cast("int")
+    return (
+        df.select(F.posexplode(F.array(*spans)).alias("i", "x"))
+        .filter(x.between(low, high))
+        .select("i", "x", F.least(place, F.lit(bins - 1)).alias("bin"))
+        .groupBy("i", "bin")
+        .agg(F.count(F.lit(1)).alias("n"), F.min("x").alias("low"), F.max("x").alias("high"))
     )
 
 
@@ -70,7 +65,7 @@ def select_ranks(
     df: DataFrame,
     columns: Sequence[str],
     ranks: Callable[[int], tuple[int, int]],
-    bins: int = 512,
+    bins: int = 1024,
 ) -> dict[str, RankValue]:
     """For each column, the values at ranks `ranks(non-null rows)`; the two are equal or neighbours.
 
@@ -128,7 +123,7 @@ def select_ranks(
     return done
 
 
-def exact_medians(df: DataFrame, columns: Sequence[str], bins: int = 512) -> dict[str, float | None]:
+def exact_medians(df: DataFrame, columns: Sequence[str], bins: int = 1024) -> dict[str, float | None]:
     """Median of each column; the mean of the two middle values when the count is even."""
     typed = df.select(*[F.col(c).cast("double").alias(c) for c in columns])
     picked = select_ranks(typed, columns, lambda n: ((n - 1) // 2, n // 2), bins)

@@ -9,6 +9,7 @@ from tabsmith.functions import dates, numeric, text
 from tabsmith.operators import fit as fitting
 from tabsmith.operators import rows
 from tabsmith.plans import loan_preset as preset
+from tabsmith.session import keep_methods_small
 
 
 def _clean_text(c: str) -> Column:
@@ -58,6 +59,7 @@ def clean_columns() -> dict[str, Column]:
 def clean_rows(df: DataFrame) -> DataFrame:
     """The row-wise part of cleaning; works on a stream too."""
     rows.require_columns(df, preset.RAW_COLUMNS)
+    keep_methods_small(df.sparkSession)
     dated = df.withColumn("_date", dates.parse_dates(F.col("application_date"), preset.DATE_FORMATS))
     return dated.withColumns(clean_columns()).drop("_date", "application_date", "loan_term")
 

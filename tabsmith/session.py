@@ -8,12 +8,15 @@ import uuid
 
 from pyspark.sql import SparkSession
 
+# The JVM interprets methods above this many bytes of code. Whole-stage code of a wide projection
+# gets there; above this limit Spark uses projections it can split into small methods instead.
+METHOD_LIMIT = ("spark.sql.codegen.hugeMethodLimit", "8000")
+
 RECOMMENDED = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
-    # above 8000 bytes the JIT leaves a method interpreted; plain projection code is split instead
-    "spark.sql.codegen.hugeMethodLimit": "8000",
+    METHOD_LIMIT[0]: METHOD_LIMIT[1],
 }
 
 
@@ -26,6 +29,13 @@ def build_session(app_name: str = "tabsmith", master: str | None = None, **extra
     return builder.getOrCreate()
 
 
+def keep_methods_small(spark: SparkSession) -> None:
+    """Set the method limit for this session, unless the user has chosen one."""
+    key, limit = METHOD_LIMIT
+    if spark.conf.get(key) == "65535":  # Spark's default
+        spark.conf.set(key, limit)
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The folder all executors can reach, as the session names it in spark.checkpoint.dir."""
     folder = spark.conf.get("spark.checkpoint.dir", None)
