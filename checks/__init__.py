@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from importlib import import_module
 
-_MODULES = ("splitting", "evaluation", "io")
+_MODULES = ("cleaning", "dates", "fitting", "splitting", "evaluation", "io", "synthesis")
 
 
 def all_queries():

@@ -13,7 +13,9 @@ from tabsmith.session import work_path
 from tabsmith.sources import tables
 
 
-@query("scan_csv", with_loans("select " + ", ".join(RAW_NAMES) + " from loans"))
+# a CSV file does not tell empty text from missing text; both come in as NULL
+@query("scan_csv", with_loans("select " + ", ".join(
+    f"nullif({c}, '') as {c}" if c in preset.RAW_TEXT_COLUMNS else c for c in RAW_NAMES) + " from loans"))
 def scan_csv(spark, sf_dir):
     path = work_path(spark, "loans") + ".csv"
     tables.write_table(loans(spark, sf_dir).select(*preset.RAW_COLUMNS), path, "csv")

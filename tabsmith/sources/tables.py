@@ -39,7 +39,8 @@ def read_table(
     """A file, a directory or a list of either. NaN comes in as NULL.
 
     Without a header CSV columns are named _c0, _c1, … and the first is the
-    label. Give a schema for CSV: without one Spark reads the data twice.
+    label. Empty CSV text is NULL. Give a schema for CSV: without one Spark
+    reads the data twice.
     """
     paths = [paths] if isinstance(paths, str) else list(paths)
     kind = format or detect_format(spark, paths[0])
