@@ -11,6 +11,7 @@ import re
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tabsmith.operators.rows import spread
 from tabsmith.session import keep_methods_small
 
 # name | type | expression. U<s> is a draw in 0..999; P(<s>;a|b|c) picks one item, ~ is an apostrophe.
@@ -89,7 +90,8 @@ _BLANKS = {"phone_number": 600, "employer_name": 1000}
 
 def loans(spark: SparkSession, sf_dir: str) -> DataFrame:
     keep_methods_small(spark)
-    orders = spark.read.parquet(f"{sf_dir}/orders.parquet")
+    orders = spread(spark.read.parquet(f"{sf_dir}/orders.parquet").select(
+        "o_orderkey", "o_custkey", "o_totalprice", "o_orderdate"))
     customer = spark.read.parquet(f"{sf_dir}/customer.parquet")
     base = spark.sql(
         _BASE.replace("from orders join customer", "from {orders} join {customer}"),

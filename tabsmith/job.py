@@ -13,7 +13,7 @@ import time
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tabsmith.operators import counts, split
+from tabsmith.operators import counts, rows, split
 from tabsmith.operators.fit import FitState
 from tabsmith.plans import loan_features, loan_preset as preset, synthesis
 from tabsmith.session import build_session, stage
@@ -114,7 +114,7 @@ def run_features(spark: SparkSession, c: dict) -> dict:
     kind = c["input_format"] or tables.detect_format(spark, c["input"])
     raw = tables.read_table(
         spark, c["input"], kind, preset.raw_schema() if kind == "csv" else None)
-    raw, seen_raw = counts.observe_rows(raw, "rows in")
+    raw, seen_raw = counts.observe_rows(rows.spread(raw), "rows in")
     order = [c["order"]] if isinstance(c["order"], str) else c["order"]
     cleaned, seen_clean = counts.observe_rows(loan_features.clean(raw, order), "rows out")
     cleaned = stage(cleaned, "cleaned")

@@ -15,7 +15,7 @@ from tabsmith.operators.selection import exact_medians
 # A column with more distinct values than this keeps its codes in a table and is encoded by a join.
 CODES_IN_PLAN = 2_000
 # Up to this many rows one aggregate that holds every distinct value is quicker than several passes.
-ROWS_FOR_ONE_PASS = 2_000_000
+ROWS_FOR_ONE_PASS = 500_000
 
 
 def value_counts(df: DataFrame, columns: Sequence[str]) -> DataFrame:

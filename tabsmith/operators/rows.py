@@ -48,6 +48,15 @@ def require_columns(df: DataFrame, columns: Sequence[str]) -> None:
         raise ValueError(f"missing columns: {', '.join(missing)}")
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Deal a scanned table out to all cores when it arrives in fewer partitions (few or unsplittable files).
+
+    A table of many splits stays as it is, so a large input is not shuffled.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores)
+
+
 def sample_to_limit(df: DataFrame, n_rows: int, limit: int, seed: int = 42) -> DataFrame:
     """A Bernoulli sample of about `limit` rows; the table itself when it is no larger."""
     return df if n_rows <= limit else df.sample(fraction=limit / n_rows, seed=seed)

@@ -100,7 +100,7 @@ def _estimator(p: TreeParams, label: str, rounds: int):
         featuresCol="features", labelCol=label, maxIter=rounds, maxDepth=p.max_depth,
         stepSize=p.learning_rate, subsamplingRate=p.subsample, featureSubsetStrategy=str(p.colsample),
         minInstancesPerNode=p.min_child, maxBins=p.max_bins, seed=p.seed,
-        cacheNodeIds=True, checkpointInterval=10, maxMemoryInMB=512,
+        checkpointInterval=10, maxMemoryInMB=512,
     )
     if p.task == "regression":
         return GBTRegressor(lossType="squared", **trees)

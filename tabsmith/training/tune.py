@@ -107,7 +107,7 @@ def tune(
     try:
         with ThreadPoolExecutor(parallel) as pool:
             # one wrapper per trial: each copies the caller's local properties
-            jobs = [pool.submit(inheritable_thread_target(run), i) for i in range(len(trials))]
+            jobs = [pool.submit(inheritable_thread_target(spark)(run), i) for i in range(len(trials))]
             results = [j.result() for j in jobs]
     finally:
         rows.unpersist()
