@@ -45,8 +45,5 @@ def schema_report(df: DataFrame) -> DataFrame:
 def value_shares(df: DataFrame, column: str) -> DataFrame:
     """Count and percentage of each value of a low-cardinality column."""
     counts = df.groupBy(column).agg(F.count(F.lit(1)).alias("n"))
-    total = counts.agg(F.sum("n").alias("total"))
-    # one row, so the broadcast has a fixed size
-    return counts.join(F.broadcast(total)).select(
-        column, "n", (F.col("n") * 100.0 / F.col("total")).alias("percent")
-    )
+    total = counts.agg(F.sum("n")).scalar()
+    return counts.select(column, "n", (F.col("n") * 100.0 / total).alias("percent"))

@@ -74,25 +74,24 @@ def ranking_metrics(counts: DataFrame) -> DataFrame:
     """
     n = counts.count()  # from the file footers
     ordered = running_totals(counts, "score", ["pos", "neg"], numeric_edges(counts, "score", n))
-    # one row, so the broadcast has a fixed size
-    total = F.broadcast(counts.agg(
-        F.sum("pos").cast(_COUNT).alias("all_pos"), F.sum("neg").cast(_COUNT).alias("all_neg")))
+    all_pos = counts.agg(F.sum("pos").cast(_COUNT)).scalar()
+    all_neg = counts.agg(F.sum("neg").cast(_COUNT)).scalar()
     pos, neg = F.col("pos").cast(_COUNT), F.col("neg").cast(_COUNT)
     # rows at or above this score
-    true_above = F.col("all_pos") - F.col("pos_before")
-    above = true_above + F.col("all_neg") - F.col("neg_before")
-    precision = true_above.cast("double") / above.cast("double")
-    joined = ordered.join(total)
-    sums = joined.agg(
+    true_above = all_pos - F.col("pos_before")
+    above = true_above + all_neg - F.col("neg_before")
+    sums = ordered.select(
+        "pos", "neg",
         # twice the number of (positive, negative) pairs in the right order
-        F.sum((pos * (2 * F.col("neg_before") + neg)).cast(_COUNT)).alias("twice"),
-        F.sum(F.col("pos") * precision).alias("precision_sum"),
-        F.first("all_pos").alias("all_pos"), F.first("all_neg").alias("all_neg"),
+        (pos * (2 * F.col("neg_before") + neg)).cast(_COUNT).alias("twice"),
+        (F.col("pos") * (true_above.cast("double") / above.cast("double"))).alias("precision"),
+    ).agg(
+        F.sum("twice").cast("double").alias("twice"), F.sum("precision").alias("precision"),
+        F.sum("pos").cast("double").alias("pos"), F.sum("neg").cast("double").alias("neg"),
     )
-    p, q = F.col("all_pos").cast("double"), F.col("all_neg").cast("double")
     return sums.select(
-        F.try_divide(F.col("twice").cast("double"), 2 * p * q).alias("auc_roc"),
-        ratio_or_zero(F.col("precision_sum"), p).alias("auc_pr"),
+        F.try_divide(F.col("twice"), 2 * F.col("pos") * F.col("neg")).alias("auc_roc"),
+        ratio_or_zero(F.col("precision"), F.col("pos")).alias("auc_pr"),
     )
 
 
@@ -105,11 +104,11 @@ def binary_report(df: DataFrame, label: str, score: str, threshold: float = 0.5)
         for name, side, c in (
             ("tn", ~high, "neg"), ("fp", high, "neg"), ("fn", ~high, "pos"), ("tp", high, "pos"))
     ])
-    # both sides are single rows
-    both = rates(matrix).join(F.broadcast(ranking_metrics(counts)))
-    return both.select(
-        F.lit("binary").alias("task_type"), "auc_roc", "auc_pr", "accuracy", "precision", "recall",
-        "f1", F.lit(float(threshold)).alias("threshold"),
+    ranking = ranking_metrics(counts).select(F.struct("auc_roc", "auc_pr")).scalar()
+    return rates(matrix).select(
+        F.lit("binary").alias("task_type"),
+        ranking["auc_roc"].alias("auc_roc"), ranking["auc_pr"].alias("auc_pr"),
+        "accuracy", "precision", "recall", "f1", F.lit(float(threshold)).alias("threshold"),
         F.struct("tn", "fp", "fn", "tp").alias("confusion_matrix"),
     )
 
