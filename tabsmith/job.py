@@ -146,9 +146,13 @@ def read_feature_tables(spark: SparkSession, c: dict) -> tuple[DataFrame, DataFr
     if kind == "csv" and c["objective"].startswith("binary"):
         schema = preset.feature_schema() if c["header"] else ", ".join(
             f"_c{i} {column.split()[1]}" for i, column in enumerate(preset.feature_schema().split(", ")))
-    return tables.read_train_val(
+    train, val, label = tables.read_train_val(
         spark, c["input"], c["val_input"], c["val_split"], c["seed"],
         format=kind, schema=schema, header=c["header"])
+    if kind == "csv":
+        # a fit passes over its input several times; parse the text once
+        train, val = stage(train, "train"), stage(val, "val")
+    return train, val, label
 
 
 def run_train(spark: SparkSession, c: dict) -> dict:

@@ -13,7 +13,6 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.ml.regression import GBTRegressor
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.storagelevel import StorageLevel
 
 from tabsmith.operators import evaluate
 from tabsmith.session import shared_dir
@@ -170,20 +169,13 @@ def train(
         weight = positive_weight
         if weight is None:
             weight = evaluate.class_balance(train_df, label).first()["weight"]
-    # every level of every tree passes over these rows
-    rows = assemble(train_df, label, features, weight).persist(StorageLevel.MEMORY_AND_DISK)
-    val = None
+    # not persisted: the fit makes a binned copy of its own in a few passes and boosts on that
+    rows = assemble(train_df, label, features, weight)
     if val_df is not None and p.early_stopping and task != "multiclass":
-        val = assemble(val_df, label, features).persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        if val is not None:
-            model, rounds, losses = _fit_until_worse(p, label, rows, val)
-        else:
-            model, rounds, losses = _estimator(p, label, p.num_rounds).fit(rows), p.num_rounds, []
-    finally:
-        rows.unpersist()
-        if val is not None:
-            val.unpersist()
+        val = assemble(val_df, label, features)
+        model, rounds, losses = _fit_until_worse(p, label, rows, val)
+    else:
+        model, rounds, losses = _estimator(p, label, p.num_rounds).fit(rows), p.num_rounds, []
     return Trained(model, p, label, features, rounds, losses, time.time() - start)
 
 
