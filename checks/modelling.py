@@ -63,7 +63,8 @@ def model_compare(spark, sf_dir):
 @query("train_multiclass")
 def train_multiclass(spark, sf_dir):
     df = spark.read.parquet(f"{sf_dir}/embeddings.parquet")
-    wide = df.select("label", "vec_id", *[F.col("embedding")[i].alias(f"e{i}") for i in range(16)])
+    size = df.select(F.size("embedding")).first()[0]
+    wide = df.select("label", "vec_id", *[F.col("embedding")[i].alias(f"e{i}") for i in range(size)])
     train, val = split.parts(split.hash_split(wide, "vec_id", 0.2))
     trained = model.train(train.drop("vec_id"), None, "label", model.TreeParams(
         objective="multi:softprob", num_rounds=2, early_stopping=0, max_depth=3, max_bins=32))

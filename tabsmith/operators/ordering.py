@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-ROWS_PER_BUCKET = 200_000
+ROWS_PER_BUCKET = 50_000
 MAX_BUCKETS = 2_000  # also the bound of the broadcast table of bucket totals
 
 
@@ -24,7 +24,8 @@ def numeric_edges(df: DataFrame, column: str, n_rows: int) -> list[float]:
     if buckets < 2:
         return []
     shares = [i / buckets for i in range(1, buckets)]
-    return sorted(set(df.approxQuantile(column, shares, 0.25 / buckets)))
+    # a tighter error would make the sketch that each task sends larger
+    return sorted(set(df.approxQuantile(column, shares, max(0.5 / buckets, 0.001))))
 
 
 def text_edges(df: DataFrame, column: str, n_rows: int) -> list[str]:
@@ -38,8 +39,6 @@ def text_edges(df: DataFrame, column: str, n_rows: int) -> list[str]:
 
 
 def _with_bucket(df: DataFrame, column: str, edges: Sequence) -> DataFrame:
-    if not edges:
-        return df.withColumn("_bucket", F.lit(0.0))
     if isinstance(edges[0], str):
         passed = F.filter(F.array(*[F.lit(e) for e in edges]), lambda e: e <= F.col(column))
         return df.withColumn("_bucket", F.size(passed).cast("double"))
@@ -52,9 +51,17 @@ def running_totals(
 ) -> DataFrame:
     """Add `<sum>_before` for each of `sums`: its total over the rows that come earlier.
 
-    `column` must be unique, and each of `sums` a whole number.
+    `column` must be unique, and each of `sums` a whole number. `edges` come
+    from numeric_edges or text_edges; none means that one task can hold all rows.
     """
     wide = "decimal(38,0)"
+    order = F.col(column).desc() if descending else F.col(column).asc()
+    if not edges:
+        ahead = Window.orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
+        return df.select("*", *[
+            F.coalesce(F.sum(F.col(s).cast(wide)).over(ahead), F.lit(0)).cast(wide).alias(f"{s}_before")
+            for s in sums
+        ])
     bucketed = _with_bucket(df, column, edges)
     totals = bucketed.groupBy("_bucket").agg(*[F.sum(F.col(s).cast(wide)).alias(s) for s in sums])
     key = F.col("_bucket").desc() if descending else F.col("_bucket").asc()
@@ -64,7 +71,6 @@ def running_totals(
         "_bucket",
         *[F.coalesce(F.sum(s).over(earlier), F.lit(0)).cast(wide).alias(f"{s}_offset") for s in sums],
     )
-    order = F.col(column).desc() if descending else F.col(column).asc()
     inside = Window.partitionBy("_bucket").orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
     out = bucketed
     for s in sums:

@@ -214,11 +214,14 @@ def report(trained: Trained, scored: DataFrame) -> DataFrame:
 
 def run_report(trained: Trained, scored: DataFrame, train_rows: int, val_rows: int, total_seconds: float) -> DataFrame:
     """`report` with the facts of the run: rounds, rows, times and the best validation loss."""
+    context = scored.sparkSession.sparkContext
     row = report(trained, scored).withColumns({
         "best_round": F.lit(trained.best_round).cast("bigint"),
         "train_rows": F.lit(train_rows).cast("bigint"),
         "val_rows": F.lit(val_rows).cast("bigint"),
         "n_features": F.lit(len(trained.features)).cast("bigint"),
+        "distributed": F.lit(not context.master.startswith("local")),
+        "num_workers": F.lit(context.defaultParallelism).cast("bigint"),
         "training_time_s": F.lit(round(trained.seconds, 1)),
         "total_time_s": F.lit(round(total_seconds, 1)),
     })

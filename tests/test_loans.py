@@ -99,6 +99,7 @@ def test_only_needed_columns_cross_the_shuffle(spark, raw, tmp_path):
     text = plan._jdf.queryExecution().executedPlan().toString()
     schema = text[text.index("ReadSchema"):].split("\n")[0]
     assert "gender" in schema and "city" not in schema and "annual_income" not in schema
+    assert "PushedFilters: [IsNotNull(loan_id)]" in text
 
 
 def test_missing_column_is_an_error(raw):
