@@ -71,16 +71,17 @@ def select_ranks(
 
     Columns must share one numeric type. NULL is skipped; NaN must be NULL already.
     """
-    firsts = [
-        f(c).alias(f"{name}{i}")
-        for i, c in enumerate(columns)
-        for name, f in (("n", F.count), ("low", F.min), ("high", F.max))
-    ]
-    start = df.agg(*firsts).first()
+    values = df.select(F.posexplode(F.array(*columns)).alias("i", "x"))
+    start = {
+        r["i"]: r
+        for r in values.groupBy("i").agg(
+            F.count("x").alias("n"), F.min("x").alias("low"), F.max("x").alias("high")
+        ).collect()  # one row per column
+    }
     done: dict[str, RankValue] = {}
     spans: dict[str, _Span] = {}
     for i, c in enumerate(columns):
-        n, low, high = start[f"n{i}"], start[f"low{i}"], start[f"high{i}"]
+        n, low, high = (start[i][k] for k in ("n", "low", "high")) if i in start else (0, None, None)
         if n == 0:
             done[c] = RankValue(0, None, None)
         elif low == high:
