@@ -22,9 +22,13 @@ BETWEEN_WORDS = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 BROADCAST_WINDOWS = 200_000
 
 
+def split_words(text: Column) -> Column:
+    return F.array_remove(F.split(text, BETWEEN_WORDS, -1), "")
+
+
 def words(text: Column) -> Column:
     """Lower-cased words of a text, in order."""
-    return F.array_remove(F.split(ascii_lower(text), BETWEEN_WORDS, -1), "")
+    return split_words(ascii_lower(text))
 
 
 def _window_hash(tokens: str, start: Column, length: int) -> Column:
@@ -54,17 +58,18 @@ def contaminated_spans(docs: DataFrame, benchmark: DataFrame, n: int = 13) -> Da
     found = found.select(F.col("len").alias("win_len"), F.col("hash").alias("win_hash"), "win_words", "items")
     tokens = docs.select(
         F.col("doc_id"), F.xxhash64(text_or_empty()).alias("body"), words(text_or_empty()).alias("w"))
-    at = tokens.filter(F.size("w") > 0).select("doc_id", "body", "w", F.posexplode("w").alias("start", "first"))
-    at = at.filter(F.col("start") <= F.size("w") - min(sizes, default=n))
     hits = None
     for length in sorted(sizes):
+        starts = F.sequence(F.lit(0), F.size("w") - length)
+        at = tokens.filter(F.size("w") >= length).select("doc_id", "body", "w", F.explode(starts).alias("start"))
         hashed = at.withColumn("win_hash", _window_hash("w", F.col("start"), length))
         part = hashed.join(found.filter(F.col("win_len") == length), "win_hash").filter(
             F.slice("w", F.col("start") + 1, length) == F.col("win_words"))
         part = part.select("doc_id", "body", "start", F.lit(length).alias("len"), "items")
         hits = part if hits is None else hits.unionByName(part)
     if hits is None:  # no benchmark item has words
-        hits = at.select("doc_id", "body", "start", F.lit(n).alias("len"), F.array(F.lit("")).alias("items")).limit(0)
+        hits = tokens.select(
+            "doc_id", "body", F.lit(0).alias("start"), F.lit(n).alias("len"), F.array(F.lit("")).alias("items")).filter(F.lit(False))
     return hits
 
 
@@ -84,7 +89,7 @@ def _with_verdict(docs: DataFrame, benchmark: DataFrame, n: int, share: int) ->
     hit = per_doc.select(
         F.col("doc_id").alias("__doc"), F.col("body").alias("__hit_body"), covered.alias("__hit"), F.col("hit_items").alias("__items"))
     left = docs.withColumns({
-        "__words": F.size(words(text_or_empty())).cast("long"), "__body": F.xxhash64(text_or_empty())})
+        "__words": F.size(split_words(text_or_empty())).cast("long"), "__body": F.xxhash64(text_or_empty())})
     # few columns on the right; the texts need no sort this way
     joined = left.join(
         hit.hint("shuffle_hash"), left["doc_id"].eqNullSafe(hit["__doc"]) & (left["__body"] == hit["__hit_body"]), "left")

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tabsmith.llm import decontaminate, linededup
+from tabsmith.llm import decontaminate, linededup, neardup
 from tabsmith.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -51,6 +51,12 @@ def op5_line_dedup(spark, sf_dir):
 _SQL_WORDS = "regexp_extract_all(" + SQL_LOWER.format("coalesce(text, '')") + r", '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
 
 
+@query("op9_simhash_near_dedup")
+def op9_simhash_near_dedup(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return neardup.near_duplicates(docs).select("doc_id", "fingerprint", "component_id")
+
+
 @query("op10_decontamination", f"""
     with d as (select doc_id, {_SQL_WORDS} as w from documents),
     b as (select cast(item_id as varchar) as item, w, least(len(w), 13) as n
