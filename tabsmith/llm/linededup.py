@@ -27,6 +27,8 @@ from tabsmith.llm.common import add_columns, free_name, map_rows, stage, text_or
 
 #: Rows of one line that a task holds back before it hands the run on as open.
 HELD_ROWS = 50_000
+#: Totals of open lines are broadcast up to so many (about 50 bytes each).
+BROADCAST_LINES = 100_000
 _SPACE = b" \t\n\r\x0b\x0c"
 _NAMES = ["doc", "nodoc", "body", "n_lines", "pos", "hi", "lo"]
 
@@ -139,6 +141,10 @@ def keep_bitmaps(docs: DataFrame, min_chars: int = 20, min_docs: int = 3, held_r
     totals = still_open.groupBy("hi", "lo").agg(
         F.sum("fresh").alias("docs"), F.max(F.struct(~F.col("nodoc"), "doc")).alias("largest")
     ).filter(F.col("docs") >= min_docs)
+    # two lines per task and a line per `held_rows` rows are open at most; hot ones then need no shuffle
+    totals = stage(totals, "line-totals")
+    if totals.count() <= BROADCAST_LINES:
+        totals = F.broadcast(totals)
     late = still_open.join(totals, ["hi", "lo"]).filter(F.struct(~F.col("nodoc"), "doc") != F.col("largest"))
     key = [F.when(~F.col("nodoc"), F.col("doc")).alias("doc_id"), "body"]
     dropped = found.filter("not open").select(*key, "n_lines", "pos").unionByName(late.select(*key, "n_lines", "pos"))

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tabsmith.llm import decontaminate, linededup, neardup
+from tabsmith.llm import bpe, decontaminate, linededup, neardup, secrets
 from tabsmith.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -24,10 +24,23 @@ def query(name: str, oracle: str | None = None):
     return add
 
 
+def tokenizer_path() -> str:
+    """The vocabulary file that the registered queries use."""
+    import public_tokenizers
+
+    return public_tokenizers.path("word_bpe_49k.json")
+
+
 #: A-Z to a-z in DuckDB.
 SQL_LOWER = "translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 
 
+@query("op3_bpe")
+def op3_bpe(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return bpe.digests(docs, tokenizer_path()).select("doc_id", "n_tokens", "ids_sha256", "decoded_sha256")
+
+
 @query("op5_line_dedup", f"""
     with docs as (select doc_id, string_split(coalesce(text, ''), chr(10)) as parts from documents),
     lines as (select doc_id, parts[i] as line, i from (select doc_id, parts, unnest(range(1, len(parts) + 1)) as i from docs)),
@@ -51,6 +64,40 @@ def op5_line_dedup(spark, sf_dir):
 _SQL_WORDS = "regexp_extract_all(" + SQL_LOWER.format("coalesce(text, '')") + r", '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
 
 
+def _sql_spans(rule: secrets.Rule) -> str:
+    """Rows (doc_id, rule, kind, s, e, value) of all matches of a rule."""
+    pattern, flag = rule.pattern.replace("'", "''"), "'i'" if rule.any_case else "''"
+    prefix = "(?i)" if rule.any_case else ""
+    order = secrets.RULES.index(rule)
+    return f"""
+        select doc_id, {order} as rule, '{rule.kind}' as kind, s, s + length(hits[i]) as e, vals[i] as val from (
+            select *, cast(list_sum(list_transform(gaps[1:i], lambda x: length(x)))
+                + coalesce(list_sum(list_transform(hits[1:i - 1], lambda x: length(x))), 0) as bigint) as s
+            from (select *, unnest(range(1, len(hits) + 1)) as i from (
+                select doc_id, regexp_extract_all(text, '{pattern}', 0, {flag}) as hits,
+                    regexp_extract_all(text, '{pattern}', {rule.group}, {flag}) as vals,
+                    string_split_regex(text, '{prefix}{pattern}') as gaps
+                from documents where text is not null)))
+        where length(vals[i]) >= {rule.least}"""
+
+
+@query("op7_secret_scan", f"""
+    with spans as ({" union all ".join(map(_sql_spans, secrets.RULES))}),
+    named as (select *, kind || ':' || s || ':' || e as name from spans)
+    select d.doc_id, count(*) filter (where rule = 0) as n_assign, count(*) filter (where rule = 1) as n_access,
+        count(*) filter (where rule = 2) as n_hex,
+        sha256(coalesce(string_agg(name, ',' order by s, rule) filter (where rule < 3), '')) as base_sha256,
+        coalesce(string_agg(name, ',' order by s, rule), '') as spans
+    from documents as d left join named as n on d.doc_id = n.doc_id group by d.doc_id""")
+def op7_secret_scan(spark, sf_dir):
+    found = secrets.scan(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    count = lambda rule: F.size(F.filter("spans", lambda s: s["rule"] == rule)).cast("long")
+    return found.select(
+        "doc_id", count(0).alias("n_assign"), count(1).alias("n_access"), count(2).alias("n_hex"),
+        F.sha2(secrets.spans_text(F.filter("spans", lambda s: s["rule"] < len(secrets.BASE_RULES))), 256).alias("base_sha256"),
+        secrets.spans_text(F.col("spans")).alias("spans"))
+
+
 @query("op9_simhash_near_dedup")
 def op9_simhash_near_dedup(spark, sf_dir):
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
