@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tabsmith.llm import bpe, decontaminate, linededup, neardup, secrets
-from tabsmith.llm.common import table
+from tabsmith.llm import bpe, decontaminate, linededup, neardup, secrets, sharding
+from tabsmith.llm.common import stage, table, text_or_empty
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -35,6 +35,16 @@ def tokenizer_path() -> str:
 SQL_LOWER = "translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 
 
+@query("op1_sharding")
+def op1_sharding(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents").select(
+        "doc_id", (F.coalesce(F.octet_length("text"), F.lit(0)) + 1).cast("long").alias("size"),
+        F.crc32(text_or_empty()).alias("text_crc32"))
+    placed = sharding.assign(stage(docs, "sizes"), "doc_id", shards=16, ties=["size", "text_crc32"])
+    return placed.select(
+        "doc_id", "size", "text_crc32", F.lit("rows").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
+
+
 @query("op3_bpe")
 def op3_bpe(spark, sf_dir):
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
