@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tabsmith.llm import bpe, decontaminate, linededup, neardup, secrets, sharding
+from tabsmith.llm import bpe, decontaminate, linededup, neardup, secrets, sharding, warc
 from tabsmith.llm.common import stage, table, text_or_empty
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -108,6 +108,30 @@ def op7_secret_scan(spark, sf_dir):
         secrets.spans_text(F.col("spans")).alias("spans"))
 
 
+def _sql_base32() -> str:
+    digit = "cast(('0x' || substr(h, {}, 5)) as int)"
+    return " || ".join(
+        f"substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', (({digit.format(i + 1)} >> {shift}) & 31) + 1, 1)"
+        for i in range(0, 40, 5) for shift in (15, 10, 5, 0))
+
+
+@query("op8_warc", f"""
+    with p as (select page_id, coalesce(html, '') as html, upper(sha1(coalesce(html, ''))) as h from pages),
+    x as (select *, max(page_id) over (partition by html) as first from p)
+    select page_id, cast(octet_length(encode(html)) as bigint) as payload_bytes, {_sql_base32()} as payload_digest,
+        case when page_id = first then 'response' else 'revisit' end as record_type,
+        case when page_id <> first then first end as refers_to
+    from x""")
+def op8_warc(spark, sf_dir):
+    path = warc.write_archives(table(spark, sf_dir, "pages"))
+    columns = "record_id string, record_type string, refers_to string, payload_digest string, payload_length long"
+    read = warc.read_archives(spark, path, columns, verify=True)
+    page = lambda c: F.nullif(F.regexp_extract(c, "^<urn:page:(-?[0-9]*)>$", 1), F.lit("")).cast("long")
+    return read.select(
+        page("record_id").alias("page_id"), F.col("payload_length").alias("payload_bytes"),
+        F.substring("payload_digest", 6, 32).alias("payload_digest"), "record_type", page("refers_to").alias("refers_to"))
+
+
 @query("op9_simhash_near_dedup")
 def op9_simhash_near_dedup(spark, sf_dir):
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
