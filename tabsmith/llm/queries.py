@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tabsmith.llm import bpe, decontaminate, linededup, neardup, secrets, sharding, warc
+from tabsmith.llm import bpe, decontaminate, linededup, neardup, quality, secrets, sharding, warc
 from tabsmith.llm.common import stage, table, text_or_empty
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -74,6 +74,12 @@ def op5_line_dedup(spark, sf_dir):
 _SQL_WORDS = "regexp_extract_all(" + SQL_LOWER.format("coalesce(text, '')") + r", '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
 
 
+@query("op6_quality_rules")
+def op6_quality_rules(spark, sf_dir):
+    found = quality.apply_rules(table(spark, sf_dir, "documents").select("doc_id", "text", "lang"))
+    return found.drop("text", "lang")
+
+
 def _sql_spans(rule: secrets.Rule) -> str:
     """Rows (doc_id, rule, kind, s, e, value) of all matches of a rule."""
     pattern, flag = rule.pattern.replace("'", "''"), "'i'" if rule.any_case else "''"
