@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tabsmith.llm import bpe, decontaminate, linededup, neardup, quality, secrets, sharding, warc
+from tabsmith.llm import bpe, decontaminate, linededup, neardup, quality, secrets, sharding, toxicity, warc
 from tabsmith.llm.common import stage, table, text_or_empty
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -51,6 +51,14 @@ def op3_bpe(spark, sf_dir):
     return bpe.digests(docs, tokenizer_path()).select("doc_id", "n_tokens", "ids_sha256", "decoded_sha256")
 
 
+@query("op4_toxicity")
+def op4_toxicity(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = toxicity.train(docs, table(spark, sf_dir, "labels"))
+    return toxicity.score(docs, model).select(
+        "doc_id", toxicity.held_out("doc_id", 5).alias("held_out"), "score", "predicted")
+
+
 @query("op5_line_dedup", f"""
     with docs as (select doc_id, string_split(coalesce(text, ''), chr(10)) as parts from documents),
     lines as (select doc_id, parts[i] as line, i from (select doc_id, parts, unnest(range(1, len(parts) + 1)) as i from docs)),
