@@ -278,16 +278,19 @@ def decode(encoded: DataFrame, tokenizer_path: str) -> DataFrame:
         encoded, ["ids"], lambda many: {"decoded": [shared.get().decode(i or []).decode() for i in many]}, "decoded string")
 
 
-def digests(docs: DataFrame, tokenizer_path: str) -> DataFrame:
-    """`docs` with n_tokens, ids_sha256 and decoded_sha256; the ids and texts stay in the task."""
+def digests(docs: DataFrame, tokenizer_path: str, with_ids: bool = False) -> DataFrame:
+    """`docs` with n_tokens, ids_sha256 and decoded_sha256, and ids if asked for; else ids and texts stay in the task."""
     shared = _Shared(docs.sparkSession, tokenizer_path)
 
     def run(texts):
-        codec, rows = shared.get(), []
+        codec, out = shared.get(), {"n_tokens": [], "ids_sha256": [], "decoded_sha256": [], "ids": []}
         for text in texts:
             ids, written = codec.encode_with_text(text)
-            rows.append((len(ids), hashlib.sha256(written.encode()).hexdigest(), hashlib.sha256(codec.decode(ids)).hexdigest()))
-        return dict(zip(("n_tokens", "ids_sha256", "decoded_sha256"), zip(*rows))) if rows else {
-            "n_tokens": [], "ids_sha256": [], "decoded_sha256": []}
-
-    return add_columns(docs, ["text"], run, "n_tokens long, ids_sha256 string, decoded_sha256 string")
+            out["n_tokens"].append(len(ids))
+            out["ids_sha256"].append(hashlib.sha256(written.encode()).hexdigest())
+            out["decoded_sha256"].append(hashlib.sha256(codec.decode(ids)).hexdigest())
+            if with_ids:
+                out["ids"].append(ids)
+        return out
+
+    return add_columns(docs, ["text"], run, "n_tokens long, ids_sha256 string, decoded_sha256 string" + ", ids array<int>" * with_ids)

@@ -6,7 +6,7 @@ table of lines. A line found everywhere spreads over many partitions: a run that
 cannot see whole is handed on as "open" and decided from one total per line and task.
 The result is a compressed bitmap of kept lines per document; text is read only to apply it.
 
-Defined results: a null text is one empty line; rows with a null doc_id count as one document,
+Defined results: a null text is one empty line and stays null; rows with a null doc_id count as one document,
 below all others; rows that share a doc_id count as one document, and each of their lines is
 judged by its own; other columns stay as they are, an input column called n_lines or n_dropped
 is replaced.
@@ -181,7 +181,7 @@ def apply_bitmaps(docs: DataFrame, bitmaps: DataFrame) -> DataFrame:
                 stay = [line for line, bit in zip(lines, bits) if bit]
             else:
                 stay = lines
-            kept.append("\n".join(stay))
+            kept.append("\n".join(stay) if text is not None else None)  # a null has no line to lose
             n_lines.append(len(lines))
             n_dropped.append(len(lines) - len(stay))
         return {"text": kept, "n_lines": n_lines, "n_dropped": n_dropped}

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tabsmith.llm import bpe, decontaminate, linededup, neardup, quality, secrets, sharding, toxicity, warc
+from tabsmith.llm import bpe, decontaminate, linededup, lm, neardup, quality, secrets, sharding, toxicity, warc
 from tabsmith.llm.common import stage, table, text_or_empty
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -45,6 +45,15 @@ def op1_sharding(spark, sf_dir):
         "doc_id", "size", "text_crc32", F.lit("rows").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
 
 
+@query("op2_lm_scoring")
+def op2_lm_scoring(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    vocabulary, model, counts = lm.train(docs)
+    scored = lm.score(docs, vocabulary, model, counts)
+    return scored.select(
+        "doc_id", lm.held_out("doc_id", 10).alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score")
+
+
 @query("op3_bpe")
 def op3_bpe(spark, sf_dir):
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
@@ -76,7 +85,7 @@ def op4_toxicity(spark, sf_dir):
     from judged group by doc_id""")
 def op5_line_dedup(spark, sf_dir):
     kept = linededup.dedup_lines(table(spark, sf_dir, "documents").select("doc_id", "text"))
-    return kept.select("doc_id", "n_lines", "n_dropped", F.sha2("text", 256).alias("kept_sha256"))
+    return kept.select("doc_id", "n_lines", "n_dropped", F.sha2(text_or_empty(), 256).alias("kept_sha256"))
 
 
 _SQL_WORDS = "regexp_extract_all(" + SQL_LOWER.format("coalesce(text, '')") + r", '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
