@@ -151,10 +151,10 @@ _KEY = ["__doc", "__nodoc", "__body"]
 
 def postings(docs: DataFrame, trigrams: list[str]) -> DataFrame:
     """The index: a row (trigram, document) for each of `trigrams` that a document's text has, in any case."""
-    low = F.lower(text_or_empty())
-    found = _keyed(docs).select(*_KEY, low.alias("__low")).select(*_KEY, F.array_compact(F.array(
-        *[F.when(F.col("__low").contains(F.lit(t)), F.lit(i)) for i, t in enumerate(trigrams)])).alias("t"))
-    return found.select(F.explode("t").alias("trigram"), *_KEY)
+    # as a generated column the lower-cased text is made once, not once per trigram
+    low = _keyed(docs).select(*_KEY, F.explode(F.array(F.lower(text_or_empty()))).alias("__low"))
+    found = F.array(*[F.when(F.col("__low").contains(F.lit(t)), F.lit(i)) for i, t in enumerate(trigrams)])
+    return low.select(F.explode(found).alias("trigram"), *_KEY).filter("trigram is not null")
 
 
 def candidates(docs: DataFrame, rules=RULES) -> DataFrame | None:
