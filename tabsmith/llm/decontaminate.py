@@ -22,13 +22,17 @@ BETWEEN_WORDS = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 BROADCAST_WINDOWS = 200_000
 
 
-def split_words(text: Column) -> Column:
-    return F.array_remove(F.split(text, BETWEEN_WORDS, -1), "")
+#: The same for text that is not in lower case yet.
+BETWEEN_ANY_WORDS = r"[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
 
 
 def words(text: Column) -> Column:
     """Lower-cased words of a text, in order."""
-    return split_words(ascii_lower(text))
+    return F.array_remove(F.split(ascii_lower(text), BETWEEN_WORDS, -1), "")
+
+
+def count_words(text: Column) -> Column:
+    return F.size(F.array_remove(F.split(text, BETWEEN_ANY_WORDS, -1), "")).cast("long")
 
 
 def _window_hash(tokens: str, start: Column, length: int) -> Column:
@@ -89,7 +93,7 @@ def _with_verdict(docs: DataFrame, benchmark: DataFrame, n: int, share: int) ->
     hit = per_doc.select(
         F.col("doc_id").alias("__doc"), F.col("body").alias("__hit_body"), covered.alias("__hit"), F.col("hit_items").alias("__items"))
     left = docs.withColumns({
-        "__words": F.size(split_words(text_or_empty())).cast("long"), "__body": F.xxhash64(text_or_empty())})
+        "__words": count_words(text_or_empty()), "__body": F.xxhash64(text_or_empty())})
     # few columns on the right; the texts need no sort this way
     joined = left.join(
         hit.hint("shuffle_hash"), left["doc_id"].eqNullSafe(hit["__doc"]) & (left["__body"] == hit["__hit_body"]), "left")

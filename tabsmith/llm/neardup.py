@@ -59,7 +59,7 @@ def cells(fp: Column, max_bits: int, segment_bits: int) -> tuple[Column, Column]
 
     A cell is (group, bit counts of the group's segments, packed).
     """
-    groups = (max_bits + 2) // 2  # of so many groups, one has at most max_bits // groups <= 1 differences
+    groups = max(2, (max_bits + 2) // 2)  # of so many groups, one has at most max_bits // groups <= 1 differences
     segments = 64 // segment_bits
     field = segment_bits.bit_length()  # bits that hold a segment's count
     mask = (1 << segment_bits) - 1
@@ -78,7 +78,7 @@ def cells(fp: Column, max_bits: int, segment_bits: int) -> tuple[Column, Column]
 
 def links(prints: DataFrame, max_bits: int = 3, segment_bits: int = 2) -> DataFrame:
     """Pairs (a, b), a < b, of distinct fingerprints `fp` that differ in at most `max_bits` bits."""
-    if 64 % segment_bits or not 0 < segment_bits <= 8 or (64 // segment_bits + 1) // ((max_bits + 2) // 2) * segment_bits.bit_length() > 62:
+    if 64 % segment_bits or not 0 < segment_bits <= 8 or (64 // segment_bits + 1) // max(2, (max_bits + 2) // 2) * segment_bits.bit_length() > 62:
         raise ValueError("segment_bits must part 64 bits, and a group's counts must fit a long")
     own, up = cells(F.col("fp"), max_bits, segment_bits)
     lower = prints.select(F.col("fp").alias("x"), F.explode(F.concat(
