@@ -258,7 +258,10 @@ def train(docs: DataFrame, settings: Settings = Settings(), counts: DataFrame |
         return run
 
     schema = "tokens long, parameters array<float>"
-    warm = learn.orderBy(F.xxhash64(F.lit("warm"), "doc_id"), "doc_id").limit(s.warm_docs).coalesce(1)
+    docs_there = counts.filter(F.length("word") == 0).agg(F.sum("n")).first()[0] or 0  # an end per document
+    share = min(1.0, s.warm_docs / max(docs_there, 1))
+    drawn = F.pmod(F.xxhash64(F.lit("warm"), "doc_id"), F.lit(1 << 20)) < int(math.ceil(share * (1 << 20)))
+    warm = learn.filter(drawn).repartition(1)  # about warm_docs texts
     first = map_rows(warm, ["doc_id", "text"], fit(None, 1.0), schema).collect()
     start = np.array(first[0]["parameters"], np.float32).tobytes() if first else None
     fitted = map_rows(learn, ["doc_id", "text"], fit(start, s.position_share), schema)

@@ -1,8 +1,8 @@
 """Toxicity by a logistic classifier with a counterfactual regulariser.
 
-Features are the words of a text and their beginnings, each once. All labelled training rows are
-counted to choose the features; the weights are fitted on a bounded sample of them. Where
-a labelled text names a group, the term is swapped for others of its kind and for a neutral
+Features are the words of a text and their beginnings, each once. The features are chosen and the
+weights fitted on a sample of about `sample_rows` labelled training rows, drawn by a hash of the id:
+its ids are few enough to be broadcast, so the other texts are not moved. Where a labelled text names a group, the term is swapped for others of its kind and for a neutral
 word, and the change of the score is penalised, so naming a group by itself decides nothing.
 
 Defined results: null and empty texts have no features and get the score of the bias alone; rows
@@ -17,10 +17,11 @@ from collections import Counter
 from dataclasses import dataclass, field
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tabsmith.llm.common import add_columns, map_rows, stage, text_or_empty
+from tabsmith.llm.common import add_columns, free_name, map_rows, stage, text_or_empty
 
 #: Fixed value: words are runs of letters, digits and characters beyond ASCII.
 _WORD = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
@@ -42,7 +43,7 @@ IDENTITY_TERMS = (
 
 @dataclass(frozen=True)
 class Settings:
-    """Production settings. `sample_rows` bounds the labelled rows the weights are fitted on."""
+    """Production settings. `sample_rows` bounds the labelled rows that the classifier is fitted on."""
 
     max_features: int = 3000
     least_rows: int = 3
@@ -102,7 +103,7 @@ def _count_features(prefixes: tuple[int, ...]):
                     if (n := held.get(f)) is None:
                         n = held[f] = [0, 0]
                     n[label] += 1
-                if len(held) > 300_000:
+                if len(held) > 100_000:
                     yield from flush()
         yield from flush()
 
@@ -110,7 +111,7 @@ def _count_features(prefixes: tuple[int, ...]):
 
 
 def choose_features(labelled: DataFrame, settings: Settings) -> list[str]:
-    """The features whose presence tells most about the label (G statistic), over all labelled rows."""
+    """The features whose presence tells most about the label (G statistic)."""
     counted = map_rows(labelled, ["text", "toxic"], _count_features(settings.prefixes), "feature string, toxic_rows long, other_rows long")
     counted = counted.groupBy("feature").agg(F.sum("toxic_rows").alias("a"), F.sum("other_rows").alias("b")).filter(
         F.col("a") + F.col("b") >= settings.least_rows)
@@ -127,21 +128,23 @@ def choose_features(labelled: DataFrame, settings: Settings) -> list[str]:
     return [r["feature"] for r in top.collect()]
 
 
-def _fit(rows: list, names: list[str], settings: Settings) -> Model:
-    """Gradient steps (Adam) on log-loss, a ridge, and the squared change of the score under swaps."""
+def _fit(rows: pa.Table, names: list[str], settings: Settings) -> Model:
+    """Gradient steps (Adam) on log-loss, a ridge, and the squared change of the score under swaps.
+
+    `rows` has toxic, found (numbers of features) and swaps (term, other).
+    """
     number = {f: i for i, f in enumerate(names)}
-    labels = np.array([r["toxic"] for r in rows], float)
-    at = np.repeat(np.arange(len(rows)), [len(r["found"]) for r in rows])
-    cols = np.array([number[f] for r in rows for f in r["found"]], np.int64)
+    labels = rows.column("toxic").to_numpy().astype(float)
+    found = rows.column("found").combine_chunks()
+    at = np.repeat(np.arange(len(labels)), np.diff(found.offsets.to_numpy()))
+    cols = found.flatten().to_numpy().astype(np.int64)
     swap_at, swap_cols, swap_by = [], [], []
-    swaps = [(tuple(r["found"]), s["term"], s["other"]) for r in rows for s in r["swaps"]]
-    for k, (found, term, other) in enumerate(swaps):
-        change = Counter()
-        for f in features(other, settings.prefixes) - set(found):
-            change[f] += 1
-        for f in features(term, settings.prefixes):
-            change[f] -= 1
-        for f, by in change.items():
+    swaps = [(own, s["term"], s["other"]) for own, many in zip(found, rows.column("swaps").to_pylist()) for s in many]
+    for k, (own, term, other) in enumerate(swaps):
+        has = set(own.as_py())
+        change = Counter({f: 1 for f in features(other, settings.prefixes) if number.get(f) not in has})
+        change.subtract(features(term, settings.prefixes))
+        for f, by in sorted(change.items()):
             if f in number and by:
                 swap_at.append(k)
                 swap_cols.append(number[f])
@@ -151,9 +154,9 @@ def _fit(rows: list, names: list[str], settings: Settings) -> Model:
     w[-1] = np.log(share / (1 - share))
     first, second = np.zeros_like(w), np.zeros_like(w)
     for step in range(1, settings.steps + 1):
-        logits = np.bincount(at, w[cols], len(rows)) + w[-1]
+        logits = np.bincount(at, w[cols], len(labels)) + w[-1]
         wrong = 1 / (1 + np.exp(-np.clip(logits, -50, 50))) - labels
-        grad = np.append(np.bincount(cols, wrong[at], len(names)), wrong.sum()) / len(rows)
+        grad = np.append(np.bincount(cols, wrong[at], len(names)), wrong.sum()) / len(labels)
         grad[:-1] += settings.ridge * w[:-1]
         if len(swaps):
             moved = np.bincount(swap_at, w[swap_cols] * swap_by, len(swaps))
@@ -169,24 +172,25 @@ def train(docs: DataFrame, labels: DataFrame, settings: Settings = Settings()) -
     """Learn `labels.toxic` (0 or 1) from rows that are not held out."""
     known = labels.select(F.col("doc_id").alias("__id"), F.col("toxic").cast("int").alias("toxic")).filter("toxic in (0, 1)")
     known = known.filter(~held_out("__id", settings.held_out_of))
+    rows = known.count()
+    share = min(1.0, settings.sample_rows / max(rows, 1))
+    drawn = known.filter(F.pmod(F.xxhash64(F.lit("sample"), "__id"), F.lit(1 << 20)) < int(share * (1 << 20)))
     text = docs.select("doc_id", text_or_empty().alias("text"))
-    labelled = stage(text.join(known.hint("shuffle_hash"), F.col("doc_id") == F.col("__id")).select("doc_id", "text", "toxic"), "labelled")
+    # about sample_rows ids at most
+    labelled = stage(text.join(F.broadcast(drawn), F.col("doc_id") == F.col("__id")).select("text", "toxic"), "labelled")
     names = choose_features(labelled, settings)
     if not names:  # nothing to tell apart
         share = labelled.agg(F.avg("toxic")).first()[0] or 0.0
         share = min(max(share, 1e-6), 1 - 1e-6)
         return Model(float(np.log(share / (1 - share))), {}, settings.prefixes)
-    chosen = set(names)
+    number = {f: i for i, f in enumerate(names)}
 
     def pick(texts):
-        return {
-            "found": [sorted(features(t, settings.prefixes) & chosen) for t in texts],
-            "swaps": [[{"term": a, "other": b} for a, b in _swaps(t)] for t in texts]}
+        found = [sorted(number[f] for f in features(t, settings.prefixes) if f in number) for t in texts]
+        return {"found": found, "swaps": [[{"term": a, "other": b} for a, b in _swaps(t)] for t in texts]}
 
-    order = F.xxhash64(F.lit("sample"), "doc_id")
-    sample = labelled.orderBy(order, "doc_id", "toxic").limit(settings.sample_rows)  # the documented bound
-    picked = add_columns(sample, ["text"], pick, "found array<string>, swaps array<struct<term:string,other:string>>")
-    return _fit(picked.select("toxic", "found", "swaps").collect(), names, settings)
+    picked = add_columns(labelled, ["text"], pick, "found array<int>, swaps array<struct<term:string,other:string>>")
+    return _fit(picked.select("toxic", "found", "swaps").toArrow(), names, settings)
 
 
 def score(docs: DataFrame, model: Model) -> DataFrame:
@@ -201,5 +205,6 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
 
 def remove_toxic(docs: DataFrame, model: Model) -> DataFrame:
     """The documents that are predicted 0, with the columns of `docs`."""
-    judged = score(docs.select("*", F.struct(*docs.columns).alias("__row")), model)
-    return judged.filter("predicted = 0").select("__row.*")
+    name = free_name(docs, "predicted_toxic")
+    judged = add_columns(docs, ["text"], lambda texts: {name: [int(model.score(t) >= 0.5) for t in texts]}, f"{name} int")
+    return judged.filter(F.col(name) == 0).select(*docs.columns)
