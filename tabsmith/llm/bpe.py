@@ -28,7 +28,7 @@ from tabsmith.llm.common import add_columns
 #: Stands for the end of a word; it occurs in no mapped word.
 END = "\x00"
 #: Entries that a task's caches hold.
-CACHED_WORDS, CACHED_PIECES, CACHED_PAIRS = 120_000, 250_000, 250_000
+CACHED_WORDS, CACHED_PIECES, CACHED_PAIRS = 80_000, 160_000, 120_000
 #: Longer words are not cached.
 CACHED_CHARS = 64
 #: Fixed value: control characters that str.split() takes for white space and Unicode does not.
@@ -42,9 +42,6 @@ def byte_letters() -> list[str]:
     return [chr(b) if b in plain else chr(256 + others.index(b)) for b in range(256)]
 
 
-_NONE = (None, 0)
-
-
 class Recent(dict):
     """The entries used last: at least `size`, at most twice as many. Long keys are not kept; what is missing is None."""
 
@@ -80,7 +77,7 @@ class Codec:
         if (model["type"], kinds, len(splits), spec["decoder"]) != ("BPE", ["NFC", "Replace", "Lowercase"], 1, None) or not self.suffix:
             raise ValueError("only lower-case byte-level BPE with a word-end suffix and no decoder is supported")
         self.pieces = regex.compile(splits[0]).findall
-        self.letters = byte_letters()
+        self.letters = dict(enumerate(byte_letters()))
         mark = lambda token: token[:-len(self.suffix)] + END if token.endswith(self.suffix) else token
         self.ids = {mark(t): i for t, i in model["vocab"].items()}
         self.rank: dict[int, int] = {}
@@ -96,14 +93,15 @@ class Codec:
             raise ValueError("a merge comes before the merges of its parts")
         self.edges: tuple[dict, dict] = ({}, {})
         self.pairs: Recent = Recent(CACHED_PAIRS)
-        self.shorter: dict[int, tuple[int | None, int]] = {}
         never = self._never_made()
         self.ids = {t: i for t, i in self.ids.items() if i not in never}
+        # a token is packed with its length: id | length << 20
         self.automaton = ahocorasick.Automaton()
         for token, i in self.ids.items():
-            self.automaton.add_word(token, (i, len(token)))
+            self.automaton.add_word(token, i | len(token) << 20)
         self.automaton.make_automaton()
         self.token = {i: t for t, i in self.ids.items()}
+        self.shorter = {i: self._prefix(i) for i in self.token}
         names = {i: t for t, i in model["vocab"].items()} | {i: t for t, i in self.special.items()}
         blob = [(names.get(i, "") + " ").encode() for i in range(max(names) + 1)]
         self.blob = np.frombuffer(b"".join(blob), np.uint8)
@@ -139,45 +137,45 @@ class Codec:
 
     def compatible(self, left: int, right: int) -> bool:
         """Whether the merges of both tokens' joined text leave the border between them alone."""
-        known = self.pairs[left, right]
+        known = self.pairs[left << 20 | right]
         if known is None:
-            known = self.pairs[left, right] = not self._merged_over(left, right)
+            known = self.pairs[left << 20 | right] = not self._merged_over(left, right)
         return known
 
-    def _shorter(self, token: int) -> tuple[int | None, int]:
-        """The longest token that is a proper prefix of this one, and its length."""
-        if token not in self.shorter:
-            text = self.token[token]
-            self.shorter[token] = next(((self.ids[text[:n]], n) for n in range(len(text) - 1, 0, -1) if text[:n] in self.ids), _NONE)
-        return self.shorter[token]
+    def _prefix(self, token: int) -> int:
+        """The longest token that is a proper prefix of this one, packed; 0 if there is none."""
+        text = self.token[token]
+        return next((self.ids[text[:n]] | n << 20 for n in range(len(text) - 1, 0, -1) if text[:n] in self.ids), 0)
 
     def encode_piece(self, piece: str) -> tuple[int, ...]:
-        letters = self.letters
-        word = "".join([letters[b] for b in piece.encode()]) + END
-        longest: dict[int, tuple[int, int]] = {}
+        word = piece.encode().decode("latin-1").translate(self.letters) + END
+        size = len(word)
+        longest = [0] * size  # the longest token from each position, as it is packed in the automaton
         for end, found in self.automaton.iter(word):
-            longest[end + 1 - found[1]] = found  # a later match from the same start is longer
-        size, at, out = len(word), 0, []
+            longest[end + 1 - (found >> 20)] = found  # a later match from the same start is longer
+        pairs, at, out = self.pairs, 0, []
         dead: set[int] = set()
-        token, length = longest.get(0, _NONE)
+        found, last = longest[0], -1
         while at < size:
-            last = out[-1][0] if out else None
-            while token is not None:
-                if at + length not in dead and (last is None or self.compatible(last, token)):
+            while found:
+                token = found & 0xFFFFF
+                if at + (found >> 20) not in dead and (last < 0 or ((ok := pairs[last << 20 | token]) or ok is None and self.compatible(last, token))):
                     break
-                token, length = self._shorter(token)
-            if token is not None:
-                out.append((token, length))
-                at += length
-                token, length = longest.get(at, _NONE)
+                found = self.shorter[token]
+            if found:
+                out.append(found)
+                at += found >> 20
+                last = token
+                found = longest[at] if at < size else 0
             elif not out:
                 raise ValueError(f"the vocabulary can't spell {piece!r}")
             else:
                 dead.add(at)
-                last, length = out.pop()
-                at -= length
-                token, length = self._shorter(last)
-        return tuple([t for t, _ in out])
+                found = out.pop()
+                at -= found >> 20
+                last = out[-1] & 0xFFFFF if out else -1
+                found = self.shorter[found & 0xFFFFF]
+        return tuple([f & 0xFFFFF for f in out])
 
     def _never_made(self) -> set[int]:
         """Tokens that no text gives, as merging their own text goes another way."""
@@ -259,6 +257,13 @@ class _Shared:
             _Shared.made[self.key] = Codec(self.text.value)
         return _Shared.made[self.key]
 
+    def release(self) -> None:
+        """Empty the caches: a worker goes on to other work after a partition."""
+        if codec := _Shared.made.get(self.key):
+            for cache in (codec.by_word, codec.by_piece, codec.pairs):
+                cache.clear()
+                cache.old = {}
+
 
 def encode(docs: DataFrame, tokenizer_path: str) -> DataFrame:
     """`docs` with ids (array of int) and n_tokens."""
@@ -268,7 +273,7 @@ def encode(docs: DataFrame, tokenizer_path: str) -> DataFrame:
         ids = [shared.get().encode(t) for t in texts]
         return {"ids": ids, "n_tokens": [len(i) for i in ids]}
 
-    return add_columns(docs, ["text"], run, "ids array<int>, n_tokens long")
+    return add_columns(docs, ["text"], run, "ids array<int>, n_tokens long", shared.release)
 
 
 def decode(encoded: DataFrame, tokenizer_path: str) -> DataFrame:
@@ -293,4 +298,4 @@ def digests(docs: DataFrame, tokenizer_path: str, with_ids: bool = False) -> Dat
                 out["ids"].append(ids)
         return out
 
-    return add_columns(docs, ["text"], run, "n_tokens long, ids_sha256 string, decoded_sha256 string" + ", ids array<int>" * with_ids)
+    return add_columns(docs, ["text"], run, "n_tokens long, ids_sha256 string, decoded_sha256 string" + ", ids array<int>" * with_ids, shared.release)

@@ -65,10 +65,10 @@ def map_rows(df: DataFrame, columns: Sequence[str], fn: Callable[..., Iterator[d
     return df.select(*columns).mapInArrow(run, schema)
 
 
-def add_columns(df: DataFrame, inputs: Sequence[str], fn: Callable[..., dict], schema: str) -> DataFrame:
+def add_columns(df: DataFrame, inputs: Sequence[str], fn: Callable[..., dict], schema: str, at_end: Callable[[], None] | None = None) -> DataFrame:
     """`df` with the columns that `fn` makes, batch by batch, from lists of the `inputs`' values.
 
-    A column of `df` that has the name of a new one is replaced.
+    A column of `df` that has the name of a new one is replaced. `at_end` is called after a partition.
     """
     new = df.sparkSession.createDataFrame([], schema).schema
     names = {f.name.lower() for f in new}
@@ -86,5 +86,7 @@ def add_columns(df: DataFrame, inputs: Sequence[str], fn: Callable[..., dict], s
             made = [pa.array(out[f.name], arrow.field(f.name).type) for f in new]
             arrays = [b.column(i) for i in range(len(kept))] + made
             yield pa.RecordBatch.from_arrays([a.cast(f.type) for a, f in zip(arrays, arrow)], schema=arrow)
+        if at_end:
+            at_end()
 
     return source.mapInArrow(run, target)
