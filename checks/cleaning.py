@@ -10,6 +10,8 @@ from checks.registry import query
 from tabsmith.functions import numeric, text
 from tabsmith.operators import rows
 from tabsmith.plans import loan_features, loan_preset as preset
+from tabsmith.session import work_path
+from tabsmith.sources import tables
 
 
 @query("dedup_first", with_loans(
@@ -111,6 +113,31 @@ def clean_table(spark, sf_dir):
     return loan_features.clean(loans(spark, sf_dir), ["src_ord"]).transform(floats_to_doubles)
 
 
+def _read_in_order(spark, sf_dir, kind):
+    """The cleaned table of a written one, by the order in which its rows are read."""
+    path = f"{work_path(spark, 'raw')}.{kind}"
+    ordered = loans(spark, sf_dir).repartitionByRange(6, "src_ord").sortWithinPartitions("src_ord")
+    tables.write_table(ordered.select(*preset.RAW_COLUMNS), path, kind)
+    raw = tables.read_table(spark, path, kind, preset.raw_schema(), position=True)
+    return loan_features.clean(raw).select("loan_id", "loan_status", "city", "phone_number", "employer_name")
+
+
+_FIRST_READ = sql.cleaned_sql(
+    "select loan_id, loan_status, city, nullif(phone_number, '') as phone_number, nullif(employer_name, '') as employer_name from cleaned")
+
+
+# CSV has no empty text, so both queries read it as missing
+@query("dedup_default_parquet", _FIRST_READ)
+def dedup_default_parquet(spark, sf_dir):
+    texts = {c: F.nullif(F.col(c), F.lit("")) for c in ("phone_number", "employer_name")}
+    return _read_in_order(spark, sf_dir, "parquet").withColumns(texts)
+
+
+@query("dedup_default_csv", _FIRST_READ)
+def dedup_default_csv(spark, sf_dir):
+    return _read_in_order(spark, sf_dir, "csv")
+
+
 def floats_to_doubles(df):
     """FLOAT columns as DOUBLE, the width that the SQL side is compared in."""
     return df.select(*[F.col(c).cast("double").alias(c) if t == "float" else c for c, t in df.dtypes])

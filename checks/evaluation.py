@@ -116,6 +116,21 @@ def log_loss(spark, sf_dir):
     return loss.select(F.round("log_loss", 9).alias("log_loss"))
 
 
+# three classes, with chances that both engines compute alike
+_CHANCES = "cast(l_linenumber % 3 as int) as y, (1 + l_quantity % 5) as a, (1 + l_orderkey % 7) as b, (1 + l_suppkey % 4) as c"
+
+
+@query("mlogloss", f"""
+select round(avg(-ln(case y when 0 then a when 1 then b else c end / cast(a + b + c as double))), 9) as mlogloss
+from (select {_CHANCES} from lineitem)""")
+def mlogloss(spark, sf_dir):
+    parts = spark.read.parquet(f"{sf_dir}/lineitem.parquet").selectExpr(*_CHANCES.split(", "))
+    total = F.col("a") + F.col("b") + F.col("c")
+    chances = F.array(*[(F.col(x) / total).cast("double") for x in "abc"])
+    loss = evaluate.multiclass_log_loss(parts.withColumn("chances", chances), "y", "chances")
+    return loss.select(F.round("mlogloss", 9).alias("mlogloss"))
+
+
 _ITEMS = "items as (select l_linenumber as y, cast(l_quantity as int) % 7 + 1 as p from lineitem)"
 _CLASSES = f"""with {_ITEMS}, classes as (select y as class from items union select p from items),
 per_class as (select class, count(*) filter (y = class) as support, count(*) filter (p = class) as predicted,

@@ -9,12 +9,11 @@ from checks.cleaning import floats_to_doubles
 from checks.loans import loans, with_loans
 from checks.registry import query
 from tabsmith.functions import numeric
-from tabsmith.operators import counts as counting
 from tabsmith.operators import fit as fitting
 from tabsmith.operators import rows
 from tabsmith.operators.selection import exact_medians
 from tabsmith.plans import loan_features, loan_preset as preset
-from tabsmith.session import stage
+from tabsmith.session import stage, work_path
 
 
 def cleaned(spark, sf_dir):
@@ -23,9 +22,8 @@ def cleaned(spark, sf_dir):
 
 def staged_and_fitted(spark, sf_dir):
     """The cleaned table, written once and read by every later pass, and its fitted state."""
-    df, seen = counting.observe_rows(cleaned(spark, sf_dir), "cleaned")
-    df = stage(df, "cleaned")
-    return df, loan_features.fit(df, seen.get["rows"])
+    df = stage(cleaned(spark, sf_dir), "cleaned")
+    return df, loan_features.fit(df)
 
 
 def _as_rows(spark, values: dict, kind: str):
@@ -55,11 +53,12 @@ def value_counts(spark, sf_dir):
     return fitting.value_counts(cleaned(spark, sf_dir), preset.CATEGORICAL_IMPUTED)
 
 
-@query("sample_fraction")
+@query("sample_fraction", with_loans("""
+select src_ord, loan_id, credit_score from loans
+where cast('0x' || substr(md5('42:' || loan_id), 1, 8) as bigint) < 1288490188"""))
 def sample_fraction(spark, sf_dir):
-    df = loans(spark, sf_dir).select("loan_id", "credit_score")
-    n = df.count()
-    return rows.sample_to_limit(df, n, limit=max(1, n // 2))
+    df = loans(spark, sf_dir).select("src_ord", "loan_id", "credit_score")
+    return rows.sample_by_key(df, "loan_id", 0.3)
 
 
 @query("fill_missing", with_loans(
@@ -125,12 +124,9 @@ def ordinal_encode(spark, sf_dir):
 @query("label_maps", with_loans(
     "select name, value, cast(code as bigint) as code from codes", *sql.CLEAN_STEPS, sql.PAIRS, sql.CODES))
 def label_maps(spark, sf_dir):
-    state = fitting.fit(cleaned(spark, sf_dir), encoded=preset.LABEL_ENCODED)
-    pairs = [(c, v, i) for c, values in state.labels.items() for i, v in enumerate(values)]
-    short = spark.createDataFrame(pairs, "name string, value string, code bigint")
-    for c, path in state.code_tables.items():
-        short = short.unionByName(spark.read.parquet(path).select(F.lit(c).alias("name"), "value", "code"))
-    return short
+    path = work_path(spark, "state")
+    fitting.fit(cleaned(spark, sf_dir), encoded=preset.LABEL_ENCODED).save(spark, path)
+    return fitting.FitState.load(spark, path).codes
 
 
 _ENCODED_SQL = ", ".join(

@@ -47,6 +47,17 @@ def sink_csv_roundtrip(spark, sf_dir):
     return tables.read_table(spark, path, schema="src_ord bigint, loan_id string, city string, interest_rate double")
 
 
+_QUOTED = """concat('a "', o_orderpriority, '", ', chr(10), ' ', cast(o_orderkey as string), ', "" ')"""
+
+
+@query("csv_quoting", f"select o_orderkey, {_QUOTED} as said from orders")
+def csv_quoting(spark, sf_dir):
+    orders = spark.read.parquet(f"{sf_dir}/orders.parquet").selectExpr("o_orderkey", f"{_QUOTED} as said")
+    path = work_path(spark, "quoted") + ".csv"
+    tables.write_table(orders, path, "csv", files=4)
+    return tables.read_table(spark, path, schema="o_orderkey bigint, said string", multiline=True)
+
+
 @query("sink_parquet_roundtrip", with_loans("select src_ord, loan_id, city, interest_rate from loans"))
 def sink_parquet_roundtrip(spark, sf_dir):
     path = work_path(spark, "sink")

@@ -11,15 +11,14 @@ import re
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tabsmith.operators.rows import spread
-from tabsmith.session import keep_methods_small
 
 # name | type | expression. U<s> is a draw in 0..999; P(<s>;a|b|c) picks one item, ~ is an apostrophe.
+# The spellings are fixed values.
 _SPEC = r"""
 loan_id	string	concat('LN-', lpad(cast(k as string), 10, '0'))
 applicant_age	double	case when U1 < 30 then null when U1 < 35 then cast(P(1;-1|0|150|200|999) as double) else 18e0 + (k*37 % 530)/1e1 end
-gender	string	P(2;Male|Female|male|female|M|F|MALE|FEMALE|)
-marital_status	string	P(3;Single|Married|Divorced|Widowed|single|MARRIED|divorced|Maried|Sep|Separated|)
+gender	string	P(2;Male|Female|male|female|M|F|MALE|FEMALE|| Male |  f|nan|None |N/A|-)
+marital_status	string	P(3;Single|Married|Divorced|Widowed|single|MARRIED|divorced|Maried|Sep|Separated|| single |NONE|na)
 education_level	string	P(4;High School|Bachelor~s|Master~s|PhD|Bachelors|bachelor~s|masters|high school|Doctorate|phd|Associate~s|associates|)
 dependents	string	P(5;0|1|2|3|4|5+|3+||two|-1)
 employment_type	string	P(15;Salaried|Self-Employed|Business|Freelancer|salaried|self_employed|SALARIED|Govt|Government|Retired|Unemployed|)
@@ -42,8 +41,8 @@ existing_emi	double	case when U9 < 60 then null else cast(k*11 % 900 as double)
 savings_balance	double	case when U26 < 70 then null else cast(k*41 % 30000 as double) end
 property_value	double	case when U27 < 300 then null else tp * 2e0 end
 property_type	string	P(28;Apartment|House|Condo|Townhouse|apartment|HOUSE|condo|)
-city	string	P(29;New York|Los Angeles|Chicago|Houston|new york|San Francsico|Dallas|Austin|Nashvile|Seattle|Denver|Boston)
-state	string	P(30;NY|CA|IL|TX|AZ|FL|New York|California|ca|texas)
+city	string	P(29; New York |none|New York|Los Angeles|Chicago|Houston|new york|San Francsico|Dallas|Austin|Nashvile|Seattle|Denver|Boston)
+state	string	P(30;NY|CA|IL|TX|AZ|FL|New York|California|ca|texas| ny |nan|none)
 zip_code	string	case when U12 < 40 then '' when U12 < 90 then cast(1000 + k % 9000 as string) when U12 < 120 then 'abcde' when U12 < 150 then concat(cast(10000 + k % 90000 as string),'.0') else cast(10000 + k*7 % 90000 as string) end
 application_date	string	case when U11 < 20 then P(11;31/02/2022|not available|N/A|) else case U11 % 4 when 0 then concat(y,'-',m,'-',d) when 1 then concat(m,'/',d,'/',y) when 2 then concat(d,'-',m,'-',y) else concat(d,' ',split_part('Jan|Feb|Mar|Apr|May|Jun|Jul|Aug|Sep|Oct|Nov|Dec','|',cast(m as int)),' ',y) end end
 application_channel	string	P(31;Online|Branch|Mobile App|online|BRANCH|mobile|)
@@ -75,6 +74,12 @@ def _columns() -> list[tuple[str, str]]:
     return out
 
 
+def spellings(column: str) -> list[str]:
+    """What a text column of the loans may hold."""
+    line = next(x for x in _SPEC.strip().split("\n") if x.startswith(column + "\t"))
+    return [x.replace("~", "'") for x in re.search(r"P\(\d+;([^)]*)\)", line).group(1).split("|")]
+
+
 COLUMNS = _columns()
 RAW_NAMES = [name for name, _ in COLUMNS if name != "src_ord"]
 
@@ -88,10 +93,13 @@ _BASE = """
 _BLANKS = {"phone_number": 600, "employer_name": 1000}
 
 
+#: The table comes as one small file; its rows are dealt out by hand.
+_PARTITIONS = 8
+
+
 def loans(spark: SparkSession, sf_dir: str) -> DataFrame:
-    keep_methods_small(spark)
-    orders = spread(spark.read.parquet(f"{sf_dir}/orders.parquet").select(
-        "o_orderkey", "o_custkey", "o_totalprice", "o_orderdate"))
+    orders = spark.read.parquet(f"{sf_dir}/orders.parquet").select(
+        "o_orderkey", "o_custkey", "o_totalprice", "o_orderdate").repartition(_PARTITIONS)
     customer = spark.read.parquet(f"{sf_dir}/customer.parquet")
     base = spark.sql(
         _BASE.replace("from orders join customer", "from {orders} join {customer}"),

@@ -29,10 +29,15 @@ def split_hash(spark, sf_dir):
     return split.hash_split(loans(spark, sf_dir).select("src_ord", "loan_id"), "loan_id", 0.2)
 
 
-@query("split_random")
+# which rows are drawn depends on the partitions: all rows are there once, and about a fifth is for validation
+@query("split_random", with_loans(
+    "select count(*) as rows, count(distinct src_ord) as distinct_rows, true as share_is_near from loans"))
 def split_random(spark, sf_dir):
-    train, val = split.random_split(loans(spark, sf_dir).select("src_ord", "loan_id"), 0.2)
-    return train.withColumn("is_val", F.lit(False)).unionByName(val.withColumn("is_val", F.lit(True)))
+    train, val = split.random_split(stage(loans(spark, sf_dir).select("src_ord"), "numbers"), 0.2)
+    both = train.withColumn("is_val", F.lit(0)).unionByName(val.withColumn("is_val", F.lit(1)))
+    return both.agg(
+        F.count(F.lit(1)).alias("rows"), F.count_distinct("src_ord").alias("distinct_rows"),
+        F.avg("is_val").between(0.15, 0.25).alias("share_is_near"))
 
 
 def _val_priorities() -> str:
@@ -50,7 +55,8 @@ def split_files(spark, sf_dir):
     orders = spark.read.parquet(f"{sf_dir}/orders.parquet").select(
         "o_orderkey", F.substring("o_orderpriority", 1, 1).alias("priority"))
     path = work_path(spark, "by-priority")
-    orders.write.partitionBy("priority").parquet(path)
+    # one file for each priority, however many files the table has
+    orders.repartition("priority").write.partitionBy("priority").parquet(path)
     files = tables.list_files(spark, path)
     train, val = split.file_split(files, 0.2)
     read = lambda names, mark: tables.read_table(spark, names, "parquet").select(

@@ -10,26 +10,25 @@ from tabsmith.plans import loan_preset as preset
 from tabsmith.plans import synthesis
 
 
-@query("synth_loans")
-def synth_loans(spark, sf_dir):
-    ids = spark.read.parquet(f"{sf_dir}/orders.parquet").select(F.col("o_orderkey").alias("id"))
-    return synthesis.synthesise_loans(ids)
+def _draw(salt: int) -> str:
+    """An integer hash of the order key that both engines compute alike, as a draw on [0, 1)."""
+    return f"((((o_orderkey % 100003) * {48271 + 2 * salt} + 11) % 100003) / 100003e0)"
 
 
-# an integer hash of the order key that both engines compute alike, as a draw on [0, 1)
-_DRAW = "((((o_orderkey % 100003) * 48271 + 11) % 100003) / 100003e0)"
+_DRAW = _draw(0)
 
 
 @query("inject_dirt", f"""
-select o_orderkey, case when {_DRAW} < 3e-2 then null else o_totalprice end as o_totalprice,
-  case when {_DRAW} >= 3e-2 and {_DRAW} < 3e-2 + 5e-3 then '' else o_orderpriority end as o_orderpriority,
-  case when {_DRAW} >= 3e-2 + 5e-3 and {_DRAW} < 3e-2 + 5e-3 + 2e-2 then -1 else o_custkey end as o_custkey
+select o_orderkey, case when {_draw(1)} < 3e-2 then null else o_totalprice end as o_totalprice,
+  case when {_draw(2)} < 7e-1 then '' else o_orderpriority end as o_orderpriority,
+  case when {_draw(3)} < 6e-1 then -1 else o_custkey end as o_custkey
 from orders""")
 def inject_dirt(spark, sf_dir):
     orders = spark.read.parquet(f"{sf_dir}/orders.parquet").select(
         "o_orderkey", "o_totalprice", "o_orderpriority", "o_custkey")
+    names = ["o_totalprice", "o_orderpriority", "o_custkey"]
     return synthesis.inject_dirt(
-        orders, {"o_totalprice": 0.03, "o_orderpriority": 0.005, "o_custkey": 0.02}, F.expr(_DRAW),
+        orders, dict(zip(names, (0.03, 0.7, 0.6))), {n: F.expr(_draw(i + 1)) for i, n in enumerate(names)},
         {"o_orderpriority": F.lit(""), "o_custkey": F.lit(-1)})
 
 

@@ -17,8 +17,6 @@ MONTHS = {
     )
 }
 _FIELDS = {"%Y": "([0-9]{4})", "%m": "([0-9]{1,2})", "%d": "([0-9]{1,2})", "%b": "([A-Za-z]{3})"}
-# the dates a 64-bit count of nanoseconds can hold
-_FIRST_DATE, _LAST_DATE = "1677-09-22", "2262-04-11"
 
 
 def _parse_one(text: Column, fmt: str) -> Column:
@@ -46,10 +44,12 @@ def _parse_one(text: Column, fmt: str) -> Column:
     return F.when(text.rlike(pattern), iso.try_cast("date"))
 
 
-def parse_dates(text: Column, formats: Sequence[str]) -> Column:
-    """The date by the first format (%Y %m %d %b) that fits; NULL when none does."""
+def parse_dates(text: Column, formats: Sequence[str], bounds: tuple[str, str] | None = None) -> Column:
+    """The date by the first format (%Y %m %d %b) that fits; NULL when none does, or outside `bounds`."""
     parsed = F.coalesce(*[_parse_one(text, f) for f in formats])
-    return F.when(parsed.between(F.lit(_FIRST_DATE).cast("date"), F.lit(_LAST_DATE).cast("date")), parsed)
+    if bounds is None:
+        return parsed
+    return F.when(parsed.between(*[F.lit(b).cast("date") for b in bounds]), parsed)
 
 
 def date_parts(date: Column) -> dict[str, Column]:

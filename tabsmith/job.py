@@ -1,6 +1,7 @@
 """One entry for spark-submit: spark-submit -m tabsmith.job <config.yaml> [section.key=value ...]
 
-Steps, as the config's `run` lists them: synthesise, features, train, tune.
+Steps, as the config's `run` lists them: features, train, tune. Tables that a job stages in the
+shared folder are removed when it ends.
 """
 
 from __future__ import annotations
@@ -13,25 +14,25 @@ import time
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tabsmith.operators import counts, rows, split
+from tabsmith.operators import counts, split
 from tabsmith.operators.fit import FitState
-from tabsmith.plans import loan_features, loan_preset as preset, synthesis
-from tabsmith.session import build_session, stage
+from tabsmith.plans import loan_features, loan_preset as preset
+from tabsmith.session import build_session, job_folder, stage
 from tabsmith.sources import tables
 from tabsmith.training import model, tune
 
 # The settings of a run that names none.
 DEFAULTS = {
     "run": ["features", "train"],
-    "synthesise": {"rows": 10_000_000, "output": "raw_loans", "format": "parquet"},
     "features": {
         "input": "raw_loans", "input_format": None, "output": "features", "format": "parquet",
         "header": True, "files": None, "val_split": 0.2, "fit_on": "all", "state": None, "order": None,
+        "partitions": None, "multiline": False,
     },
     "train": {
-        "input": "features/train", "val_input": "features/val", "val_split": 0.2, "header": True,
+        "input": "features/train", "val_input": "features/val", "val_split": 0.2, "split_by": "rows", "header": True,
         "input_format": None, "model_dir": "model", "objective": "binary:logistic",
-        "num_rounds": 500, "early_stopping": 20, "max_depth": 7, "learning_rate": 0.1,
+        "num_rounds": 500, "early_stopping": 20, "stop_rule": "library", "eval_metric": (), "max_depth": 7, "learning_rate": 0.1,
         "subsample": 0.8, "colsample": 0.8, "min_child": 5, "max_bins": 256, "threshold": 0.5,
         "seed": 42, "class_weight_sample_rows": -1,
     },
@@ -42,10 +43,10 @@ DEFAULTS = {
     },
 }
 TREE_KEYS = (
-    "objective", "num_rounds", "early_stopping", "max_depth", "learning_rate", "subsample",
+    "objective", "num_rounds", "early_stopping", "stop_rule", "eval_metric", "max_depth", "learning_rate", "subsample",
     "colsample", "min_child", "max_bins", "threshold", "seed",
 )
-STEPS = ("synthesise", "features", "train", "tune")
+STEPS = ("features", "train", "tune")
 
 
 def merge_config(given: dict | None, overrides: list[str] = ()) -> dict:
@@ -96,26 +97,15 @@ def load_config(path: str) -> dict:
         return yaml.safe_load(f)
 
 
-def run_synthesise(spark: SparkSession, c: dict) -> dict:
-    ids = spark.range(int(c["rows"]))
-    df = synthesis.synthesise_loans(ids)
-    copied = synthesis.draws.uniform(F.xxhash64(preset.KEY), "copy") < 0.01
-    partial = synthesis.draws.uniform(F.xxhash64(preset.KEY), "partial") < 0.1
-    df = synthesis.inject_duplicates(
-        df, copied, {name: partial for name in ("phone_number", "employer_name", "city")}).drop("copy")
-    if c["format"] == "csv":
-        df = synthesis.append_sentinels(df, int(c["rows"]))
-    tables.write_table(df, c["output"], c["format"])
-    return {"output": c["output"]}
-
-
 def run_features(spark: SparkSession, c: dict) -> dict:
     """Read, clean once into the shared folder, fit from it, then write the feature table."""
     kind = c["input_format"] or tables.detect_format(spark, c["input"])
-    raw = tables.read_table(
-        spark, c["input"], kind, preset.raw_schema() if kind == "csv" else None)
-    raw, seen_raw = counts.observe_rows(rows.spread(raw), "rows in")
     order = [c["order"]] if isinstance(c["order"], str) else c["order"]
+    raw = tables.read_table(
+        spark, c["input"], kind, preset.raw_schema() if kind == "csv" else None, multiline=c["multiline"], position=not order)
+    if c["partitions"]:  # few or unsplittable files: deal the rows out
+        raw = raw.repartition(c["partitions"])
+    raw, seen_raw = counts.observe_rows(raw, "rows in")
     cleaned, seen_clean = counts.observe_rows(loan_features.clean(raw, order), "rows out")
     cleaned = stage(cleaned, "cleaned")
     rows_in, rows_out = seen_raw.get["rows"], seen_clean.get["rows"]
@@ -123,7 +113,7 @@ def run_features(spark: SparkSession, c: dict) -> dict:
     if c["fit_on"] == "train" and marked is not None:
         state = loan_features.fit(split.parts(marked)[0])
     else:
-        state = loan_features.fit(cleaned, rows_out)
+        state = loan_features.fit(cleaned)
     if c["state"]:
         state.save(spark, c["state"])
     summary = {
@@ -148,17 +138,22 @@ def read_feature_tables(spark: SparkSession, c: dict) -> tuple[DataFrame, DataFr
             f"_c{i} {column.split()[1]}" for i, column in enumerate(preset.feature_schema().split(", ")))
     train, val, label = tables.read_train_val(
         spark, c["input"], c["val_input"], c["val_split"], c["seed"],
-        format=kind, schema=schema, header=c["header"])
+        format=kind, schema=schema, header=c["header"], by=c["split_by"])
     if kind == "csv":
         # a fit passes over its input several times; parse the text once
         train, val = stage(train, "train"), stage(val, "val")
     return train, val, label
 
 
+def tree_params(settings: dict) -> model.TreeParams:
+    metrics = settings.get("eval_metric") or ()
+    return model.TreeParams(**{**settings, "eval_metric": tuple(metrics.split(",") if isinstance(metrics, str) else metrics)})
+
+
 def run_train(spark: SparkSession, c: dict) -> dict:
     start = time.time()
     train, val, label = read_feature_tables(spark, c)
-    params = model.TreeParams(**{k: c[k] for k in TREE_KEYS})
+    params = tree_params({k: c[k] for k in TREE_KEYS})
     weight = None
     if params.task == "binary":
         sample = c["class_weight_sample_rows"]
@@ -168,11 +163,14 @@ def run_train(spark: SparkSession, c: dict) -> dict:
     row = model.run_report(trained, scored, train.count(), val.count(), time.time() - start)
     row = stage(row, "metrics")
     folder = c["model_dir"].rstrip("/")
+    model.round_losses(trained).coalesce(1).write.mode("overwrite").json(f"{folder}/rounds")
     tables.write_json_row(row, f"{folder}/metrics", "overwrite")
     tables.write_json_row(model.importance(trained), f"{folder}/feature_importance", "overwrite")
     params_json = json.dumps({**model.params_row(trained), "positive_weight": weight})
     spark.createDataFrame([(params_json,)], "params string").coalesce(1).write.mode("overwrite").text(f"{folder}/params")
-    trained.model.write().overwrite().save(f"{folder}/model")
+    models = {f"class={k}": m for k, m in enumerate(trained.model.models)} if params.task == "multiclass" else {"": trained.model}
+    for name, one in models.items():
+        one.write().overwrite().save("/".join(filter(None, [folder, "model", name])))
     return row.first().asDict(recursive=True)
 
 
@@ -187,7 +185,7 @@ def run_tune(spark: SparkSession, c: dict, base: dict) -> dict:
         # the budget is shared; the first algorithms take what is left over
         n = c["max_jobs"] // len(names) + (i < c["max_jobs"] % len(names))
         space = tune.space_from_config(c["ranges"][name]) if name in c["ranges"] else spaces[name]
-        searches[name] = (model.TreeParams(**{**fixed, **c["algorithms"][name]}), draw(space, n))
+        searches[name] = (tree_params({**fixed, "eval_metric": (), **c["algorithms"][name]}), draw(space, n))
     trials = stage(tune.tune(train, val, label, searches, c["metric"], c["parallel_jobs"]), "trials")
     direction = c["direction"] or tune.direction_of(c["metric"])
     trials.coalesce(1).write.mode("overwrite").json(c["output"])
@@ -199,15 +197,14 @@ def run_tune(spark: SparkSession, c: dict, base: dict) -> dict:
 
 def run(spark: SparkSession, config: dict) -> dict:
     results = {}
-    for step in config["run"]:
-        if step == "synthesise":
-            results[step] = run_synthesise(spark, config[step])
-        elif step == "features":
-            results[step] = run_features(spark, config[step])
-        elif step == "train":
-            results[step] = run_train(spark, config[step])
-        else:
-            results[step] = run_tune(spark, config[step], config["train"])
+    with job_folder(spark):
+        for step in config["run"]:
+            if step == "features":
+                results[step] = run_features(spark, config[step])
+            elif step == "train":
+                results[step] = run_train(spark, config[step])
+            else:
+                results[step] = run_tune(spark, config[step], config["train"])
     return results
 
 

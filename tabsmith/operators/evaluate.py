@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tabsmith.functions.numeric import clip, ratio_or_zero
-from tabsmith.operators.ordering import numeric_edges, running_totals
+from tabsmith.operators.ordering import running_totals
 from tabsmith.session import stage
 
 _COUNT = "decimal(38,0)"  # products of row counts do not fit a bigint at scale
@@ -72,8 +72,7 @@ def ranking_metrics(counts: DataFrame) -> DataFrame:
 
     With only one class the AUC is NULL; without positives the average precision is 0.
     """
-    n = counts.count()  # from the file footers
-    ordered = running_totals(counts, "score", ["pos", "neg"], numeric_edges(counts, "score", n))
+    ordered = running_totals(counts, ["score"], ["pos", "neg"])
     all_pos = counts.agg(F.sum("pos").cast(_COUNT)).scalar()
     all_neg = counts.agg(F.sum("neg").cast(_COUNT)).scalar()
     pos, neg = F.col("pos").cast(_COUNT), F.col("neg").cast(_COUNT)
@@ -109,10 +108,18 @@ def binary_report(df: DataFrame, label: str, score: str, threshold: float = 0.5)
         F.lit("binary").alias("task_type"),
         ranking["auc_roc"].alias("auc_roc"), ranking["auc_pr"].alias("auc_pr"),
         "accuracy", "precision", "recall", "f1", F.lit(float(threshold)).alias("threshold"),
+        log_loss_of_counts(counts).scalar().alias("logloss"),
         F.struct("tn", "fp", "fn", "tp").alias("confusion_matrix"),
     )
 
 
+def log_loss_of_counts(counts: DataFrame, margin: float = 1e-15) -> DataFrame:
+    """log_loss of a score_counts table."""
+    p = clip(F.col("score"), margin, 1 - margin)
+    total = -(F.sum(F.col("pos") * F.ln(p)) + F.sum(F.col("neg") * F.ln(1 - p)))
+    return counts.agg(F.try_divide(total, F.sum(F.col("pos") + F.col("neg"))).alias("logloss"))
+
+
 def log_loss(df: DataFrame, label: str, probability: str, margin: float = 1e-15) -> DataFrame:
     """Mean negative log-likelihood of a 0/1 label."""
     p = clip(F.col(probability), margin, 1 - margin)
@@ -151,15 +158,18 @@ def class_rates(counts: DataFrame) -> DataFrame:
     )
 
 
-def multiclass_report(df: DataFrame, label: str, predicted: str) -> DataFrame:
-    """Accuracy, plain and support-weighted mean F1, in one row."""
+def multiclass_report(df: DataFrame, label: str, predicted: str, probabilities: str | None = None) -> DataFrame:
+    """Accuracy, plain and support-weighted mean F1, and mlogloss where there are probabilities, in one row."""
     per_class = class_rates(class_counts(df, label, predicted))
-    return per_class.agg(
+    row = per_class.agg(
         F.lit("multiclass").alias("task_type"),
         ratio_or_zero(F.sum("correct"), F.sum("support")).alias("accuracy"),
         F.avg("f1").alias("f1_macro"),
         ratio_or_zero(F.sum(F.col("f1") * F.col("support")), F.sum("support")).alias("f1_weighted"),
     )
+    if probabilities is None:
+        return row
+    return row.withColumn("mlogloss", multiclass_log_loss(df, label, probabilities).scalar())
 
 
 def class_report(df: DataFrame, label: str, predicted: str) -> DataFrame:

@@ -11,12 +11,9 @@ from pyspark.sql import functions as F
 
 from tabsmith.operators.ordering import dense_codes
 from tabsmith.operators.selection import exact_medians
+from tabsmith.session import stage
 
-# A column with more distinct values than this keeps its codes in a table and is encoded by a join.
-CODES_IN_PLAN = 2_000
-# Up to this many rows one aggregate that holds every distinct value is quicker than several passes.
-ROWS_FOR_ONE_PASS = 500_000
-
+CODE_SCHEMA = "name string, value string, code long"
 
 def value_counts(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """(name, value, n) over the non-null values of text columns, in one aggregation.
@@ -40,41 +37,36 @@ def modes(counts: DataFrame) -> DataFrame:
     return counts.groupBy("name").agg(best).select("name", F.col("best.value").alias("mode"))
 
 
-def medians(df: DataFrame, columns: Sequence[str], n_rows: int | None = None) -> dict[str, float]:
-    """Exact medians, 0.0 for a column without values.
-
-    A small table takes one aggregate; its buffer holds every distinct value on
-    one task, so a larger table (or one of unknown size) takes narrowing passes.
-    """
-    if n_rows is not None and n_rows <= ROWS_FOR_ONE_PASS:
-        row = df.agg(*[F.median(c).alias(c) for c in columns]).first()
-        found = {c: row[c] for c in columns}
-    else:
-        found = exact_medians(df, columns)
-    return {c: 0.0 if v is None else float(v) for c, v in found.items()}
+def medians(df: DataFrame, columns: Sequence[str]) -> dict[str, float]:
+    """Exact medians, 0.0 for a column without values."""
+    return {c: 0.0 if v is None else float(v) for c, v in exact_medians(df, columns).items()}
 
 
 @dataclass
 class FitState:
-    """What is learnt from a table: numbers and short lists, and the paths of long code tables."""
+    """What is learnt from a table: a number or text per column, and the label codes as a table (name, value, code)."""
 
     medians: dict[str, float] = field(default_factory=dict)
     modes: dict[str, str] = field(default_factory=dict)
-    labels: dict[str, list[str]] = field(default_factory=dict)  # values in code order
-    code_tables: dict[str, str] = field(default_factory=dict)  # column -> parquet (value, code)
     sizes: dict[str, int] = field(default_factory=dict)  # categories per encoded column
+    codes: DataFrame | None = None
 
     def fill_values(self) -> dict:
         return {**self.medians, **self.modes}
 
     def save(self, spark: SparkSession, path: str) -> None:
-        spark.createDataFrame([(json.dumps(self.__dict__),)], "state string").write.mode(
-            "overwrite"
-        ).text(path)
+        """Everything below `path`: the work folder may be cleared afterwards."""
+        plain = {"medians": self.medians, "modes": self.modes, "sizes": self.sizes}
+        root = path.rstrip("/")
+        spark.createDataFrame([(json.dumps(plain),)], "state string").coalesce(1).write.mode("overwrite").text(f"{root}/numbers")
+        codes = self.codes if self.codes is not None else spark.createDataFrame([], CODE_SCHEMA)
+        codes.write.mode("overwrite").parquet(f"{root}/codes")
 
     @classmethod
     def load(cls, spark: SparkSession, path: str) -> FitState:
-        return cls(**json.loads(spark.read.text(path).first()[0]))
+        root = path.rstrip("/")
+        plain = json.loads(spark.read.text(f"{root}/numbers").first()[0])
+        return cls(**plain, codes=spark.read.schema(CODE_SCHEMA).parquet(f"{root}/codes"))
 
 
 def fit(
@@ -82,7 +74,6 @@ def fit(
     numeric: Sequence[str] = (),
     categorical: Sequence[str] = (),
     encoded: Sequence[str] = (),
-    n_rows: int | None = None,
     unknown: str = "unknown",
 ) -> FitState:
     """Medians of `numeric`, modes of `categorical`, sorted label codes of `encoded`.
@@ -94,13 +85,10 @@ def fit(
     numeric = [c for c in numeric if c in df.columns]
     categorical = [c for c in categorical if c in df.columns]
     encoded = [c for c in encoded if c in df.columns]
-    state = FitState(medians=medians(df, numeric, n_rows) if numeric else {})
+    state = FitState(medians=medians(df, numeric) if numeric else {})
     texts = list(dict.fromkeys([*categorical, *encoded]))
     if not texts:
         return state
-
-    from tabsmith.session import stage
-
     counts = stage(value_counts(df, texts), "value-counts")
     summary = counts.groupBy("name").agg(
         F.count(F.lit(1)).alias("size"),
@@ -109,22 +97,13 @@ def fit(
     found = {r["name"]: r for r in summary.collect()}  # one row per column
     state.modes = {c: found[c]["best"]["value"] if c in found else unknown for c in categorical}
     state.sizes = {c: found[c]["size"] if c in found else int(c in categorical) for c in encoded}
-
-    short = [c for c in encoded if c in found and state.sizes[c] <= CODES_IN_PLAN]
-    if short:
-        rows = counts.filter(F.col("name").isin(*short)).select("name", "value").collect()
-        for c in short:
-            state.labels[c] = sorted(r["value"] for r in rows if r["name"] == c)
-    for c in encoded:
-        if c not in found:
-            state.labels[c] = [unknown] if c in categorical else []
-        elif c not in short:
-            values = counts.filter(F.col("name") == c).select("value")
-            from tabsmith.session import work_path
-
-            path = work_path(df.sparkSession, f"codes-{c}")
-            dense_codes(values, "value").write.parquet(path)
-            state.code_tables[c] = path
+    if encoded:
+        values = counts.filter(F.col("name").isin(*encoded)).select("name", "value")
+        empty = [c for c in encoded if c not in found and c in categorical]
+        if empty:
+            names = F.explode(F.array(*map(F.lit, empty)))
+            values = values.unionByName(df.sparkSession.range(1).select(names.alias("name"), F.lit(unknown).alias("value")))
+        state.codes = stage(dense_codes(values), "codes")
     return state
 
 
@@ -134,22 +113,15 @@ def fill_missing(df: DataFrame, values: dict) -> DataFrame:
 
 
 def encode_labels(df: DataFrame, state: FitState, suffix: str = "_encoded") -> DataFrame:
-    """A float code column for each fitted label column; a value not seen in the fit gives NULL."""
-    from tabsmith.functions.text import literal_map
+    """A float code column for each fitted label column; a value not seen in the fit gives NULL.
 
-    codes = {}
-    for c, values in state.labels.items():
-        if c in df.columns:
-            lookup = {v: float(i) for i, v in enumerate(values)}
-            code = F.element_at(literal_map(lookup), F.col(c)) if lookup else F.lit(None)
-            codes[c + suffix] = code.cast("float")
-    out = df.withColumns(codes) if codes else df
-    for c, path in state.code_tables.items():
+    Codes are joined without a hint: a small table is broadcast by Spark's own threshold; with a
+    large one, values are unique in it, so a hot value is split by the adaptive skew join.
+    """
+    out = df
+    for c in state.sizes:
         if c in df.columns:
-            # no broadcast hint: the table has no size bound. Values are unique in it, so a hot
-            # value is split by the adaptive skew join without repeating rows.
-            table = df.sparkSession.read.parquet(path).select(
-                F.col("value").alias(c), F.col("code").cast("float").alias(c + suffix)
-            )
+            table = state.codes.filter(F.col("name") == c).select(
+                F.col("value").alias(c), F.col("code").cast("float").alias(c + suffix))
             out = out.join(table, c, "left")
-    return out
+    return out.select(*df.columns, *[c + suffix for c in state.sizes if c in df.columns])

@@ -1,92 +1,45 @@
-"""Totals along an order, in two levels: balanced buckets, then rows inside a bucket.
+"""Totals along an order: range partitions, their totals, and running sums inside each.
 
-A window over the whole table would run in one task. Here bucket edges come
-from approximate quantiles, which decide only how even the buckets are; the
-totals are exact.
+A window over the whole table would run in one task. Here rows are dealt by ranges of the order
+and written once, so that every row keeps its partition; a partition's offset is the total of
+those before it. The partitions decide only how even the work is; the totals are exact.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.ml.feature import Bucketizer
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-ROWS_PER_BUCKET = 50_000
-MAX_BUCKETS = 2_000  # also the bound of the broadcast table of bucket totals
+from tabsmith.session import stage
 
+_WIDE = "decimal(38,0)"
 
-def numeric_edges(df: DataFrame, column: str, n_rows: int) -> list[float]:
-    """Edges that cut the column into buckets of about ROWS_PER_BUCKET rows."""
-    buckets = min(MAX_BUCKETS, -(-n_rows // ROWS_PER_BUCKET))
-    if buckets < 2:
-        return []
-    shares = [i / buckets for i in range(1, buckets)]
-    # a tighter error would make the sketch that each task sends larger
-    return sorted(set(df.approxQuantile(column, shares, max(0.5 / buckets, 0.001))))
 
-
-def text_edges(df: DataFrame, column: str, n_rows: int) -> list[str]:
-    buckets = min(MAX_BUCKETS, -(-n_rows // ROWS_PER_BUCKET))
-    if buckets < 2:
-        return []
-    # only the edges come from this sample; about 50 draws per bucket
-    share = min(1.0, 50 * buckets / n_rows)
-    drawn = sorted(r[0] for r in df.select(column).sample(fraction=share, seed=1).collect())
-    return sorted({drawn[len(drawn) * i // buckets] for i in range(1, buckets)}) if drawn else []
-
-
-def _with_bucket(df: DataFrame, column: str, edges: Sequence) -> DataFrame:
-    if isinstance(edges[0], str):
-        passed = F.filter(F.array(*[F.lit(e) for e in edges]), lambda e: e <= F.col(column))
-        return df.withColumn("_bucket", F.size(passed).cast("double"))
-    splits = [float("-inf"), *edges, float("inf")]
-    return Bucketizer(splits=splits, inputCol=column, outputCol="_bucket").transform(df)
-
-
-def running_totals(
-    df: DataFrame, column: str, sums: Sequence[str], edges: Sequence, descending: bool = False
-) -> DataFrame:
+def running_totals(df: DataFrame, order: Sequence[str], sums: Sequence[str], descending: bool = False) -> DataFrame:
     """Add `<sum>_before` for each of `sums`: its total over the rows that come earlier.
 
-    `column` must be unique, and each of `sums` a whole number. `edges` come
-    from numeric_edges or text_edges; none means that one task can hold all rows.
+    The columns of `order` must be unique together and not null, and each of `sums` a whole number.
     """
-    wide = "decimal(38,0)"
-    order = F.col(column).desc() if descending else F.col(column).asc()
-    if not edges:
-        ahead = Window.orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
-        return df.select("*", *[
-            F.coalesce(F.sum(F.col(s).cast(wide)).over(ahead), F.lit(0)).cast(wide).alias(f"{s}_before")
-            for s in sums
-        ])
-    bucketed = _with_bucket(df, column, edges)
-    totals = bucketed.groupBy("_bucket").agg(*[F.sum(F.col(s).cast(wide)).alias(s) for s in sums])
-    key = F.col("_bucket").desc() if descending else F.col("_bucket").asc()
-    # a few rows by construction: one per bucket
-    earlier = Window.orderBy(key).rowsBetween(Window.unboundedPreceding, -1)
+    by = [F.col(c).desc() if descending else F.col(c).asc() for c in order]
+    dealt = stage(df.repartitionByRange(*by).withColumn("_part", F.spark_partition_id()), "ranges")
+    totals = dealt.groupBy("_part").agg(*[F.sum(F.col(s).cast(_WIDE)).alias(s) for s in sums])
+    # one row per partition
+    earlier = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
     offsets = totals.select(
-        "_bucket",
-        *[F.coalesce(F.sum(s).over(earlier), F.lit(0)).cast(wide).alias(f"{s}_offset") for s in sums],
-    )
-    inside = Window.partitionBy("_bucket").orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
-    out = bucketed
-    for s in sums:
-        out = out.withColumn(f"{s}_inside", F.sum(F.col(s).cast(wide)).over(inside))
-    joined = out.join(F.broadcast(offsets), "_bucket")
+        "_part", *[F.coalesce(F.sum(s).over(earlier), F.lit(0)).cast(_WIDE).alias(f"{s}_offset") for s in sums])
+    inside = Window.partitionBy("_part").orderBy(*by).rowsBetween(Window.unboundedPreceding, -1)
+    running = dealt.withColumns({f"{s}_inside": F.sum(F.col(s).cast(_WIDE)).over(inside) for s in sums})
     before = [
-        (F.coalesce(F.col(f"{s}_inside"), F.lit(0)) + F.col(f"{s}_offset")).cast(wide).alias(f"{s}_before")
-        for s in sums
-    ]
-    return joined.select(*df.columns, *before)
+        (F.coalesce(F.col(f"{s}_inside"), F.lit(0)) + F.col(f"{s}_offset")).cast(_WIDE).alias(f"{s}_before") for s in sums]
+    return running.join(F.broadcast(offsets), "_part").select(*df.columns, *before)
 
 
-def dense_codes(values: DataFrame, column: str) -> DataFrame:
-    """(value, code): codes 0..n-1 of distinct text values in sorted order."""
-    edges = text_edges(values, column, values.count())
-    ones = values.select(column, F.lit(1).alias("one"))
-    return running_totals(ones, column, ["one"], edges).select(
-        F.col(column).alias("value"), F.col("one_before").cast("long").alias("code")
-    )
+def dense_codes(values: DataFrame) -> DataFrame:
+    """(name, value, code) of distinct (name, value): codes 0..n-1 within each name, in sorted order."""
+    numbered = running_totals(values.select("name", "value", F.lit(1).alias("one")), ["name", "value"], ["one"])
+    # one row per name
+    starts = numbered.groupBy("name").agg(F.min("one_before").alias("start"))
+    return numbered.join(starts, "name").select("name", "value", (F.col("one_before") - F.col("start")).cast("long").alias("code"))

@@ -32,34 +32,18 @@ def keep_values(df: DataFrame, column: str, allowed: Sequence[str]) -> DataFrame
     return df.filter(F.col(column).isin(*allowed))
 
 
-def drop_present(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """Drop those of `columns` that exist."""
-    return df.drop(*[c for c in columns if c in df.columns])
-
-
-def label_first(df: DataFrame, label: str) -> DataFrame:
-    return df.select(label, *[c for c in df.columns if c != label])
-
-
-def doubles_to_floats(df: DataFrame) -> DataFrame:
-    return df.select(*[F.col(c).cast("float").alias(c) if t == "double" else F.col(c) for c, t in df.dtypes])
-
-
 def require_columns(df: DataFrame, columns: Sequence[str]) -> None:
     missing = [c for c in columns if c not in df.columns]
     if missing:
         raise ValueError(f"missing columns: {', '.join(missing)}")
 
 
-def spread(df: DataFrame) -> DataFrame:
-    """Deal a scanned table out to all cores when it arrives in fewer partitions (few or unsplittable files).
+def sample_by_key(df: DataFrame, key: str, fraction: float, seed: int = 42) -> DataFrame:
+    """The rows whose key's hash falls below `fraction`: the same rows however the table is partitioned.
 
-    A table of many splits stays as it is, so a large input is not shuffled.
+    The hash is the md5 of seed and key. Rows with a null key are left out.
     """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores)
-
-
-def sample_to_limit(df: DataFrame, n_rows: int, limit: int, seed: int = 42) -> DataFrame:
-    """A Bernoulli sample of about `limit` rows; the table itself when it is no larger."""
-    return df if n_rows <= limit else df.sample(fraction=limit / n_rows, seed=seed)
+    if not 0 <= fraction <= 1:
+        raise ValueError("fraction must lie between 0 and 1")
+    digits = F.substring(F.md5(F.concat(F.lit(f"{seed}:"), F.col(key).cast("string"))), 1, 8)
+    return df.filter(F.conv(digits, 16, 10).cast("bigint") < int(fraction * (1 << 32)))

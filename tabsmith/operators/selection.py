@@ -1,9 +1,10 @@
-"""Exact order statistics of large columns, without sorting or shuffling their values.
+"""Exact order statistics of large columns, in three passes whatever the values are.
 
-Each pass splits the span that still holds the wanted rank of every column
-into bins and counts them. A map task sends at most one row per column and
-bin whatever its input, so the shuffle does not grow with the number of rows;
-a pass narrows each span by about the number of bins.
+The first pass sketches every column and takes two edges that surely enclose the wanted ranks;
+the second counts what lies below them and sketches the rows between; the third counts
+the few values that are left between the narrower edges and picks the rank from their counts.
+Only the order of values matters, so infinities and any spread of values are fine. A task
+sends one sketch per column, and in the last pass one row per value it has there.
 """
 
 from __future__ import annotations
@@ -12,10 +13,15 @@ import math
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+#: Shares that a sketch is asked at.
+_STEPS = 1_000
+#: A sketch misses a rank by at most one in so many rows.
+ACCURACY = 2_000
+
 
 @dataclass
 class RankValue:
@@ -28,104 +34,79 @@ class RankValue:
     equal: int = 0  # rows equal to `low`
 
 
-@dataclass
-class _Span:
-    low: float | int
-    high: float | int
-    below: int
-    n: int  # rows in the span
-    total: int
-    first: int  # wanted ranks, from 0 over all non-null values
-    last: int
-
-
-def _histogram(df: DataFrame, spans: dict[str, _Span], bins: int) -> DataFrame:
-    """(i, bin, n, low, high) over the values of column i that lie in its span."""
-    if any(math.isinf(float(s.high) - float(s.low)) for s in spans.values()):
-        raise ValueError("values must be finite and span less than a double can hold")
-
-    def of_column(values) -> Column:
-        return F.element_at(F.array(*[F.lit(v) for v in values]), F.col("i") + 1)
-
-    x, low = F.col("x"), of_column(s.low for s in spans.values())
-    high = of_column(s.high for s in spans.values())
-    width = of_column(float(s.high - s.low) for s in spans.values())
-    # only the order matters, and every step is monotone, so rounding cannot put values in wrong order
-    place = F.floor((x - low).cast("double") / width * bins).cast("int")
-    return (
-        df.select(F.posexplode(F.array(*spans)).alias("i", "x"))
-        .filter(x.between(low, high))
-        .select("i", "x", F.least(place, F.lit(bins - 1)).alias("bin"))
-        .groupBy("i", "bin")
-        .agg(F.count(F.lit(1)).alias("n"), F.min("x").alias("low"), F.max("x").alias("high"))
-    )
+def _enclosing(values: Sequence, first: float, last: float, n: int, accuracy: int) -> tuple:
+    """Of a sketch's values at even shares, those that surely lie around ranks `first` to `last` of `n` rows."""
+    slack = n / accuracy + 1
+    low = max(0, math.floor((first - slack) / n * _STEPS))
+    high = min(_STEPS, math.ceil((last + 1 + slack) / n * _STEPS))
+    low, high = values[low], values[high]
+    if isinstance(low, int):  # sketches hold numbers in double precision
+        return low - (abs(low) >> 50) - 1, high + (abs(high) >> 50) + 1
+    return low, high
 
 
 def select_ranks(
     df: DataFrame,
     columns: Sequence[str],
     ranks: Callable[[int], tuple[int, int]],
-    bins: int = 1024,
+    accuracy: int = ACCURACY,
 ) -> dict[str, RankValue]:
     """For each column, the values at ranks `ranks(non-null rows)`; the two are equal or neighbours.
 
     Columns must share one numeric type. NULL is skipped; NaN must be NULL already.
     """
-    values = df.select(F.posexplode(F.array(*columns)).alias("i", "x"))
-    start = {
-        r["i"]: r
-        for r in values.groupBy("i").agg(
-            F.count("x").alias("n"), F.min("x").alias("low"), F.max("x").alias("high")
-        ).collect()  # one row per column
-    }
-    done: dict[str, RankValue] = {}
-    spans: dict[str, _Span] = {}
-    for i, c in enumerate(columns):
-        n, low, high = (start[i][k] for k in ("n", "low", "high")) if i in start else (0, None, None)
-        if n == 0:
-            done[c] = RankValue(0, None, None)
-        elif low == high:
-            done[c] = RankValue(n, low, high, 0, n)
-        else:
-            first, last = ranks(n)
-            spans[c] = _Span(low, high, 0, n, n, first, last)
-
-    while spans:
-        names = list(spans)
-        window = Window.partitionBy("i").orderBy("bin")  # at most `bins` rows per column
-        ranked = _histogram(df, spans, bins).withColumn("upto", F.sum("n").over(window))
-        array = lambda values: F.array(*[F.lit(v).cast("long") for v in values])
-        first_in = array([s.first - s.below for s in spans.values()])
-        last_in = array([s.last - s.below for s in spans.values()])
-        at = F.col("i") + 1
-        # a rank lies in the bin that ends above it and starts at or before it
-        wanted = ranked.filter(
-            (F.col("upto") > F.element_at(first_in, at))
-            & (F.col("upto") - F.col("n") <= F.element_at(last_in, at))
-        ).orderBy("i", "bin")
-        found: dict[int, list] = {}
-        for row in wanted.collect():  # one or two rows per column
-            found.setdefault(row["i"], []).append(row)
-        for i, c in enumerate(names):
-            span, rows = spans[c], found[i]
-            below = span.below + rows[0]["upto"] - rows[0]["n"]
-            if len(rows) == 2:
-                # neighbours in different bins: the end of the one and the start of the other
-                done[c] = RankValue(span.total, rows[0]["high"], rows[1]["low"])
-                del spans[c]
-            elif rows[0]["low"] == rows[0]["high"]:
-                done[c] = RankValue(span.total, rows[0]["low"], rows[0]["low"], below, rows[0]["n"])
-                del spans[c]
-            else:
-                spans[c] = _Span(
-                    rows[0]["low"], rows[0]["high"], below, rows[0]["n"],
-                    span.total, span.first, span.last,
-                )
+    shares = [i / _STEPS for i in range(_STEPS + 1)]  # which two are needed depends on the count
+    counts = df.agg(
+        *[F.count(c).alias(c) for c in columns],
+        *[F.percentile_approx(c, shares, accuracy).alias(f"{c}__at") for c in columns]).first()
+    wanted, spans = {}, {}
+    for c in columns:
+        n = counts[c]
+        if n:
+            first, last = wanted[c] = ranks(n)
+            spans[c] = _enclosing(counts[f"{c}__at"], first, last, n, accuracy)
+    if not wanted:
+        return {c: RankValue(0, None, None) for c in columns}
+
+    # between the edges: how many rows lie below, how many inside, and a sketch of those inside
+    inside = {c: F.col(c).between(*spans[c]) for c in spans}
+    second = df.agg(
+        *[F.count_if(F.col(c) < spans[c][0]).alias(f"{c}__below") for c in spans],
+        *[F.count_if(inside[c]).alias(f"{c}__n") for c in spans],
+        *[F.percentile_approx(F.when(inside[c], F.col(c)), shares, accuracy).alias(f"{c}__at") for c in spans],
+    ).first()
+    narrow = {}
+    for c, (first, last) in wanted.items():
+        below, n = second[f"{c}__below"], second[f"{c}__n"]
+        if not below <= first <= last < below + n:
+            raise RuntimeError(f"{c}: a sketch is worse than its accuracy says")
+        narrow[c] = _enclosing(second[f"{c}__at"], first - below, last - below, n, accuracy)
+
+    # the values left, counted; what lies below them is one more row per column, without a value
+    parts = F.array(*[
+        F.struct(
+            F.lit(i).alias("i"), (F.col(c) < narrow[c][0]).alias("under"),
+            F.when(F.col(c).between(*narrow[c]), F.col(c)).alias("x"))
+        for i, c in enumerate(narrow)])
+    left = df.select(F.inline(parts)).filter(F.col("under") | F.col("x").isNotNull())
+    counted = left.groupBy("i", "under", "x").agg(F.count(F.lit(1)).alias("n"))
+    by_rank = Window.partitionBy("i").orderBy(F.col("under").desc(), "x")
+    upto = counted.withColumn("upto", F.sum("n").over(by_rank))
+    of_column = lambda at: F.element_at(F.array(*[F.lit(wanted[c][at]).cast("long") for c in narrow]), F.col("i") + 1)
+    rows = upto.filter(~F.col("under") & (F.col("upto") > of_column(0)) & (F.col("upto") - F.col("n") <= of_column(1))).orderBy("i", "x").collect()
+    done = {c: RankValue(0, None, None) for c in columns}
+    for i, c in enumerate(narrow):
+        own = [r for r in rows if r["i"] == i]  # one row per wanted rank at most
+        if not own or own[0]["upto"] - own[0]["n"] > wanted[c][0] or own[-1]["upto"] <= wanted[c][1]:
+            raise RuntimeError(f"{c}: a sketch is worse than its accuracy says")
+        done[c] = RankValue(counts[c], own[0]["x"], own[-1]["x"], own[0]["upto"] - own[0]["n"], own[0]["n"])
     return done
 
 
-def exact_medians(df: DataFrame, columns: Sequence[str], bins: int = 1024) -> dict[str, float | None]:
+def exact_medians(df: DataFrame, columns: Sequence[str], accuracy: int = ACCURACY) -> dict[str, float | None]:
     """Median of each column; the mean of the two middle values when the count is even."""
+    if not columns:
+        return {}
     typed = df.select(*[F.col(c).cast("double").alias(c) for c in columns])
-    picked = select_ranks(typed, columns, lambda n: ((n - 1) // 2, n // 2), bins)
-    return {c: None if v.n == 0 else (v.low + v.high) / 2 for c, v in picked.items()}
+    picked = select_ranks(typed, columns, lambda n: ((n - 1) // 2, n // 2), accuracy)
+    return {c: None if v.n == 0 else v.low if v.low == v.high else (v.low + v.high) / 2 for c, v in picked.items()}

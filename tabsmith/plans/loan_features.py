@@ -9,7 +9,7 @@ from tabsmith.functions import dates, numeric, text
 from tabsmith.operators import fit as fitting
 from tabsmith.operators import rows
 from tabsmith.plans import loan_preset as preset
-from tabsmith.session import keep_methods_small
+from tabsmith.sources.tables import POSITION
 
 
 def _clean_text(c: str) -> Column:
@@ -59,8 +59,7 @@ def clean_columns() -> dict[str, Column]:
 def clean_rows(df: DataFrame) -> DataFrame:
     """The row-wise part of cleaning; works on a stream too."""
     rows.require_columns(df, preset.RAW_COLUMNS)
-    keep_methods_small(df.sparkSession)
-    dated = df.withColumn("_date", dates.parse_dates(F.col("application_date"), preset.DATE_FORMATS))
+    dated = df.withColumn("_date", dates.parse_dates(F.col("application_date"), preset.DATE_FORMATS, preset.DATE_BOUNDS))
     return dated.withColumns(clean_columns()).drop("_date", "application_date", "loan_term")
 
 
@@ -70,18 +69,18 @@ def clean(df: DataFrame, order: list[str] | None = None) -> DataFrame:
     Cleaning comes before deduplication: it works row by row, so the result is
     the same, and the shuffle then carries short canonical values. The label
     filter has to come after it, as a dropped copy may carry another label.
-    `order` says which copy is first; without it the choice is by content.
+    `order` says which copy is first; without it, the position that read_table adds does.
     """
+    by = order or [c for c in POSITION if c in df.columns]
+    if not by:
+        raise ValueError("which copy of a loan comes first? name columns in `order`, or read the table with position=True")
     cleaned = clean_rows(rows.drop_null_keys(df, [preset.KEY]))
-    by = order or [c for c in cleaned.columns if c != preset.KEY]
     first = rows.first_per_key(cleaned, [preset.KEY], by)
-    return rows.keep_values(first, preset.LABEL, preset.ALLOWED_LABELS)
+    return rows.keep_values(first, preset.LABEL, preset.ALLOWED_LABELS).drop(*POSITION)
 
 
-def fit(cleaned: DataFrame, n_rows: int | None = None) -> fitting.FitState:
-    return fitting.fit(
-        cleaned, preset.NUMERIC_IMPUTED, preset.CATEGORICAL_IMPUTED, preset.LABEL_ENCODED, n_rows
-    )
+def fit(cleaned: DataFrame) -> fitting.FitState:
+    return fitting.fit(cleaned, preset.NUMERIC_IMPUTED, preset.CATEGORICAL_IMPUTED, preset.LABEL_ENCODED)
 
 
 def derived_columns() -> dict[str, Column]:

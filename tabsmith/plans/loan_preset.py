@@ -77,6 +77,8 @@ LOWER_BOUNDS = {  # bound, whether the bound itself is valid
 UPPER_CLIPS = {"credit_utilization_pct": 100}
 
 DATE_FORMATS = ["%Y-%m-%d", "%m/%d/%Y", "%d-%m-%Y", "%d %b %Y"]
+# The dates a 64-bit count of nanoseconds can hold; others count as missing.
+DATE_BOUNDS = ("1677-09-22", "2262-04-11")
 REFERENCE_DATE = "2020-01-01"
 
 CREDIT_SCORE_EDGES = [0, 580, 670, 740, 800, 850]

@@ -1,168 +1,25 @@
-"""Dirty loan tables: drawn from row ids, or dirt and copies added to a table.
-
-All draws hash the row id, so any table with an id column can be the source
-and every partition draws its own rows.
-"""
+"""Dirt, copies and sentinel rows added to a given table."""
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Mapping
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tabsmith.functions import draws
 from tabsmith.plans import loan_preset as preset
-from tabsmith.plans.loan_features import risk_score
-
-# Spellings, weights and out-of-domain numbers of the raw table -----------------
 
-GENDERS = ["Male", "Female", "male", "female", "M", "F", "MALE", "FEMALE", ""]
-GENDER_WEIGHTS = [0.25, 0.25, 0.10, 0.10, 0.05, 0.05, 0.05, 0.05, 0.10]
-MARITAL_STATUSES = [
-    "Single", "Married", "Divorced", "Widowed", "single", "MARRIED", "divorced", "Maried",
-    "Sep", "Separated", "",
-]
-EDUCATION_LEVELS = [
-    "High School", "Bachelor's", "Master's", "PhD", "Bachelors", "bachelor's", "masters",
-    "high school", "Doctorate", "phd", "Associate's", "associates", "",
-]
-EMPLOYMENT_TYPES = [
-    "Salaried", "Self-Employed", "Business", "Freelancer", "salaried", "self_employed",
-    "SALARIED", "Govt", "Government", "Retired", "Unemployed", "",
-]
-LOAN_PURPOSES = [
-    "Home", "Car", "Education", "Personal", "Debt Consolidation", "home", "HOME", "car_loan",
-    "Car Loan", "education", "Medical", "medical", "Wedding", "Business", "Other",
-]
-PROPERTY_TYPES = ["Apartment", "House", "Condo", "Townhouse", "apartment", "HOUSE", "condo", ""]
-CHANNELS = ["Online", "Branch", "Mobile App", "online", "BRANCH", "mobile", ""]
-CITIES = [
-    "New York", "Los Angeles", "Chicago", "Houston", "Phoenix", "new york", "los angeles",
-    "San Francsico", "Dallas", "San Jose", "Austin", "Jacksonville", "Columbus", "Charlotte",
-    "Indianapolis", "Seattle", "Denver", "Boston", "Portland", "Nashvile", "Memphis",
-    "Louisville", "Baltimore", "Milwaukee",
-]
-STATES = [
-    "NY", "CA", "IL", "TX", "AZ", "FL", "OH", "NC", "IN", "WA", "CO", "MA", "OR", "TN", "GA",
-    "KY", "MD", "WI", "PA", "MN", "New York", "California", "ca", "texas",
-]
-DEPENDENTS = ["0", "1", "2", "3", "4", "5+", "3+", "", "", "two", "-1"]
-DEPENDENTS_WEIGHTS = [0.25, 0.20, 0.20, 0.12, 0.05, 0.03, 0.03, 0.05, 0.03, 0.02, 0.02]
-CO_APPLICANT = ["Yes", "No", "yes", "no", "Y", "N", "1", "0", ""]
-CO_APPLICANT_WEIGHTS = [0.15, 0.35, 0.10, 0.15, 0.05, 0.05, 0.03, 0.03, 0.09]
-TERMS = [12, 24, 36, 48, 60, 84, 120, 180, 240, 360]
-DEFAULT_COUNTS = [0, 1, 2, 3, 5, 10]
-DEFAULT_COUNT_WEIGHTS = [0.65, 0.18, 0.08, 0.04, 0.03, 0.02]
-BAD_AGES = [-1.0, 0.0, 150.0, 200.0, 999.0]
-BAD_YEARS = [-2.0, 75.0, 100.0]
-BAD_CREDIT_SCORES = [0.0, 200.0, 900.0, 999.0, -1.0]
-BAD_INTEREST_RATES = [0.0, -1.5, 99.9]
-BAD_DATES = ["31/02/2022", "not available", "N/A", "", ""]
-FIRST_DATE, DATE_DAYS = "2020-01-01", 1800
 SENTINEL_ROWS = 3
 
-# End of fixed values. Employer names are free text that no step reads.
-EMPLOYERS = ["Acme", "Globex", "Initech", "Self", "self", "N/A", "NA", "-", "", "Freelance", "State Govt"]
-
-
-def _columns(row: Column) -> dict[str, Column]:
-    """Column expressions in dependency order; later ones may use earlier ones by name."""
-    u = lambda name: draws.uniform(row, name)
-    pick = lambda name, options: draws.choice(row, name, options)
-
-    def gaps(value: Column, name: str, rate: float) -> Column:
-        return draws.blank_at_rate(value, row, name + ":gap", rate)
-
-    def dirt(value: Column, name: str, rate: float, bad: Column) -> Column:
-        return draws.replace_at_rate(value, row, name + ":bad", rate, bad)
-
-    def mostly_zero(name: str, share: float, mean: float, sigma: float) -> Column:
-        return F.when(u(name + ":any") < share, draws.lognormal(row, name, mean, sigma)).otherwise(0.0)
 
-    income = dirt(draws.lognormal(row, "inc", 10.8, 0.7), "inc-month", 0.02, draws.lognormal(row, "inc", 10.8, 0.7) / 12)
-    income = dirt(gaps(income, "inc", 0.04), "inc-zero", 0.005, F.lit(0.0))
-    term = draws.choice(row, "term", TERMS)
-    term_text = dirt(term.cast("string"), "term-years", 0.03, F.concat((term / 12).cast("int").cast("string"), F.lit(" years")))
-    date = F.date_add(F.lit(FIRST_DATE).cast("date"), draws.uniform_int(row, "day", 0, DATE_DAYS).cast("int"))
-    formats = ["yyyy-MM-dd", "MM/dd/yyyy", "dd-MM-yyyy", "dd MMM yyyy"]
-    date_text = F.element_at(
-        F.array(*[F.date_format(date, f) for f in formats]), draws.uniform_int(row, "format", 0, 4).cast("int") + 1)
-    number = lambda name, low, high: draws.uniform_int(row, name, low, high).cast("string")
-    zips = number("zip", 10000, 100000)
-    zips = dirt(zips, "zip4", 0.05, number("zip4", 1000, 10000))
-    zips = dirt(zips, "zip6", 0.03, number("zip6", 100000, 1000000))
-    letters = F.translate(number("letters", 10000, 100000), "0123456789", "abcdefghij")
-    zips = dirt(dirt(zips, "zip-letters", 0.03, letters), "zip-none", 0.04, F.lit(""))
-    area, middle, last = number("area", 200, 1000), number("middle", 100, 1000), number("last", 1000, 10000)
-    phones = F.array(
-        F.concat(F.lit("("), area, F.lit(") "), middle, F.lit("-"), last),
-        F.concat_ws("-", area, middle, last), F.concat(area, middle, last),
-        F.concat(F.lit("+1"), area, middle, last), F.concat_ws(".", area, middle, last))
-    phone = F.element_at(phones, draws.uniform_int(row, "phone", 0, 5).cast("int") + 1)
-    utilisation = dirt(draws.beta_int(row, "util", 2, 5) * 100, "util", 0.02, u("util-over") * 100 + 100)
-    return {
-        "loan_id": F.concat(F.lit("LN-"), F.lpad(row.cast("string"), F.greatest(F.length(row.cast("string")), F.lit(10)), F.lit("0"))),
-        "applicant_age": gaps(dirt(draws.normal(row, "age", 38, 12), "age", 0.005, pick("bad-age", BAD_AGES)), "age", 0.03),
-        "gender": draws.weighted_choice(row, "gender", GENDERS, GENDER_WEIGHTS),
-        "marital_status": pick("marital", MARITAL_STATUSES),
-        "education_level": pick("education", EDUCATION_LEVELS),
-        "dependents": draws.weighted_choice(row, "dependents", DEPENDENTS, DEPENDENTS_WEIGHTS),
-        "employment_type": pick("employment", EMPLOYMENT_TYPES),
-        "employer_name": pick("employer", EMPLOYERS),
-        "years_at_current_job": F.round(gaps(dirt(draws.exponential(row, "years", 5.0), "years", 0.01, pick("bad-years", BAD_YEARS)), "years", 0.05), 1),
-        "annual_income": dirt(income, "inc-neg", 0.003, F.lit(-1.0)),
-        "other_income": gaps(mostly_zero("other", 0.3, 8.0, 1.0), "other", 0.08),
-        "credit_score": gaps(dirt(draws.normal(row, "score", 680, 80), "score", 0.01, pick("bad-score", BAD_CREDIT_SCORES)), "score", 0.08),
-        "num_existing_loans": gaps(draws.poisson(row, "loans", 2.0).cast("double"), "loans", 0.03),
-        "num_defaults_last_5y": draws.weighted_choice(row, "defaults", DEFAULT_COUNTS, DEFAULT_COUNT_WEIGHTS),
-        "num_credit_inquiries": draws.poisson(row, "inquiries", 3.0),
-        "credit_utilization_pct": gaps(utilisation, "util", 0.04),
-        "loan_amount": gaps(draws.lognormal(row, "amount", 10.0, 1.0), "amount", 0.02),
-        "loan_purpose": pick("purpose", LOAN_PURPOSES),
-        "loan_term": dirt(term_text, "term-none", 0.02, F.lit("")),
-        "interest_rate": F.round(dirt(gaps(u("rate") * 22 + 3, "rate", 0.03), "rate", 0.005, pick("bad-rate", BAD_INTEREST_RATES)), 2),
-        "bank_balance": gaps(dirt(draws.lognormal(row, "balance", 9.0, 1.5), "overdraft", 0.01, F.lit(-500.0)), "balance", 0.05),
-        "monthly_expenses": gaps(draws.lognormal(row, "expenses", 7.5, 0.6), "expenses", 0.04),
-        "existing_emi": gaps(mostly_zero("emi", 0.6, 6.5, 0.8), "emi", 0.06),
-        "savings_balance": gaps(draws.lognormal(row, "savings", 8.5, 1.8), "savings", 0.07),
-        "property_value": gaps(draws.lognormal(row, "property", 12.0, 0.8), "property", 0.30),
-        "property_type": pick("property-type", PROPERTY_TYPES),
-        "city": pick("city", CITIES),
-        "state": pick("state", STATES),
-        "zip_code": zips,
-        "application_date": dirt(date_text, "date", 0.02, pick("bad-date", BAD_DATES)),
-        "application_channel": pick("channel", CHANNELS),
-        "has_co_applicant": draws.weighted_choice(row, "co", CO_APPLICANT, CO_APPLICANT_WEIGHTS),
-        "phone_number": dirt(phone, "phone", 0.05, F.lit("")),
-    }
+def inject_dirt(df: DataFrame, rates: Mapping[str, float], draws: Mapping[str, Column], values: Mapping[str, Column] | None = None) -> DataFrame:
+    """Blank (or replace by `values`) each column in about `rates` of the rows.
 
-
-def synthesise_loans(ids: DataFrame, id_column: str = "id") -> DataFrame:
-    """One raw loan per row of `ids`; empty text is NULL. For example of `spark.range(n)`."""
-    row = F.col(id_column)
-    drawn = ids.select(row, *[e.alias(c) for c, e in _columns(row).items()])
-    chance = risk_score(F.col("credit_score"), F.col("annual_income"))
-    outcome = F.when(draws.uniform(row, "default") < chance, "Default").otherwise("Paid")
-    labelled = drawn.withColumn(
-        preset.LABEL, draws.replace_at_rate(outcome, row, "current", 0.08, F.lit("Current")))
-    texts = {c: F.nullif(F.col(c), F.lit("")) for c in preset.RAW_TEXT_COLUMNS}
-    return labelled.withColumns(texts).select(*preset.RAW_COLUMNS)
-
-
-def inject_dirt(df: DataFrame, rates: Mapping[str, float], draw: Column, values: Mapping[str, Column] | None = None) -> DataFrame:
-    """Blank (or replace by `values`) each column in about `rates` of the rows; `draw` is uniform on [0, 1).
-
-    One draw serves all columns, each from its own stretch of the unit interval, so keep the sum of rates below 1.
+    `draws` has a number in [0, 1) per column, each drawn by itself, so several columns of a row may be hit.
     """
-    if sum(rates.values()) > 1:
-        raise ValueError("rates must add up to at most 1")
-    values, start, out = values or {}, 0.0, {}
-    for c, rate in rates.items():
-        hit = (draw >= start) & (draw < start + rate)
-        out[c] = F.when(hit, values.get(c, F.lit(None))).otherwise(F.col(c))
-        start += rate
-    return df.withColumns(out)
+    values = values or {}
+    return df.withColumns({
+        c: F.when(draws[c] < rate, values.get(c, F.lit(None))).otherwise(F.col(c)) for c, rate in rates.items()})
 
 
 def inject_duplicates(df: DataFrame, copied: Column, blanks: Mapping[str, Column]) -> DataFrame:
@@ -181,8 +38,3 @@ def append_sentinels(df: DataFrame, start: int, key: str = preset.KEY) -> DataFr
     empty = df.sparkSession.range(start, start + SENTINEL_ROWS).select(
         F.concat(F.lit("LN-"), F.lpad(F.col("id").cast("string"), 10, "0")).alias(key))
     return df.unionByName(empty, allowMissingColumns=True)
-
-
-def outcome_counts(df: DataFrame, labels: Sequence[str] = ("Paid", "Default", "Current")) -> DataFrame:
-    """One row: how many loans have each outcome."""
-    return df.agg(*[F.count_if(F.col(preset.LABEL) == v).alias(v.lower()) for v in labels])

@@ -3,8 +3,8 @@
 from __future__ import annotations
 
 import os
-import tempfile
 import uuid
+from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
 
@@ -29,28 +29,37 @@ def build_session(app_name: str = "tabsmith", master: str | None = None, **extra
     return builder.getOrCreate()
 
 
-def keep_methods_small(spark: SparkSession) -> None:
-    """Set the method limit for this session, unless the user has chosen one."""
-    key, limit = METHOD_LIMIT
-    if spark.conf.get(key) == "65535":  # Spark's default
-        spark.conf.set(key, limit)
-
-
 def shared_dir(spark: SparkSession) -> str:
     """The folder all executors can reach, as the session names it in spark.checkpoint.dir."""
     folder = spark.conf.get("spark.checkpoint.dir", None)
-    if folder:
-        return folder
-    if not spark.sparkContext.master.startswith("local"):
+    if not folder and spark.sparkContext.master.startswith("local") and not spark.sparkContext.master.startswith("local-cluster"):
+        # one process: its working directory is shared by definition
+        folder = os.path.join(os.getcwd(), "spark-warehouse", "tabsmith-shared")
+    if not folder:
         raise ValueError("set spark.checkpoint.dir to a folder that every executor can reach")
-    folder = tempfile.mkdtemp(prefix="tabsmith-")
-    spark.conf.set("spark.checkpoint.dir", folder)
     return folder
 
 
+_run = ""  # the folder of the job that is running, below the shared folder
+
+
 def work_path(spark: SparkSession, name: str) -> str:
     """A path of its own below the shared folder, for a table that one job writes and reads back."""
-    return os.path.join(shared_dir(spark), "tabsmith", f"{name}-{uuid.uuid4().hex}")
+    return os.path.join(shared_dir(spark), "tabsmith", *filter(None, [_run]), f"{name}-{uuid.uuid4().hex}")
+
+
+@contextmanager
+def job_folder(spark: SparkSession):
+    """What is staged inside goes to one folder that is removed at the end; results must be written elsewhere."""
+    global _run
+    before, _run = _run, f"job-{uuid.uuid4().hex}"
+    folder = os.path.join(shared_dir(spark), "tabsmith", _run)
+    try:
+        yield folder
+    finally:
+        _run = before
+        path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def stage(df, name: str):

@@ -11,6 +11,8 @@ from tabsmith.functions.numeric import nan_to_null
 from tabsmith.operators import split as splitting
 
 TARGET = "target"
+#: Where a row was read: the file, the block in it, and a number that grows within the block.
+POSITION = ["_file", "_block", "_row"]
 
 
 def list_files(spark: SparkSession, path: str) -> list[str]:
@@ -35,9 +37,15 @@ def read_table(
     format: str | None = None,
     schema: str | None = None,
     header: bool = True,
+    multiline: bool = False,
+    position: bool = False,
 ) -> DataFrame:
     """A file, a directory or a list of either. NaN comes in as NULL.
 
+    CSV quotes as the standard says: a quote inside a quoted field is doubled. Fields with line
+    breaks need `multiline`, which keeps Spark from splitting files. `position` adds the columns
+    of POSITION, by which rows have the order of the files, sorted by path.
+
     Without a header CSV columns are named _c0, _c1, … and the first is the
     label. Empty CSV text is NULL. Give a schema for CSV: without one Spark
     reads the data twice.
@@ -48,10 +56,15 @@ def read_table(
     if kind == "parquet":
         df = reader.parquet(*paths)
     elif kind == "csv":
-        options = {"header": header, "inferSchema": schema is None, "enforceSchema": not header}
+        options = {"header": header, "inferSchema": schema is None, "enforceSchema": not header, "quote": '"', "escape": '"', "multiLine": multiline}
         df = reader.options(**options).csv(paths)
     else:
         raise ValueError(f"unknown format {kind}")
+    if position:
+        place = F.col("_metadata.row_index") if kind == "parquet" else F.monotonically_increasing_id()
+        df = df.select(
+            "*", F.col("_metadata.file_path").alias(POSITION[0]), F.col("_metadata.file_block_start").alias(POSITION[1]),
+            place.alias(POSITION[2]))
     floats = {c: nan_to_null(F.col(c)) for c, t in df.dtypes if t in ("float", "double")}
     return df.withColumns(floats) if floats else df
 
@@ -68,17 +81,21 @@ def read_train_val(
     val_fraction: float = 0.2,
     seed: int = 42,
     key: str | None = None,
+    by: str = "rows",
     **options,
 ) -> tuple[DataFrame, DataFrame, str]:
-    """(train, val, label) from two paths, from one directory of five or more files, or by rows.
+    """(train, val, label) from two paths, or from one that is split by "rows" or by "files".
 
-    A split by rows uses `key` for an exact size where there is one, else a draw per row.
+    A split by rows uses `key` for an exact size where there is one, else a draw per row; a split
+    by files takes whole files, so sizes are as even as the files.
     """
+    if by not in ("rows", "files"):
+        raise ValueError(f"split by {by}: use rows or files")
     if val_path is not None:
         train, val = (read_table(spark, p, **options) for p in (train_path, val_path))
         return train, val, label_column(train)
-    files = list_files(spark, train_path)
-    if len(files) >= 5:
+    if by == "files":
+        files = list_files(spark, train_path)
         options = {"format": detect_format(spark, train_path), **options}
         chosen = splitting.file_split(files, val_fraction, seed)
         train, val = (read_table(spark, names, **options) for names in chosen)
@@ -105,7 +122,8 @@ def write_table(
     """
     writer = (df if files is None else df.repartition(files)).write.mode(mode)
     if format == "csv":
-        writer.option("header", header).csv(path)
+        writer.options(
+            header=header, quote='"', escape='"', ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False).csv(path)
     elif format == "parquet":
         writer.option("compression", "snappy").parquet(path)
     else:

@@ -4,14 +4,16 @@ from __future__ import annotations
 
 import time
 from collections.abc import Sequence
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import asdict, dataclass, field
 
+from pyspark import inheritable_thread_target
 from pyspark.ml import Model
-from pyspark.ml.classification import GBTClassifier, OneVsRest
+from pyspark.ml.classification import GBTClassificationModel, GBTClassifier
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.regression import GBTRegressor
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tabsmith.operators import evaluate
@@ -19,11 +21,23 @@ from tabsmith.session import shared_dir
 
 # Objectives by task, and the metrics each task reports when none are named.
 OBJECTIVES = {
-    "binary": ["binary:logistic", "binary:logitraw", "binary:hinge", "binary", "cross_entropy"],
+    "binary": ["binary:logistic", "binary"],
     "multiclass": ["multi:softmax", "multi:softprob", "multiclass", "multiclassova"],
+    "regression": ["reg:squarederror", "regression", "regression_l2", "l2", "mse", "rmse"],
     "ranking": ["rank:pairwise", "rank:ndcg", "rank:map", "lambdarank", "rank_xendcg"],
 }
+# Objectives that the reference's trainers know and Spark's trees do not train.
+UNTRAINED = {
+    "binary:logitraw", "binary:hinge", "cross_entropy", "cross_entropy_lambda", "reg:logistic", "reg:squaredlogerror",
+    "reg:pseudohubererror", "reg:absoluteerror", "reg:quantileerror", "reg:gamma", "reg:tweedie", "count:poisson",
+    "survival:cox", "survival:aft", "poisson", "gamma", "tweedie", "huber", "fair", "quantile", "mape", "regression_l1", "l1",
+}
 DEFAULT_METRICS = {"binary": ["logloss", "auc"], "multiclass": ["mlogloss"], "regression": ["rmse"]}
+# Names of metrics that are columns of the reports under another name.
+METRIC_NAMES = {
+    "auc": "auc_roc", "auc-roc": "auc_roc", "aucpr": "auc_pr", "auc-pr": "auc_pr", "average_precision": "auc_pr",
+    "binary_logloss": "logloss", "multi_logloss": "mlogloss", "l2_root": "rmse", "l1": "mae",
+}
 LARGER_IS_BETTER = {
     "auc", "map", "ndcg", "aucpr", "pre", "auc_mu", "average_precision",
     "auc_roc", "auc_pr", "accuracy", "precision", "recall", "f1", "f1_macro", "f1_weighted", "r2",
@@ -40,18 +54,26 @@ def task_type(objective: str) -> str:
             if task == "ranking":
                 raise ValueError(f"{objective}: ranking objectives are not supported")
             return task
-    return "regression"
+    known = "it is not trained here" if objective in UNTRAINED else "unknown objective"
+    raise ValueError(f"{objective}: {known}")
 
 
 def larger_is_better(metric: str) -> bool:
     return metric in LARGER_IS_BETTER
 
 
+def report_column(metric: str) -> str:
+    """The report's column for a metric's name in any of the usual spellings."""
+    plain = metric.strip().lower()
+    return METRIC_NAMES.get(plain, plain.replace("-", "_"))
+
+
 @dataclass
 class TreeParams:
     objective: str = "binary:logistic"
     num_rounds: int = 500
-    early_stopping: int = 20  # rounds without a better validation loss; 0 trains all rounds
+    early_stopping: int = 20  # 0 trains all rounds
+    stop_rule: str = "library"  # stop at the first round that is no better; "patience": after early_stopping such rounds
     max_depth: int = 7
     learning_rate: float = 0.1
     subsample: float = 0.8
@@ -60,15 +82,23 @@ class TreeParams:
     max_bins: int = 256
     threshold: float = 0.5
     seed: int = 42
+    eval_metric: tuple[str, ...] = ()  # metrics to report besides the task's own; none: all of them
 
     @property
     def task(self) -> str:
         return task_type(self.objective)
 
 
+@dataclass
+class OneVsRest:
+    """A tree model per class, each with rounds of its own."""
+
+    models: list[Model]
+
+
 @dataclass
 class Trained:
-    model: Model
+    model: Model | OneVsRest
     params: TreeParams
     label: str
     features: list[str]
@@ -94,26 +124,47 @@ def assemble(df: DataFrame, label: str, features: Sequence[str], weight: float =
     return vectors.select(label, "features", positive.alias("weight"))
 
 
-def _estimator(p: TreeParams, label: str, rounds: int):
+def _estimator(p: TreeParams, label: str, rounds: int, validate: bool = False):
     trees = dict(
         featuresCol="features", labelCol=label, maxIter=rounds, maxDepth=p.max_depth,
         stepSize=p.learning_rate, subsamplingRate=p.subsample, featureSubsetStrategy=str(p.colsample),
         minInstancesPerNode=p.min_child, maxBins=p.max_bins, seed=p.seed,
         checkpointInterval=10, maxMemoryInMB=512,
     )
+    if validate:
+        # the library's rule: a round that is worse than the best so far ends the run, which keeps the best
+        trees |= dict(validationIndicatorCol=IS_VAL, validationTol=0.0)
     if p.task == "regression":
         return GBTRegressor(lossType="squared", **trees)
-    boosted = GBTClassifier(**trees)
-    if p.task == "binary":
-        return boosted.setWeightCol("weight")
-    return OneVsRest(classifier=boosted, featuresCol="features", labelCol=label)
+    return GBTClassifier(**trees, **({"weightCol": "weight"} if p.task == "binary" else {}))
+
+
+IS_VAL = "is_val_row"
 
 
 def _losses(model: Model, val: DataFrame, task: str) -> list[float]:
-    if task == "binary":
-        # the loss of the library is twice the log-loss of its probability
-        return [x / 2 for x in model.evaluateEachIteration(val)]
-    return [x**0.5 for x in model.evaluateEachIteration(val, "squared")]
+    if task == "regression":
+        return [x**0.5 for x in model.evaluateEachIteration(val, "squared")]
+    # the loss of the library is twice the log-loss of its probability
+    return [x / 2 for x in model.evaluateEachIteration(val)]
+
+
+def first_trees(model: Model, n: int) -> Model:
+    """The model that a run of `n` rounds would have given."""
+    if n >= model.getNumTrees:
+        return model
+    java, context = model._java_obj, SparkSession.active().sparkContext
+    package = context._jvm.org.apache.spark.ml
+    trees = context._gateway.new_array(package.regression.DecisionTreeRegressionModel, n)
+    weights = context._gateway.new_array(context._jvm.double, n)
+    for i, (tree, weight) in enumerate(zip(java.trees()[:n], java.treeWeights()[:n])):
+        trees[i], weights[i] = tree, weight
+    if isinstance(model, GBTClassificationModel):
+        cut = package.classification.GBTClassificationModel(java.uid(), trees, weights, java.numFeatures(), java.numClasses())
+    else:
+        cut = package.regression.GBTRegressionModel(java.uid(), trees, weights, java.numFeatures())
+    java.copyValues(cut, package.param.ParamMap.empty())
+    return type(model)(cut)
 
 
 def stop_round(losses: Sequence[float], patience: int) -> tuple[int, bool]:
@@ -130,8 +181,8 @@ def stop_round(losses: Sequence[float], patience: int) -> tuple[int, bool]:
 def _fit_until_worse(p: TreeParams, label: str, train: DataFrame, val: DataFrame):
     """Fit in growing runs until `early_stopping` rounds bring no better validation loss.
 
-    A run with the same seed repeats the trees of a shorter run, so the final
-    fit of the best number of rounds is the model that one endless run had then.
+    A run with the same seed repeats the trees of a shorter run, so the first trees
+    of the last run are the model that one endless run had at its best round.
     """
     rounds = min(p.num_rounds, 2 * p.early_stopping)
     while True:
@@ -139,11 +190,34 @@ def _fit_until_worse(p: TreeParams, label: str, train: DataFrame, val: DataFrame
         losses = _losses(model, val, p.task)
         best, stopped = stop_round(losses, p.early_stopping)
         if stopped or rounds == p.num_rounds:
-            break
+            return first_trees(model, best + 1), losses
         rounds = min(p.num_rounds, 2 * rounds)
-    if best + 1 < rounds:
-        model = _estimator(p, label, best + 1).fit(train)
-    return model, best + 1, losses[: best + 1]
+
+
+def _fit_one(p: TreeParams, label: str, train: DataFrame, val: DataFrame | None) -> tuple[Model, list[float]]:
+    """A model and the validation loss of each round that it keeps or looked at."""
+    if val is None or not p.early_stopping:
+        return _estimator(p, label, p.num_rounds).fit(train), []
+    if p.stop_rule == "patience":
+        return _fit_until_worse(p, label, train, val)
+    if p.stop_rule != "library":
+        raise ValueError(f"stop_rule {p.stop_rule}: use library or patience")
+    both = train.withColumn(IS_VAL, F.lit(False)).unionByName(val.withColumn(IS_VAL, F.lit(True)))
+    model = _estimator(p, label, p.num_rounds, validate=True).fit(both)
+    return model, _losses(model, val, p.task)
+
+
+def _fit_classes(p: TreeParams, label: str, train: DataFrame, val: DataFrame | None, parallel: int) -> OneVsRest:
+    """One binary fit per class, side by side as jobs of one application."""
+    classes = int(evaluate.class_count(train, label).first()["num_class"])
+
+    def fit(k: int) -> Model:
+        own = lambda df: df if df is None else df.withColumn(label, (F.col(label) == k).cast("double"))
+        return _fit_one(p, label, own(train), own(val))[0]
+
+    with ThreadPoolExecutor(parallel) as pool:
+        jobs = [pool.submit(inheritable_thread_target(train.sparkSession)(fit), k) for k in range(classes)]
+        return OneVsRest([j.result() for j in jobs])
 
 
 def train(
@@ -152,10 +226,12 @@ def train(
     label: str,
     params: TreeParams | None = None,
     positive_weight: float | None = None,
+    parallel: int = 4,
 ) -> Trained:
     """Fit trees; positives of a binary label are weighted by negatives / positives.
 
-    Multiclass fits one model per class and always runs all rounds.
+    With validation rows the fit stops early by `stop_rule`. Multiclass fits one model per
+    class, each with its own stop.
     """
     p = params or TreeParams()
     task = p.task
@@ -171,11 +247,13 @@ def train(
             weight = evaluate.class_balance(train_df, label).first()["weight"]
     # not persisted: the fit makes a binned copy of its own in a few passes and boosts on that
     rows = assemble(train_df, label, features, weight)
-    if val_df is not None and p.early_stopping and task != "multiclass":
-        val = assemble(val_df, label, features)
-        model, rounds, losses = _fit_until_worse(p, label, rows, val)
+    val = None if val_df is None else assemble(val_df, label, features)
+    if task == "multiclass":
+        model, losses = _fit_classes(p, label, rows, val, parallel), []
+        rounds = max(m.getNumTrees for m in model.models)
     else:
-        model, rounds, losses = _estimator(p, label, p.num_rounds).fit(rows), p.num_rounds, []
+        model, losses = _fit_one(p, label, rows, val)
+        rounds = model.getNumTrees
     return Trained(model, p, label, features, rounds, losses, time.time() - start)
 
 
@@ -185,31 +263,49 @@ def score(trained: Trained, df: DataFrame) -> DataFrame:
     inputs = [f"_x{i}" for i in range(len(names))]
     wide = df.withColumns(dict(zip(inputs, names)))
     vectors = VectorAssembler(inputCols=inputs, outputCol="features").transform(wide).drop(*inputs)
-    out = trained.model.transform(vectors)
     task = trained.params.task
+    if task == "multiclass":
+        out = vectors
+        for k, one in enumerate(trained.model.models):
+            margins = one.copy().setRawPredictionCol(f"_raw{k}").setPredictionCol(f"_pre{k}").setProbabilityCol(f"_pro{k}")
+            out = margins.transform(out)
+        raw = F.array(*[vector_to_array(f"_raw{k}")[1] for k in range(len(trained.model.models))])
+        chances = F.transform(raw, lambda m: 1 / (1 + F.exp(-2 * m)))
+        with_chances = out.select(*df.columns, chances.alias("_chances"))
+        total = F.aggregate("_chances", F.lit(0.0), lambda a, x: a + x)
+        return with_chances.select(
+            *df.columns,
+            F.transform("_chances", lambda x: x / total).alias("probabilities"),
+            evaluate.argmax(F.col("_chances")).alias("predicted"),
+        )
+    out = trained.model.transform(vectors)
     if task == "binary":
         p = vector_to_array("probability")[1]
         return out.select(*df.columns, p.alias("score")).withColumn(
             "predicted", evaluate.predict_label(F.col("score"), trained.params.threshold))
-    if task == "regression":
-        return out.select(*df.columns, F.col("prediction").alias("score"))
-    chances = F.transform(vector_to_array("rawPrediction"), lambda m: 1 / (1 + F.exp(-2 * m)))
-    with_chances = out.select(*df.columns, chances.alias("_chances"))
-    total = F.aggregate("_chances", F.lit(0.0), lambda a, x: a + x)
-    return with_chances.select(
-        *df.columns,
-        F.transform("_chances", lambda x: x / total).alias("probabilities"),
-        evaluate.argmax(F.col("_chances")).alias("predicted"),
-    )
+    return out.select(*df.columns, F.col("prediction").alias("score"))
 
 
 def report(trained: Trained, scored: DataFrame) -> DataFrame:
-    """The metrics of the task in one row."""
+    """The metrics of the task in one row; `eval_metric` chooses among them."""
     if trained.params.task == "binary":
-        return evaluate.binary_report(scored, trained.label, "score", trained.params.threshold)
-    if trained.params.task == "multiclass":
-        return evaluate.multiclass_report(scored, trained.label, "predicted")
-    return evaluate.regression_report(scored, trained.label, "score")
+        row = evaluate.binary_report(scored, trained.label, "score", trained.params.threshold)
+    elif trained.params.task == "multiclass":
+        row = evaluate.multiclass_report(scored, trained.label, "predicted", "probabilities")
+    else:
+        row = evaluate.regression_report(scored, trained.label, "score")
+    wanted = [report_column(m) for m in trained.params.eval_metric]
+    unknown = [m for m in wanted if m not in row.columns]
+    if unknown:
+        raise ValueError(f"no such metric of a {trained.params.task} model: {', '.join(unknown)}")
+    facts = [c for c in row.columns if c in ("task_type", "threshold", "confusion_matrix")]
+    return row.select(*facts, *[c for c in row.columns if c in wanted and c not in facts]) if wanted else row
+
+
+def round_losses(trained: Trained) -> DataFrame:
+    """(round, loss): the validation loss after each round, log-loss or RMSE."""
+    rows = [(i, float(x)) for i, x in enumerate(trained.val_losses)]
+    return SparkSession.active().createDataFrame(rows, "round int, loss double")
 
 
 def run_report(trained: Trained, scored: DataFrame, train_rows: int, val_rows: int, total_seconds: float) -> DataFrame:
@@ -237,8 +333,6 @@ def params_row(trained: Trained) -> dict:
 
 def importance(trained: Trained) -> DataFrame:
     """(feature, importance), highest first; the share of the total gain. Unused features have 0."""
-    from pyspark.sql import SparkSession
-
     spark = SparkSession.active()
     models = trained.model.models if trained.params.task == "multiclass" else [trained.model]
     totals = [sum(m.featureImportances[i] for m in models) / len(models) for i in range(len(trained.features))]

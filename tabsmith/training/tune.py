@@ -4,18 +4,18 @@ from __future__ import annotations
 
 import itertools
 import json
+import math
 import random
 from collections.abc import Mapping, Sequence
 from concurrent.futures import ThreadPoolExecutor
-from dataclasses import dataclass, replace
+from dataclasses import dataclass, fields, replace
 
 from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.storagelevel import StorageLevel
 
 from tabsmith.operators import evaluate
-from tabsmith.training.model import TreeParams, larger_is_better, report, score, train
+from tabsmith.training.model import TreeParams, larger_is_better, report, report_column, score, train
 
 
 @dataclass(frozen=True)
@@ -55,13 +55,29 @@ LEAFWISE_SPACE: Space = {
 }
 
 
+# Names of ranges that are settings here under another name.
+RANGE_NAMES = {
+    "colsample_bytree": "colsample", "min_child_weight": "min_child", "min_child_samples": "min_child", "eta": "learning_rate",
+    "feature_fraction": "colsample", "bagging_fraction": "subsample",
+}
+
+
 def space_from_config(ranges: Mapping[str, Mapping]) -> Space:
-    """Ranges from `{name: {type: continuous|integer, min:, max:}}`."""
+    """Ranges from `{name: {type: continuous|integer, min:, max:}}`, with names in the usual spellings."""
     kinds = {"continuous": (Continuous, float), "integer": (Integer, int)}
+    known = {f.name for f in fields(TreeParams)}
     out = {}
     for name, spec in ranges.items():
-        kind, number = kinds[spec["type"]]
-        out[name.replace("-", "_")] = kind(number(spec["min"]), number(spec["max"]))
+        plain = name.replace("-", "_").lower()
+        setting = RANGE_NAMES.get(plain, plain)
+        if plain == "num_leaves":
+            raise ValueError("num-leaves: trees grow level by level here; bound them by max-depth")
+        if setting not in known:
+            raise ValueError(f"{name}: no such setting")
+        kind, number = kinds[str(spec["type"]).lower()]
+        if isinstance(getattr(TreeParams, setting), int) and kind is Continuous:
+            kind, number = Integer, lambda x: int(float(x))  # a whole-numbered setting
+        out[setting] = kind(number(spec["min"]), number(spec["max"]))
     return out
 
 
@@ -70,10 +86,13 @@ def random_trials(space: Space, n: int, seed: int = 42) -> list[dict]:
     return [{name: r.draw(rng) for name, r in space.items()} for _ in range(n)]
 
 
-def grid_trials(space: Space, n: int, per_axis: int = 3) -> list[dict]:
-    """The first n points of the grid with `per_axis` steps on each axis."""
+def grid_trials(space: Space, n: int | None = None, per_axis: int = 3) -> list[dict]:
+    """All points of the grid with `per_axis` steps on each axis; more than `n` of them are an error."""
     axes = [[(name, v) for v in r.steps(per_axis)] for name, r in space.items()]
-    return [dict(point) for point in itertools.islice(itertools.product(*axes), n)]
+    points = math.prod(map(len, axes))
+    if n is not None and points > n:
+        raise ValueError(f"the grid has {points} points and {n} trials are allowed: allow more, or use fewer steps or random trials")
+    return [dict(point) for point in itertools.product(*axes)]
 
 
 def tune(
@@ -88,43 +107,50 @@ def tune(
 
     `searches` gives, by algorithm name, the fixed parameters and the points to
     try. Trials run side by side as jobs of one application; every trial is
-    scored on the whole validation table.
+    scored on the whole validation table. A failed trial has its error and no objective; an
+    objective that is no number counts as none.
     """
     spark = train_df.sparkSession
     trials = [(name, replace(base, **point), point) for name, (base, points) in searches.items() for point in points]
-    rows = train_df.persist(StorageLevel.MEMORY_AND_DISK)
-    val = val_df.persist(StorageLevel.MEMORY_AND_DISK)
     weight = None
     if any(p.task == "binary" for _, p, _ in trials):
-        weight = evaluate.class_balance(rows, label).first()["weight"]
+        weight = evaluate.class_balance(train_df, label).first()["weight"]
+    column = report_column(metric)
 
     def run(number: int) -> tuple:
         name, params, point = trials[number]
-        trained = train(rows, val, label, params, weight)
-        value = report(trained, score(trained, val)).first()[metric]
-        return number, name, json.dumps(point, sort_keys=True), trained.rounds, value
-
-    try:
-        with ThreadPoolExecutor(parallel) as pool:
-            # one wrapper per trial: each copies the caller's local properties
-            jobs = [pool.submit(inheritable_thread_target(spark)(run), i) for i in range(len(trials))]
-            results = [j.result() for j in jobs]
-    finally:
-        rows.unpersist()
-        val.unpersist()
+        said = json.dumps(point, sort_keys=True)
+        try:
+            trained = train(train_df, val_df, label, params, weight)
+            value = report(trained, score(trained, val_df)).first()[column]
+            return number, name, said, trained.rounds, value if value is None or math.isfinite(value) else None, None
+        except Exception as e:  # noqa: BLE001 - one failed trial must not cost the others
+            return number, name, said, None, None, str(e)[:500]
+
+    with ThreadPoolExecutor(parallel) as pool:
+        # one wrapper per trial: each copies the caller's local properties
+        jobs = [pool.submit(inheritable_thread_target(spark)(run), i) for i in range(len(trials))]
+        results = [j.result() for j in jobs]
+    if results and all(r[-1] for r in results):
+        raise RuntimeError(f"every trial failed, the first with: {results[0][-1]}")
     return spark.createDataFrame(
-        results, "trial int, algorithm string, params string, rounds int, objective double")
+        results, "trial int, algorithm string, params string, rounds int, objective double, error string")
 
 
-def _order(direction: str) -> list:
-    if direction not in ("maximize", "minimize"):
+def _maximize(direction: str) -> bool:
+    plain = direction.lower()
+    if plain not in ("maximize", "minimize"):
         raise ValueError(f"direction {direction}: use maximize or minimize")
-    best = F.desc_nulls_last if direction == "maximize" else F.asc_nulls_last
-    return [best("objective"), F.asc("trial"), F.asc("algorithm")]
+    return plain == "maximize"
+
+
+def _order(direction: str) -> list:
+    best = F.desc_nulls_last if _maximize(direction) else F.asc_nulls_last
+    return [best(F.nanvl(F.col("objective").cast("double"), F.lit(None).cast("double"))), F.asc("trial"), F.asc("algorithm")]
 
 
 def direction_of(metric: str) -> str:
-    return "maximize" if larger_is_better(metric) else "minimize"
+    return "maximize" if larger_is_better(report_column(metric)) else "minimize"
 
 
 def top_trials(trials: DataFrame, n: int, direction: str = "maximize") -> DataFrame:
@@ -134,8 +160,9 @@ def top_trials(trials: DataFrame, n: int, direction: str = "maximize") -> DataFr
 
 def best_by_algorithm(trials: DataFrame, direction: str = "maximize") -> DataFrame:
     """The best trial of each algorithm, found by an aggregate that combines before the shuffle."""
-    sign = -1 if direction == "maximize" else 1
-    rank = F.struct(F.col("objective").isNull(), sign * F.col("objective"), F.col("trial"))
+    sign = -1 if _maximize(direction) else 1
+    objective = F.nanvl(F.col("objective").cast("double"), F.lit(None).cast("double"))
+    rank = F.struct(objective.isNull(), sign * objective, F.col("trial"))
     others = [c for c in trials.columns if c != "algorithm"]
     row = F.struct(*[F.col(c) for c in others])
     return trials.groupBy("algorithm").agg(F.min_by(row, rank).alias("best")).select("algorithm", "best.*")

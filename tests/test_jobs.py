@@ -1,8 +1,10 @@
 import json
+import os
 
 import pytest
 from pyspark.sql import functions as F
 
+from checks.loans import loans
 from tabsmith import job
 from tabsmith.operators import logs
 from tabsmith.operators.fit import FitState
@@ -38,6 +40,19 @@ def test_formats(spark, tmp_path):
     assert both.count() == 200
 
 
+def test_csv_quotes_as_the_standard_says(spark, tmp_path):
+    (tmp_path / "x.csv").write_text('a,b\n1,"a ""b"", c"\n2,"two\nlines"\n3," kept "\n')
+    back = tables.read_table(spark, str(tmp_path / "x.csv"), schema="a int, b string", multiline=True)
+    want = [(1, 'a "b", c'), (2, "two\nlines"), (3, " kept ")]
+    assert [tuple(r) for r in back.orderBy("a").collect()] == want
+    tables.write_table(back.coalesce(1), str(tmp_path / "y"), "csv")
+    import csv
+
+    (part,) = [p for p in (tmp_path / "y").iterdir() if p.name.startswith("part-")]
+    with open(part, newline="") as f:
+        assert sorted(map(tuple, list(csv.reader(f))[1:])) == [(str(a), b) for a, b in want]
+
+
 def test_headerless_csv_and_label_choice(spark, tmp_path):
     df = spark.createDataFrame([(1, 2.5), (0, 3.5)], "target int, a double")
     tables.write_table(df, str(tmp_path / "n.csv"), "csv", header=False)
@@ -67,16 +82,27 @@ def test_train_val_sources(spark, tmp_path):
     assert (train.count(), val.count(), label) == (200, 200, "target")
     train, val, _ = tables.read_train_val(spark, few, val_fraction=0.25, key="a")
     assert (train.count(), val.count()) == (150, 50)
-    train, val, _ = tables.read_train_val(spark, many, val_fraction=0.2)
+    train, val, _ = tables.read_train_val(spark, many, val_fraction=0.25, key="a")
+    assert (train.count(), val.count()) == (150, 50)
+    with pytest.raises(ValueError):
+        tables.read_train_val(spark, many, by="days")
+    train, val, _ = tables.read_train_val(spark, many, val_fraction=0.2, by="files")
     assert train.count() + val.count() == 200 and train.intersect(val).count() == 0
     assert len(val.inputFiles()) == 2
 
 
-def test_job_from_synthesis_to_metrics(spark, tmp_path):
+@pytest.fixture
+def raw(spark, sf_dir):
+    return loans(spark, sf_dir).select("src_ord", *preset.RAW_COLUMNS)
+
+
+def test_job_from_raw_loans_to_metrics(spark, raw, tmp_path):
     at = lambda name: str(tmp_path / name)
+    ordered = raw.repartitionByRange(3, "src_ord").sortWithinPartitions("src_ord").drop("src_ord")
+    tables.write_table(synthesis.append_sentinels(ordered, 900_000_000), at("raw.csv"), "csv")
+    before = set(os.listdir(os.path.join(spark.conf.get("spark.checkpoint.dir"), "tabsmith")))
     config = job.merge_config({
-        "run": ["synthesise", "features", "train", "tune"],
-        "synthesise": {"rows": 4000, "output": at("raw.csv"), "format": "csv"},
+        "run": ["features", "train", "tune"],
         "features": {"input": at("raw.csv"), "output": at("features"), "format": "csv", "header": False,
                      "files": 3, "state": at("state")},
         "train": {"input": at("features/train"), "val_input": at("features/val"), "header": False,
@@ -87,7 +113,7 @@ def test_job_from_synthesis_to_metrics(spark, tmp_path):
     })
     out = job.run(spark, config)
     f = out["features"]
-    assert f["rows_in"] > 4003 and f["rows_in"] - f["rows_out"] == f["rows_removed"]
+    assert f["rows_in"] == raw.count() + 3 and f["rows_in"] - f["rows_out"] == f["rows_removed"]
     assert f["rows_train"] == int(f["rows_out"] * 0.8) and f["rows_train"] + f["rows_val"] == f["rows_out"]
     assert f["columns"] == ["target", *preset.FEATURES]
     assert len(tables.list_files(spark, at("features/train"))) == 3
@@ -101,13 +127,19 @@ def test_job_from_synthesis_to_metrics(spark, tmp_path):
     assert spark.read.json(at("model/feature_importance")).count() == 47
     assert {r["algorithm"] for r in out["tune"]["by_algorithm"]} == {"depthwise", "leafwise"}
     assert spark.read.json(at("trials")).count() == 2
-    assert FitState.load(spark, at("state")).medians.keys() == set(preset.NUMERIC_IMPUTED)
+    assert spark.read.json(at("model/rounds")).count() >= 1
+    # what the job staged is gone, and what it saved still works
+    assert set(os.listdir(os.path.join(spark.conf.get("spark.checkpoint.dir"), "tabsmith"))) <= before
+    state = FitState.load(spark, at("state"))
+    assert state.medians.keys() == set(preset.NUMERIC_IMPUTED)
+    cleaned = loan_features.clean(raw, ["src_ord"])
+    assert loan_features.transform(cleaned, state).filter("city_encoded is not null").count() == f["rows_out"]
 
 
-def test_feature_stream_equals_batch(spark, tmp_path):
-    raw = synthesis.synthesise_loans(spark.range(0, 500, 1, 3))
+def test_feature_stream_equals_batch(spark, raw, tmp_path):
+    raw = raw.filter("src_ord % 2 = 0").drop("src_ord")
     raw.write.parquet(str(tmp_path / "in"))
-    cleaned = loan_features.clean(raw)
+    cleaned = loan_features.clean(raw, ["city"])
     state = loan_features.fit(cleaned)
     stream = streams.feature_stream(streams.loan_stream(spark, str(tmp_path / "in")), state)
     query = streams.write_stream(stream, str(tmp_path / "out"), str(tmp_path / "progress"), available_now=True)
@@ -117,15 +149,15 @@ def test_feature_stream_equals_batch(spark, tmp_path):
     assert got.count() == want.count() and got.exceptAll(want).count() == 0
 
 
-def test_stream_drops_late_copies(spark, tmp_path):
-    raw = synthesis.synthesise_loans(spark.range(0, 200, 1, 2)).withColumn("at", F.lit("2024-01-01").cast("timestamp"))
+def test_stream_drops_late_copies(spark, raw, tmp_path):
+    raw = raw.filter("src_ord % 2 = 0").drop("src_ord").withColumn("at", F.lit("2024-01-01").cast("timestamp"))
     raw.unionByName(raw).write.parquet(str(tmp_path / "in"))
-    state = loan_features.fit(loan_features.clean(raw.drop("at")))
+    state = loan_features.fit(loan_features.clean(raw.drop("at"), ["city"]))
     source = spark.readStream.schema(raw.schema).parquet(str(tmp_path / "in"))
     stream = streams.feature_stream(source, state, arrival="at")
     query = streams.write_stream(stream, str(tmp_path / "out"), str(tmp_path / "progress"), available_now=True)
     query.awaitTermination(120)
-    assert spark.read.parquet(str(tmp_path / "out")).count() == loan_features.clean(raw.drop("at")).count()
+    assert spark.read.parquet(str(tmp_path / "out")).count() == loan_features.clean(raw.drop("at"), ["city"]).count()
 
 
 def test_metric_stream(spark, tmp_path):
