@@ -46,6 +46,17 @@ def free_name(df: DataFrame, name: str) -> str:
     return name
 
 
+#: Rows that become Python objects at once.
+SLICE_ROWS = 1_000
+
+
+def slices(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Arrow batches hold up to 64 MB; parts of them keep a worker's Python objects few."""
+    for b in batches:
+        for at in range(0, b.num_rows, SLICE_ROWS):
+            yield b.slice(at, SLICE_ROWS)
+
+
 def map_rows(df: DataFrame, columns: Sequence[str], fn: Callable[..., Iterator[dict]], schema: str) -> DataFrame:
     """Run `fn` over lists of the given columns' values, one Arrow batch at a time.
 
@@ -58,7 +69,7 @@ def map_rows(df: DataFrame, columns: Sequence[str], fn: Callable[..., Iterator[d
         from pyspark.sql.pandas.types import to_arrow_schema
 
         arrow = to_arrow_schema(target)
-        source = (tuple(b.column(i).to_pylist() for i in range(b.num_columns)) for b in batches)
+        source = (tuple(b.column(i).to_pylist() for i in range(b.num_columns)) for b in slices(batches))
         for out in fn(source):
             yield pa.RecordBatch.from_arrays([pa.array(out[f.name], f.type) for f in arrow], schema=arrow)
 
@@ -81,7 +92,7 @@ def add_columns(df: DataFrame, inputs: Sequence[str], fn: Callable[..., dict], s
         from pyspark.sql.pandas.types import to_arrow_schema
 
         arrow = to_arrow_schema(target)
-        for b in batches:
+        for b in slices(batches):
             out = fn(*(b.column(len(kept) + i).to_pylist() for i in range(len(inputs))))
             made = [pa.array(out[f.name], arrow.field(f.name).type) for f in new]
             arrays = [b.column(i) for i in range(len(kept))] + made
