@@ -1,7 +1,7 @@
 import pytest
-from conftest import SF_DIR
 from pyspark.sql import Window
 from pyspark.sql import functions as F
+from sf_paths import SF_DIR
 
 from checks.loans import loans
 from tabsmith.operators import rows, split

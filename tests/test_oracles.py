@@ -1,4 +1,5 @@
 import pytest
+from sf_paths import SF_DIR
 
 from checks import all_queries
 from checks.compare import compare, oracle_connection
@@ -10,8 +11,6 @@ SLOW = {"train_binary", "train_multiclass", "train_regression", "tune_single", "
 
 @pytest.fixture(scope="module")
 def con():
-    from conftest import SF_DIR
-
     return oracle_connection(SF_DIR)
 
 
