@@ -13,12 +13,13 @@ import math
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 
+import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 #: Shares that a sketch is asked at.
-_STEPS = 1_000
+_STEPS = 200
 #: A sketch misses a rank by at most one in so many rows.
 ACCURACY = 2_000
 
@@ -55,7 +56,8 @@ def select_ranks(
 
     Columns must share one numeric type. NULL is skipped; NaN must be NULL already.
     """
-    shares = [i / _STEPS for i in range(_STEPS + 1)]  # which two are needed depends on the count
+    # which two are needed depends on the count; a numpy array becomes one literal, a list one per share
+    shares = F.lit(np.linspace(0.0, 1.0, _STEPS + 1))
     counts = df.agg(
         *[F.count(c).alias(c) for c in columns],
         *[F.percentile_approx(c, shares, accuracy).alias(f"{c}__at") for c in columns]).first()
