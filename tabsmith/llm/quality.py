@@ -5,10 +5,10 @@ character classes and one of its most common words. A document is judged by the
 distance of its own histograms to the nearest reference; texts too short for a histogram
 are not judged by it. Plain counts (symbols, repeated lines and word windows) come with it.
 
-Defined results: null and empty texts have no words and fail the base rule; a null language has no
-reference of its own; languages with a small share of all characters have none either, and their
-documents are held against the nearest; other columns stay, input columns with the
-names of new ones are replaced.
+Defined results: null and empty texts have no words and fail the base rule; every language with
+`reference_chars` characters has references, whatever its share of the corpus; documents of a language
+with less are not judged by distance; those without a language are held against the nearest
+reference; other columns stay, input columns with the names of new ones are replaced.
 """
 
 from __future__ import annotations
@@ -19,7 +19,7 @@ import numpy as np
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tabsmith.llm.common import add_columns, map_rows
+from tabsmith.llm.common import add_columns, free_name, map_rows, stage
 from tabsmith.llm.wordcounts import count_words, words_of
 
 #: Classes of characters, by the bytes that begin them.
@@ -46,7 +46,7 @@ class Limits:
     least_chars: int = 100
     least_words: int = 50
     common_words: int = 32
-    language_share: float = 0.01
+    reference_chars: int = 10_000
 
 
 def class_counts(data: bytes) -> np.ndarray:
@@ -91,7 +91,7 @@ def js_distance(p: np.ndarray, q: np.ndarray) -> np.ndarray:
 def references(docs: DataFrame, limits: Limits = Limits()) -> list[dict]:
     """One per language with enough text: its class counts, common words with their counts, and all its words.
 
-    At most 1 / language_share languages and common_words words each come to the driver.
+    A row per language and common_words words of each come to the driver.
     """
     source = docs.select("text", F.col("lang").cast("string").alias("lang")).filter("lang is not null")
 
@@ -104,36 +104,38 @@ def references(docs: DataFrame, limits: Limits = Limits()) -> list[dict]:
 
     by_class = map_rows(source, ["text", "lang"], classes, "lang string, " + ", ".join(f"{n} long" for n in _NAMES))
     by_class = by_class.groupBy("lang").agg(*[F.sum(n).alias(n) for n in _NAMES])
-    total = sum((F.col(n) for n in _NAMES), F.lit(0))
-    shares = by_class.withColumn("chars", total)
-    everything = shares.agg(F.sum("chars").alias("everything"))
-    large = shares.crossJoin(F.broadcast(everything)).filter(  # one row joins
-        (F.col("chars") > 0) & (F.col("chars") >= limits.language_share * F.col("everything"))).collect()
-    langs = [r["lang"] for r in large]
-    if not langs:
+    total = sum((F.col(n) for n in _NAMES if n != "inside"), F.lit(0))
+    large = stage(by_class.filter(total >= max(limits.reference_chars, 1)), "language-classes")
+    found = large.collect()
+    if not found:
         return []
-    words = count_words(source.filter(F.col("lang").isin(langs)), "lang")
+    words = count_words(source, "lang").join(large.select(F.col("lang").alias("grp")), "grp", "left_semi")
     sums = words.groupBy("grp").agg(F.sum("n").alias("all"))
     ranked = words.withColumn("nth", F.row_number().over(Window.partitionBy("grp").orderBy(F.desc("n"), "word")))
-    top = ranked.filter(F.col("nth") <= limits.common_words).join(sums, "grp").collect()
+    top: dict[str, dict[bytes, int]] = {}
+    every: dict[str, int] = {}
+    for w in ranked.filter(F.col("nth") <= limits.common_words).join(sums, "grp").collect():
+        top.setdefault(w["grp"], {})[bytes(w["word"])] = w["n"]
+        every[w["grp"]] = w["all"]
     return [
-        {"lang": r["lang"], "classes": [r[_NAMES[i]] for i in _IN_HISTOGRAM], "words": {bytes(w["word"]): w["n"] for w in top if w["grp"] == r["lang"]},
-         "all": next((w["all"] for w in top if w["grp"] == r["lang"]), 0)}
-        for r in sorted(large, key=lambda r: r["lang"])]
+        {"lang": r["lang"], "classes": [r[_NAMES[i]] for i in _IN_HISTOGRAM], "words": top.get(r["lang"], {}), "all": every.get(r["lang"], 0)}
+        for r in sorted(found, key=lambda r: r["lang"])]
 
 
 def measure(docs: DataFrame, refs: list[dict], limits: Limits = Limits()) -> DataFrame:
     """`docs` with the counts, class_distance, word_distance (null when too short), base_failed and kept."""
     column = {w: i for i, w in enumerate(sorted({w for r in refs for w in r["words"]}))}
     class_refs = np.array([r["classes"] for r in refs], float).reshape(len(refs), len(_IN_HISTOGRAM))
-    tables = []  # per reference: the columns of its words, and their counts with all others last
-    for r in refs:
-        own = [column[w] for w in r["words"]]
-        tables.append((own, np.array([*r["words"].values(), r["all"] - sum(r["words"].values())], float)))
-
-    def run(texts):
+    # per reference, the columns of its words (the last one has no hits), and their counts with all others last
+    wide = max((len(r["words"]) for r in refs), default=0)
+    own = np.array([[column[w] for w in r["words"]] + [len(column)] * (wide - len(r["words"])) for r in refs], np.int64).reshape(len(refs), wide)
+    word_refs = np.array(
+        [[*r["words"].values(), *[0] * (wide - len(r["words"])), r["all"] - sum(r["words"].values())] for r in refs], float).reshape(len(refs), wide + 1)
+    known = {None, *(r["lang"] for r in refs)}
+
+    def run(texts, langs):
         rows = []
-        for text in texts:
+        for text, lang in zip(texts, langs):
             text = text or ""
             data = text.encode()
             words = words_of(text)
@@ -147,15 +149,17 @@ def measure(docs: DataFrame, refs: list[dict], limits: Limits = Limits()) -> Dat
                 "n_words": len(words), "word_chars": chars - int(counts[_SPACE]), "n_symbols": int(counts[_SYMBOL]),
                 "n_dup_lines": len(lines) - len(set(lines)), "n_repeat_words": repeat_words(ids, len(number)),
                 "class_distance": None, "word_distance": None}
-            if refs and chars >= limits.least_chars:
+            judged = refs and lang in known
+            if judged and chars >= limits.least_chars:
                 row["class_distance"] = float(js_distance(counts[_IN_HISTOGRAM][None, :].astype(float), class_refs).min())
-            if refs and len(words) >= limits.least_words:
-                hits = np.zeros(len(column))
+            if judged and len(words) >= limits.least_words:
+                hits = np.zeros(len(column) + 1)
                 for w in words:
                     if (c := column.get(w)) is not None:
                         hits[c] += 1
-                row["word_distance"] = min(
-                    float(js_distance(np.append(hits[own], len(words) - hits[own].sum()), ref)) for own, ref in tables)
+                mine = hits[own]
+                others = len(words) - mine.sum(axis=1, keepdims=True)
+                row["word_distance"] = float(js_distance(np.concatenate([mine, others], axis=1), word_refs).min())
             row["base_failed"] = row["n_words"] < 10 or 100 * row["n_repeat_words"] > 20 * row["n_words"]
             row["kept"] = not row["base_failed"] and (row["class_distance"] or 0) <= limits.class_distance and (
                 row["word_distance"] or 0) <= limits.word_distance
@@ -163,10 +167,11 @@ def measure(docs: DataFrame, refs: list[dict], limits: Limits = Limits()) -> Dat
         names = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "class_distance", "word_distance", "base_failed", "kept"]
         return {n: [r[n] for r in rows] for n in names}
 
+    name = free_name(docs, "__lang")
     return add_columns(
-        docs, ["text"], run,
+        docs.withColumn(name, F.col("lang").cast("string")), ["text", name], run,
         "n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long, class_distance double, "
-        "word_distance double, base_failed boolean, kept boolean")
+        "word_distance double, base_failed boolean, kept boolean").drop(name)
 
 
 def apply_rules(docs: DataFrame, limits: Limits = Limits()) -> DataFrame:

@@ -64,3 +64,25 @@ def test_odd_rows(odd):
                    for r in got) == Counter((i, t, *brute(t)) for i, t in ODD)
     assert not any(r["kept"] for r in got if r["base_failed"])
     assert quality.apply_rules(odd.limit(0)).count() == 0
+
+
+def test_small_languages_are_held_against_their_own_text(frame):
+    from pyspark.sql import functions as F
+
+    rng = np.random.default_rng(9)
+
+    def draw(first, n):
+        words = ["".join(chr(first + int(k)) for k in rng.integers(0, 20, 5)) for _ in range(60)]
+        return lambda: " ".join(rng.choice(words[:6] if rng.random() < 0.4 else words) for _ in range(n)) + "."
+
+    latin, cyrillic, greek = draw(97, 2500), draw(0x430, 200), draw(0x3B1, 200)
+    rows = [(i, latin()) for i in range(120)] + [(1000 + i, cyrillic()) for i in range(12)] + [(2000, greek())]
+    junk = [(1100, " ".join(f"{w}###" for w in cyrillic().split()))]
+    sizes = {k: sum(len(t) for i, t in rows if i // 1000 == k) for k in (0, 1, 2)}
+    assert 10_000 <= sizes[1] < 0.01 * sum(sizes.values()) and sizes[2] < 10_000
+    lang = F.when(F.col("doc_id") < 1000, "en").when(F.col("doc_id") < 2000, "ru").otherwise("el")
+    got = {r["doc_id"]: r for r in quality.apply_rules(frame(rows + junk).withColumn("lang", lang)).collect()}
+    # ru has references of its own, and they still tell junk; el has too little text for any
+    assert all(got[i]["kept"] for i, _ in rows) and not got[1100]["kept"]
+    assert all(got[1000 + i]["class_distance"] is not None and got[1000 + i]["word_distance"] is not None for i in range(12))
+    assert got[2000]["class_distance"] is None and got[2000]["word_distance"] is None
