@@ -8,8 +8,8 @@ So the probabilities of all words and of one unseen word per class add up to one
 
 Training starts on a bounded set of documents in one task; every task then goes on from
 that over the documents it reads, and the parameters are averaged, weighted by their tokens.
-In each document a fixed share of the positions, drawn anew by its id, is trained on.
-Counts of words cover every training document. Scoring looks up the `table_words` most frequent
+All positions of all training documents are trained on, unless `position_share` is below one;
+counts of words always cover every training document. Scoring looks up the `table_words` most frequent
 words in a broadcast table of that size; counts of all others come by a join.
 
 Defined results: null and empty texts are one end token; rows with a null doc_id are held out; rows are
@@ -50,7 +50,7 @@ class Settings:
     batch: int = 2048
     rate: float = 0.1
     warm_docs: int = 2000
-    position_share: float = 0.25
+    position_share: float = 1.0
     held_out_of: int = 10
     smoothing: float = 0.1
 
@@ -140,23 +140,29 @@ class LogBilinear:
         squares = [np.full(p.shape, 1e-2, np.float32) for p in self.parameters()]
         for seq, positions in chunks:
             rng.shuffle(positions)
+            seq = seq.astype(np.intp)
             for begin in range(0, len(positions), s.batch):
                 at = positions[begin:begin + s.batch]
                 seen += len(at)
                 ctx, target = self.contexts(seq, at), seq[at]
-                vectors = [self.r[x] for x in ctx]
-                guess = sum(v @ self.c[p] for p, v in enumerate(vectors))
+                guess = sum(t.take(x, axis=0) for t, x in zip(self.tables(), ctx))
                 drawn = np.searchsorted(self.cumulative, rng.random(s.noise)).clip(0, s.classes - 1)
-                mine = np.einsum("bd,bd->b", guess, self.q[target]) + self.b[target] - self.log_noise[target]
-                others = guess @ self.q[drawn].T + (self.b - self.log_noise)[drawn]
+                wanted, bias = self.q.take(target, axis=0), self.b - self.log_noise
                 # gradients of the log-likelihood that data are data and noise is noise
-                up = 1 / (1 + np.exp(np.clip(mine, -30, 30)))
-                down = (s.noise_weight / s.noise) / (1 + np.exp(-np.clip(others, -30, 30)))
-                d_guess = up[:, None] * self.q[target] - down @ self.q[drawn]
+                up = 1 / (1 + np.exp(np.clip(np.einsum("bd,bd->b", guess, wanted) + bias[target], -30, 30)))
+                down = guess @ self.q[drawn].T
+                down += bias[drawn]
+                np.clip(down, -30, 30, out=down)
+                np.exp(np.negative(down, out=down), out=down)
+                down += 1
+                np.divide(s.noise_weight / s.noise, down, out=down)
+                d_guess = up[:, None] * wanted - down @ self.q[drawn]
                 grads = [np.zeros_like(p) for p in self.parameters()]
-                for p, (x, v) in enumerate(zip(ctx, vectors)):
-                    _scatter(grads[0], x, d_guess @ self.c[p].T)
-                    grads[1][p] = v.T @ d_guess
+                for p, x in enumerate(ctx):  # added up by class first, then through the position's matrix
+                    sums = np.zeros_like(self.r)
+                    _scatter(sums, x, d_guess)
+                    grads[0] += sums @ self.c[p].T
+                    grads[1][p] = self.r.T @ sums
                 _scatter(grads[2], target, up[:, None] * guess)
                 np.add.at(grads[2], drawn, -(down.T @ guess))
                 grads[3] += np.bincount(target, up, s.classes).astype(np.float32)
@@ -185,10 +191,9 @@ class LogBilinear:
 
 def _scatter(into: np.ndarray, rows: np.ndarray, values: np.ndarray) -> None:
     """Add each row of values to a row of `into`."""
-    order = np.argsort(rows, kind="stable")
-    ordered = rows[order]
-    starts = np.flatnonzero(np.concatenate([[True], ordered[1:] != ordered[:-1]]))
-    into[ordered[starts]] += np.add.reduceat(values[order], starts, axis=0)
+    n, size = into.shape
+    cells = rows.astype(np.intp)[:, None] * size + np.arange(size)
+    into += np.bincount(cells.ravel(), values.ravel(), n * size).reshape(n, size)
 
 
 def _sequence(found: list[np.ndarray], context: int) -> tuple[np.ndarray, np.ndarray]:

@@ -76,3 +76,18 @@ def test_odd_and_empty(odd):
     rows = lm.score(odd, vocabulary, model, counts).collect()
     assert {(r["train_tokens"], r["n_known"]) for r in rows} == {(0, 0)} and all(r["base_score"] == 0 for r in rows)
     assert lm.score(odd.limit(0), vocabulary, model, counts).count() == 0
+
+
+def test_production_settings_train_on_every_position():
+    rows = _corpus()
+    words = Counter(w for _, text in rows for w in lm.words_of(text))
+    top = sorted(words)
+    totals = {}
+    for w, n in [(lm.END, len(rows)), *words.items()]:
+        kind = zlib.crc32(w[-2:]) % 64
+        totals[kind] = (totals.get(kind, (0, 0))[0] + n, totals.get(kind, (0, 0))[1] + 1)
+    s = lm.Settings()
+    tokens = sum(words.values()) + len(rows)
+    vocabulary = lm.Vocabulary([lm.END, *top], [len(rows), *[words[w] for w in top]], totals, tokens, len(words) + 1, s)
+    chunks = lm._chunks([tuple(map(list, zip(*rows)))], vocabulary, 1_000, s.position_share)
+    assert lm.LogBilinear(s, vocabulary.noise).fit(chunks, seed=0) == tokens
