@@ -83,9 +83,8 @@ def add_columns(df: DataFrame, inputs: Sequence[str], fn: Callable[..., dict], s
     """
     new = df.sparkSession.createDataFrame([], schema).schema
     names = {f.name.lower() for f in new}
-    source = df.select("*", *[F.col(c).alias(f"__in{i}") for i, c in enumerate(inputs)])
     kept = [c for c in df.columns if c.lower() not in names]
-    source = source.select(*kept, *[f"__in{i}" for i in range(len(inputs))])
+    source = df.select(*kept, *[F.col(c).alias(free_name(df, f"in{i}")) for i, c in enumerate(inputs)])
     target = type(new)([*df.select(*kept).schema.fields, *new.fields])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

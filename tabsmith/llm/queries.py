@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tabsmith.llm import bpe, decontaminate, linededup, lm, neardup, quality, secrets, sharding, toxicity, warc
+from tabsmith.llm import bpe, decontaminate, linededup, lm, neardup, quality, runs, secrets, sharding, toxicity, warc
 from tabsmith.llm.common import stage, table, text_or_empty
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -184,5 +184,73 @@ def op10_decontamination(spark, sf_dir):
         "doc_id", "n_words", "n_hit", "n_items", F.sha2(F.array_join("hit_items", ","), 256).alias("items_sha256"), "contaminated")
 
 
+#: The CRC-32 of an ASCII string in DuckDB: a byte enters with bit 32 set, then eight shifts follow.
+SQL_CRC32 = """xor(list_reduce(list_prepend(4294967295::bigint, flatten(list_transform(range(1, length({0}) + 1),
+    lambda i: [ord({0}[i])::bigint + 4294967296, 0, 0, 0, 0, 0, 0, 0, 0]))),
+    lambda acc, x: case when x >= 4294967296 then xor(acc, x - 4294967296)
+        else xor(acc >> 1, 3988292384 * (acc & 1)) end), 4294967295)"""
+
+
+def with_planted_runs(docs: DataFrame) -> DataFrame:
+    """doc_id and text, where one document in ten (by the CRC-32 of its doc_id) repeats some of its words up to its end."""
+    h = F.crc32(F.col("doc_id").cast("string"))
+    words = F.array_remove(F.split(text_or_empty(), r"[\x20\x09-\x0D]+", -1), "")
+    # as a generated column the words are made once, not once per use
+    split = docs.select(
+        "doc_id", "text", F.floor(h / 10).alias("g"), F.explode(F.array(F.when(h % 10 == 0, words))).alias("w"))
+    n = F.greatest(F.size("w"), F.lit(1))
+    placed = split.withColumn("a", (F.col("g") % n).cast("int"))
+    placed = placed.withColumn("p", 1 + F.floor((n - F.col("a")) / (3 + F.col("g") % 8)).cast("int"))
+    new = F.transform(F.sequence(F.lit(0), n - 1), lambda i: F.get(
+        "w", F.when(i < F.col("a"), i).otherwise(F.col("a") + (i - F.col("a")) % F.col("p"))))
+    return placed.select("doc_id", F.when(F.size("w") > 0, F.array_join(new, " ")).otherwise(F.col("text")).alias("text"))
+
+
+@query("op13_periodic_runs", rf"""
+    with d as (
+        select row_number() over () as rid, doc_id, cast(doc_id as varchar) as name,
+            regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') as w
+        from documents),
+    h as (select rid, doc_id, w, len(w) as n, {SQL_CRC32.format("name")} as h from d),
+    a as (select *, h // 10 as g, (h // 10) % greatest(n, 1) as a from h),
+    p as (select *, 1 + (n - a) // (3 + g % 8) as p from a),
+    planted as (
+        select rid, doc_id, n, case when h % 10 = 0 and n > 0
+            then list_transform(range(n), lambda i: w[1 + case when i < a then i else a + (i - a) % p end]) else w end as w
+        from p),
+    spots as (select rid, n, i, w[i + 1] as word from (select *, unnest(range(n)) as i from planted)),
+    pairs as (
+        select x.rid, x.i, y.i - x.i as q
+        from spots as x join spots as y on x.rid = y.rid and x.word = y.word and y.i > x.i and 3 * (y.i - x.i) <= x.n),
+    islands as (select rid, q, i, i - row_number() over (partition by rid, q order by i) as island from pairs),
+    stretches as (
+        select rid, min(i) as s, count(*) + q as length, q from islands group by rid, q, island
+        having count(*) + q >= greatest(24, 3 * q)),
+    runs as (select rid, s, length, min(q) as q from stretches group by rid, s, length),
+    best as (select distinct on (rid) * from runs order by rid, length / q desc, s, q),
+    per_doc as (
+        select rid, count(*) as n_runs, string_agg(s || ',' || length || ',' || q || chr(10), '' order by s, q) as listed
+        from runs group by rid),
+    dropped as (select distinct rid, unnest(range(s + q, s + length)) as i from runs),
+    collapsed as (
+        select spots.rid, string_agg(word, ' ' order by spots.i) as collapsed
+        from spots left join dropped on spots.rid = dropped.rid and spots.i = dropped.i
+        where dropped.i is null group by spots.rid)
+    select doc_id, coalesce(n_runs, 0) as n_runs, s as start, length, q as period, 1000 * length // q as exponent_milli,
+        sha256(coalesce(listed, '')) as runs_sha256, sha256(coalesce(collapsed, '')) as collapsed_sha256
+    from planted left join per_doc using (rid) left join best using (rid) left join collapsed using (rid)""")
+def op13_periodic_runs(spark, sf_dir):
+    found = runs.find_runs(with_planted_runs(table(spark, sf_dir, "documents")))
+    listed = F.array_join(F.transform("runs", lambda r: F.concat(F.concat_ws(",", r["start"], r["length"], r["period"]), F.lit("\n"))), "")
+    # runs come by start, then period; the first of equal ratios stays
+    best = F.aggregate(
+        F.col("runs"), F.get("runs", F.lit(0)),
+        lambda a, r: F.when(r["length"] * a["period"] > a["length"] * r["period"], r).otherwise(a))
+    return found.withColumn("best", best).select(
+        "doc_id", F.size("runs").cast("long").alias("n_runs"), "best.start", "best.length", "best.period",
+        F.expr("1000 * best.length div best.period").alias("exponent_milli"),
+        F.sha2(listed, 256).alias("runs_sha256"), F.sha2("collapsed", 256).alias("collapsed_sha256"))
+
+
 def all_queries():
     return dict(QUERIES), dict(ORACLES)
