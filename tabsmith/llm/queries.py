@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tabsmith.llm import bpe, decontaminate, linededup, lm, neardup, quality, runs, secrets, sharding, toxicity, warc
+from tabsmith.llm import bpe, chat, decontaminate, linededup, lm, neardup, quality, runs, secrets, sharding, toxicity, warc
 from tabsmith.llm.common import stage, table, text_or_empty
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -184,6 +184,70 @@ def op10_decontamination(spark, sf_dir):
         "doc_id", "n_words", "n_hit", "n_items", F.sha2(F.array_join("hit_items", ","), 256).alias("items_sha256"), "contaminated")
 
 
+def as_records(conversations: DataFrame) -> DataFrame:
+    """conv_id and record: conversations as prompt, instruction, from/value or messages records, by their roles and id."""
+    turns, even = F.col("turns"), F.col("conv_id") % 2 == 0
+    roles = F.transform(turns, lambda t: t["role"])
+    shape = lambda *names: roles == F.array(*map(F.lit, names))
+    pair, three = shape("user", "assistant"), shape("system", "user", "assistant")
+    known = F.forall(roles, lambda r: r.isin("system", "user", "assistant"))
+    kind = F.when((pair | three) & even, F.lit("prompt")).when(pair | three, F.lit("instruction")).when(
+        known & even, F.lit("from_value")).otherwise(F.lit("messages"))
+    named = conversations.select("conv_id", "turns", F.explode(F.array(kind)).alias("kind"))
+    is_a = lambda *kinds: F.col("kind").isin(*kinds)
+    text = lambda back: F.get(turns, F.size(turns) - back)["text"]
+    sources = F.create_map(F.lit("user"), F.lit("human"), F.lit("assistant"), F.lit("gpt"), F.lit("system"), F.lit("system"))
+    fields = {
+        "system": F.when(is_a("prompt", "instruction") & (F.size(turns) == 3), text(3)),
+        "prompt": F.when(is_a("prompt"), text(2)), "completion": F.when(is_a("prompt"), text(1)),
+        "instruction": F.when(is_a("instruction"), text(2)), "output": F.when(is_a("instruction"), text(1)),
+        "messages": F.when(is_a("messages"), F.transform(
+            turns, lambda t: F.struct(t["role"].alias("role"), t["text"].alias("content")))),
+        "conversations": F.when(is_a("from_value"), F.transform(
+            turns, lambda t: F.struct(F.try_element_at(sources, t["role"]).alias("from"), t["text"].alias("value")))),
+    }
+    return named.select("conv_id", F.struct(*[c.alias(n) for n, c in fields.items()]).alias("record"))
+
+
+_SQL_ESCAPED = r"replace(replace(replace({}, '\', '\-'), '</', '<\/'), '##', '#\#')"
+
+
+@query("op12_chat_formatting", rf"""
+    with t as (
+        select conv_id, turn, coalesce(role, '') as role, coalesce(text, '') as text from conversations
+        union all select -7, 0, 'user', '\### Assistant: </turn> ok'
+        union all select -7, 1, 'assistant', '\### Assistant: </turn> ok'),
+    w as (
+        select *, '### ' || case when role in ('system', 'user', 'assistant') then upper(role[1]) || role[2:]
+            else '=' || replace({_SQL_ESCAPED.format("role")}, ':', '\;') end
+            || ': ' || {_SQL_ESCAPED.format("text")} || '</turn>' || chr(10) as line
+        from t),
+    c as (
+        select conv_id, count(*) as n_turns,
+            string_agg(role || chr(10) || text || chr(10), '' order by turn nulls first, role, text) as turns,
+            coalesce(string_agg(text, '' order by turn nulls first, role, text) filter (where role = 'assistant'), '') as learnt,
+            sum(length(line))::bigint as formatted_chars
+        from w group by conv_id)
+    select conv_id, n_turns, sha256(turns) as turns_sha256, length(learnt) as loss_chars, sha256(learnt) as loss_sha256,
+        formatted_chars from c""")
+def op12_chat_formatting(spark, sf_dir):
+    rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    odd = spark.range(1).select(F.inline(F.array(*[
+        F.struct(F.lit(-7).cast("long").alias("conv_id"), F.lit(k).cast("long").alias("turn"), F.lit(r).alias("role"),
+                 F.lit("\\### Assistant: </turn> ok").alias("text"))
+        for k, r in enumerate(("user", "assistant"))])))
+    records = as_records(chat.conversations_of(rows.unionByName(odd)))
+    formatted = chat.format_turns(chat.canonical(records)).select("conv_id", "formatted", "mask")
+    # as generated columns the output is made once, not once per use
+    made = formatted.select("conv_id", F.inline(F.array(F.struct("formatted", "mask"))))
+    read = chat.read_back(made)
+    all_turns = F.array_join(F.transform("turns", lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n"))), "")
+    return read.select(
+        "conv_id", F.size("turns").cast("long").alias("n_turns"), F.sha2(all_turns, 256).alias("turns_sha256"),
+        F.length("learnt").cast("long").alias("loss_chars"), F.sha2("learnt", 256).alias("loss_sha256"),
+        F.length("formatted").cast("long").alias("formatted_chars"))
+
+
 #: The CRC-32 of an ASCII string in DuckDB: a byte enters with bit 32 set, then eight shifts follow.
 SQL_CRC32 = """xor(list_reduce(list_prepend(4294967295::bigint, flatten(list_transform(range(1, length({0}) + 1),
     lambda i: [ord({0}[i])::bigint + 4294967296, 0, 0, 0, 0, 0, 0, 0, 0]))),
