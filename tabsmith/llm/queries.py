@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tabsmith.llm import bpe, chat, decontaminate, linededup, lm, neardup, quality, runs, secrets, sharding, toxicity, warc
+from tabsmith.llm import bpe, chat, decontaminate, linededup, lm, neardup, phrases, quality, runs, secrets, sharding, toxicity, warc
 from tabsmith.llm.common import stage, table, text_or_empty
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -184,6 +184,43 @@ def op10_decontamination(spark, sf_dir):
         "doc_id", "n_words", "n_hit", "n_items", F.sha2(F.array_join("hit_items", ","), 256).alias("items_sha256"), "contaminated")
 
 
+@query("op11_phrase_collocations", rf"""
+    with pieces as (
+        select coalesce(lang, 'und') as lang,
+            unnest(string_split_regex({SQL_LOWER.format("coalesce(text, '')")}, '[.,;:!?\x0A-\x0D]')) as piece
+        from documents),
+    w as (select lang, regexp_extract_all(piece, '[^\x20\x09]+') as w from pieces),
+    grams as (
+        select lang, k, array_to_string(w[i:i + k - 1], ' ') as phrase
+        from (select lang, w, k, unnest(range(1, len(w) - k + 2)) as i from w, range(1, 6) as ks(k))),
+    f as (select lang, k, phrase, count(*) as f from grams group by all having count(*) >= 100),
+    n as (select lang, sum(len(w))::bigint as n from w group by lang),
+    cuts as (
+        select f.lang, f.k, phrase, f as a, j, string_split(phrase, ' ') as p
+        from f, range(1, 5) as js(j) where f.k > 1 and j < f.k),
+    scored as (
+        select c.lang, c.k, c.phrase, c.a, j, l.f as l, r.f as r, n.n,
+            ((1000::hugeint * c.a * n.n) // (l.f::hugeint * r.f))::bigint as score
+        from cuts as c join n on c.lang = n.lang
+        join f as l on l.lang = c.lang and l.phrase = array_to_string(p[:j], ' ')
+        join f as r on r.lang = c.lang and r.phrase = array_to_string(p[j + 1:], ' ')),
+    weakest as (select distinct on (lang, phrase) * from scored order by lang, phrase, score, j),
+    swallowed as (
+        select distinct lang, inner_phrase as phrase, least_f from (
+            select lang, f as least_f, array_to_string(p[s:s + k2 - 1], ' ') as inner_phrase
+            from (select *, unnest(range(1, k - k2 + 2)) as s
+                from (select lang, k, f, string_split(phrase, ' ') as p, unnest(range(2, k)) as k2 from f where k > 2)))),
+    most as (select lang, phrase, max(least_f) as most from swallowed group by lang, phrase),
+    kept as (
+        select w.* from weakest as w left join most as m on w.lang = m.lang and w.phrase = m.phrase
+        where m.most is null or 100 * m.most < 100 * w.a),
+    ranked as (
+        select *, row_number() over (partition by lang order by score desc, a desc, encode(phrase)) as rank from kept)
+    select lang, rank, phrase, a, l, r, n, score from ranked where rank <= 2000""")
+def op11_phrase_collocations(spark, sf_dir):
+    return phrases.best_collocations(table(spark, sf_dir, "documents").select("text", "lang"))
+
+
 def as_records(conversations: DataFrame) -> DataFrame:
     """conv_id and record: conversations as prompt, instruction, from/value or messages records, by their roles and id."""
     turns, even = F.col("turns"), F.col("conv_id") % 2 == 0
