@@ -32,7 +32,7 @@ from pyspark.sql import functions as F
 from tabsmith.llm.common import map_rows, stage
 
 #: Words of one language that a chunk holds before it is closed, and words that a task holds of all languages.
-CHUNK_WORDS, HELD_WORDS = 1_000_000, 2_000_000
+CHUNK_WORDS, HELD_WORDS = 500_000, 1_000_000
 #: What parts pieces, and the byte that stands for it, which UTF-8 text never has.
 PARTING, PARTED = b".,;:!?\n\x0b\x0c\r", b"\xff"
 _MARKED = bytes.maketrans(b"\t" + PARTING, b" " + PARTED * len(PARTING))
@@ -115,14 +115,14 @@ def _next_length(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             held = np.zeros(len(held), bool)
             held[at[beside]] = True
             made = {
-                "chunk": [column["chunk"][row].as_py()], "lang": [column["lang"][row].as_py()],
+                "chunk": [column["chunk"][row].as_py()],
                 "held": [np.packbits(held).tobytes()], "which": [packed(which)], "lefts": [numbers[pairs >> 32]],
                 "rights": [numbers[pairs & 0xFFFFFFFF]], "counts": [counts]}
-            kinds = [pa.int64(), pa.string(), pa.binary(), pa.binary(), *[pa.list_(pa.int64())] * 3]
+            kinds = [pa.int64(), pa.binary(), pa.binary(), *[pa.list_(pa.int64())] * 3]
             yield pa.RecordBatch.from_arrays([pa.array(v, k) for v, k in zip(made.values(), kinds)], names=list(made))
 
 
-_CHUNK = "chunk long, lang string, held binary, which binary, lefts array<long>, rights array<long>, counts array<long>"
+_CHUNK = "chunk long, held binary, which binary, lefts array<long>, rights array<long>, counts array<long>"
 
 
 def chunks_of(docs: DataFrame) -> DataFrame:
@@ -134,38 +134,40 @@ def chunks_of(docs: DataFrame) -> DataFrame:
 
 
 def _frequent(occurrences: DataFrame, key: list[str], least: int, name: str) -> DataFrame:
-    """The rows (chunk, place, `key`, n) of phrases found `least` times in all, with their count f and number id."""
+    """The rows (chunk, place) of phrases found `least` times in all, with their number id, and one row each with `key` and the count f."""
     together = Window.partitionBy(*key)
-    summed = occurrences.withColumn("occurrence", F.monotonically_increasing_id()).select(
-        "*", F.sum("n").over(together).alias("f"), F.min("occurrence").over(together).alias("id"))
-    return stage(summed.filter(F.col("f") >= least).drop("n"), name)
+    found = occurrences.withColumn("f", F.sum("n").over(together)).filter(F.col("f") >= least)
+    # the same partitions serve both windows
+    numbered = found.withColumn("row", F.monotonically_increasing_id()).withColumn("id", F.min("row").over(together))
+    is_first = F.col("row") == F.col("id")
+    return stage(numbered.select("chunk", "place", "id", is_first.alias("is_first"), *[F.when(is_first, F.col(c)).alias(c) for c in (*key, "f")]), name)
 
 
 def _next_chunks(chunks: DataFrame, hits: DataFrame, name: str) -> DataFrame:
     fed = hits.groupBy("chunk").agg(F.collect_list(F.struct("place", "id")).alias("fed"))
     fed = fed.select("chunk", F.col("fed.place").alias("places"), F.col("fed.id").alias("numbers"))
-    return stage(chunks.select("chunk", "lang", "held", "which").join(fed, "chunk").mapInArrow(_next_length, _CHUNK), name)
+    return stage(chunks.select("chunk", "held", "which").join(fed, "chunk").mapInArrow(_next_length, _CHUNK), name)
 
 
 def count_phrases(docs: DataFrame, least: int = 100, longest: int = 5) -> tuple[DataFrame, list[DataFrame]]:
     """(lang, n words) and, for each length from 1, the frequent phrases.
 
-    Words are (id, lang, word, f), longer phrases (id, lang, left, right, f) where left and right are the ids of the first
-    and last words but one. ids are unique within a length.
+    Words are (id, lang, word, f), longer phrases (id, left, right, f) where left and right are the ids of all words but the last
+    and all but the first. ids are unique within a length.
     """
     chunks = chunks_of(docs)
     totals = chunks.groupBy("lang").agg(F.sum(F.aggregate("counts", F.lit(0).cast("long"), lambda a, c: a + c)).alias("n"))
     words = chunks.select("chunk", "lang", F.posexplode(F.arrays_zip("words", "counts")).alias("place", "of"))
     words = words.select("chunk", (F.col("place") + 1).alias("place"), "lang", F.col("of.words").alias("word"), F.col("of.counts").alias("n"))
     hits = _frequent(words, ["lang", "word"], least, "phrase-words")
-    lengths = [hits.filter("occurrence = id").select("id", "lang", F.col("word").cast("string").alias("word"), "f")]
+    lengths = [hits.filter("is_first").select("id", "lang", F.col("word").cast("string").alias("word"), "f")]
     for n in range(2, longest + 1):
         chunks = _next_chunks(chunks, hits, f"phrase-chunks-{n}")
-        pairs = chunks.select("chunk", "lang", F.posexplode(F.arrays_zip("lefts", "rights", "counts")).alias("place", "of"))
+        pairs = chunks.select("chunk", F.posexplode(F.arrays_zip("lefts", "rights", "counts")).alias("place", "of"))
         pairs = pairs.select(
-            "chunk", "place", "lang", F.col("of.lefts").alias("left"), F.col("of.rights").alias("right"), F.col("of.counts").alias("n"))
+            "chunk", "place", F.col("of.lefts").alias("left"), F.col("of.rights").alias("right"), F.col("of.counts").alias("n"))
         hits = _frequent(pairs, ["left", "right"], least, f"phrase-pairs-{n}")
-        lengths.append(hits.filter("occurrence = id").select("id", "lang", "left", "right", "f"))
+        lengths.append(hits.filter("is_first").select("id", "left", "right", "f"))
     return totals, lengths
 
 
@@ -200,7 +202,7 @@ def collocations(docs: DataFrame, least: int = 100, longest: int = 5, swallowed:
     for parts in range(2, longest + 1):
         table = lengths[parts - 1]
         # in prefix order beside the phrases one shorter, then in suffix order
-        begun = shorter.select(F.col("id").alias("left"), F.col("phrase").alias("begin"), "left_counts").hint("merge")
+        begun = shorter.select(F.col("id").alias("left"), "lang", F.col("phrase").alias("begin"), "left_counts").hint("merge")
         ended = shorter.select(F.col("id").alias("right"), "last", "right_counts").hint("merge")
         own = F.array("f")
         phrases = table.join(begun, "left").join(ended, "right").select(
