@@ -5,8 +5,11 @@ the left; a token stays only if it is compatible with the one before, that is, i
 joined text would give just these two. Where none fits, the last token is given up for
 its next shorter prefix. Every position is ruled out at most once, so a word takes linear time.
 
+Most words need no step back: the automaton's longest matches, one after the other, are the answer if they cover
+the word and every neighbouring pair is compatible, as only one such sequence exists.
+
 The tokenizer file is read on the driver and sent to the tasks as a broadcast; it is
-bounded by its vocabulary. Words and pieces are looked up in bounded caches first.
+bounded by its vocabulary. Words and pieces are looked up in a bounded cache first.
 
 Defined results: null texts are empty and have no tokens; other columns stay, an input column with
 the name of a new one is replaced.
@@ -27,8 +30,8 @@ from tabsmith.llm.common import add_columns
 
 #: Stands for the end of a word; it occurs in no mapped word.
 END = "\x00"
-#: Entries that a task's caches hold.
-CACHED_WORDS, CACHED_PIECES, CACHED_PAIRS = 80_000, 160_000, 120_000
+#: Entries that a task's caches hold before they start afresh.
+CACHED_WORDS, CACHED_PAIRS = 200_000, 200_000
 #: Longer words are not cached.
 CACHED_CHARS = 64
 #: Fixed value: control characters that str.split() takes for white space and Unicode does not.
@@ -42,26 +45,8 @@ def byte_letters() -> list[str]:
     return [chr(b) if b in plain else chr(256 + others.index(b)) for b in range(256)]
 
 
-class Recent(dict):
-    """The entries used last: at least `size`, at most twice as many. Long keys are not kept; what is missing is None."""
-
-    def __init__(self, size: int):
-        super().__init__()
-        self.size, self.old = size, {}
-
-    def __setitem__(self, key, value) -> None:
-        if type(key) is str and len(key) > CACHED_CHARS:
-            return
-        if len(self) >= self.size:
-            self.old = dict(self)
-            self.clear()
-        super().__setitem__(key, value)
-
-    def __missing__(self, key):
-        value = self.old.get(key)
-        if value is not None:
-            self[key] = value
-        return value
+#: Marks that are one piece at the end of a word of letters.
+MARKS = ".,;:!?"
 
 
 class Codec:
@@ -92,7 +77,7 @@ class Codec:
         if any(self.rank.get(p, -1) >= rank for whole, rank in self.rank.items() for p in self.parts[whole]):
             raise ValueError("a merge comes before the merges of its parts")
         self.edges: tuple[dict, dict] = ({}, {})
-        self.pairs: Recent = Recent(CACHED_PAIRS)
+        self.pairs: dict[int, bool] = {}
         never = self._never_made()
         self.ids = {t: i for t, i in self.ids.items() if i not in never}
         # a token is packed with its length: id | length << 20
@@ -107,8 +92,9 @@ class Codec:
         self.blob = np.frombuffer(b"".join(blob), np.uint8)
         self.offsets = np.concatenate([[0], np.cumsum([len(b) for b in blob])])
         self.special_split = regex.compile("(" + "|".join(map(regex.escape, sorted(self.special, key=len, reverse=True))) + ")") if self.special else None
-        self.by_piece: Recent = Recent(CACHED_PIECES)
-        self.by_word: Recent = Recent(CACHED_WORDS)
+        self.digits = [str(i) for i in range(max(names) + 1)]
+        #: words and pieces to their ids in decimal; a piece that stands alone is a word with the same ids
+        self.known: dict[str, str] = {}
 
     def _edge(self, token: int, side: int) -> list[tuple[int, float]]:
         """The parts of a token at its left (0) or right (1) edge, each with the rank of the merge that ends it."""
@@ -137,18 +123,31 @@ class Codec:
 
     def compatible(self, left: int, right: int) -> bool:
         """Whether the merges of both tokens' joined text leave the border between them alone."""
-        known = self.pairs[left << 20 | right]
-        if known is None:
-            known = self.pairs[left << 20 | right] = not self._merged_over(left, right)
-        return known
+        if len(self.pairs) >= CACHED_PAIRS:
+            self.pairs.clear()
+        found = self.pairs[left << 20 | right] = not self._merged_over(left, right)
+        return found
 
     def _prefix(self, token: int) -> int:
         """The longest token that is a proper prefix of this one, packed; 0 if there is none."""
         text = self.token[token]
         return next((self.ids[text[:n]] | n << 20 for n in range(len(text) - 1, 0, -1) if text[:n] in self.ids), 0)
 
-    def encode_piece(self, piece: str) -> tuple[int, ...]:
-        word = piece.encode().decode("latin-1").translate(self.letters) + END
+    def encode_piece(self, piece: str) -> list[int]:
+        if piece.isascii() and piece.isprintable():  # these letters stand for themselves
+            word = piece + END
+        else:
+            word = piece.encode().decode("latin-1").translate(self.letters) + END
+        pairs, at, last, straight = self.pairs, 0, -1, []
+        for end, found in self.automaton.iter_long(word):
+            token = found & 0xFFFFF
+            if end + 1 - (found >> 20) != at or last >= 0 and not ((ok := pairs.get(last << 20 | token)) or ok is None and self.compatible(last, token)):
+                break
+            straight.append(token)
+            at, last = end + 1, token
+        return straight if at == len(word) else self._stepping_back(piece, word)
+
+    def _stepping_back(self, piece: str, word: str) -> list[int]:
         size = len(word)
         longest = [0] * size  # the longest token from each position, as it is packed in the automaton
         for end, found in self.automaton.iter(word):
@@ -159,7 +158,7 @@ class Codec:
         while at < size:
             while found:
                 token = found & 0xFFFFF
-                if at + (found >> 20) not in dead and (last < 0 or ((ok := pairs[last << 20 | token]) or ok is None and self.compatible(last, token))):
+                if at + (found >> 20) not in dead and (last < 0 or ((ok := pairs.get(last << 20 | token)) or ok is None and self.compatible(last, token))):
                     break
                 found = self.shorter[token]
             if found:
@@ -175,7 +174,7 @@ class Codec:
                 at -= found >> 20
                 last = out[-1] & 0xFFFFF if out else -1
                 found = self.shorter[found & 0xFFFFF]
-        return tuple([f & 0xFFFFF for f in out])
+        return [f & 0xFFFFF for f in out]
 
     def _never_made(self) -> set[int]:
         """Tokens that no text gives, as merging their own text goes another way."""
@@ -186,15 +185,24 @@ class Codec:
                 never.add(whole)
         return never
 
-    def _word(self, word: str) -> tuple[bytes, str]:
-        ids: list[int] = []
-        for piece in self.pieces(word):
-            known = self.by_piece[piece]
-            if known is None:
-                known = self.by_piece[piece] = self.encode_piece(piece)
-            ids += known
-        found = self.by_word[word] = (np.array(ids, np.int32).tobytes(), " ".join(map(str, ids)))
-        return found
+    def _keep(self, word: str, ids: str) -> str:
+        if len(word) <= CACHED_CHARS:
+            if len(self.known) >= CACHED_WORDS:
+                self.known.clear()
+            self.known[word] = ids
+        return ids
+
+    def _piece(self, piece: str) -> str:
+        return self._keep(piece, " ".join([self.digits[i] for i in self.encode_piece(piece)]))
+
+    def _word(self, word: str) -> str:
+        """The ids of a word that is not known yet."""
+        if word.isalpha():  # one piece
+            return self._piece(word)
+        known = self.known.get
+        core = word.rstrip(MARKS)
+        pieces = (core, word[len(core):]) if core.isalpha() else self.pieces(word)
+        return self._keep(word, " ".join([known(p) or self._piece(p) for p in pieces]))
 
     def _normal(self, text: str) -> str:
         if text.isascii():
@@ -203,27 +211,28 @@ class Codec:
         # one letter at a time, as a sigma at a word's end is lower-cased like any other
         return "".join(map(str.lower, text)) if "Σ" in text else text.lower()
 
-    def _found(self, text: str) -> list[tuple[bytes, str]]:
+    def written(self, text: str | None) -> str:
+        """The ids as decimal numbers joined by spaces."""
+        text = text or ""
         parts = self.special_split.split(text) if self.special_split and any(s in text for s in self.special) else [text]
-        found = []
-        known, miss = self.by_word.__getitem__, self._word
+        found: list[str] = []
+        known, miss = self.known.get, self._word
         for part in parts:
             if part in self.special:
-                i = self.special[part]
-                found.append((np.array([i], np.int32).tobytes(), str(i)))
+                found.append(str(self.special[part]))
             else:
                 normal = self._normal(part)
                 words = regex.findall(r"[^\s]+", normal) if NOT_SPACE.search(normal) else normal.split()
                 found += [known(w) or miss(w) for w in words]
-        return found
-
-    def encode(self, text: str | None) -> np.ndarray:
-        return np.frombuffer(b"".join([f[0] for f in self._found(text or "")]), np.int32)
+        return " ".join(filter(None, found))
 
     def encode_with_text(self, text: str | None) -> tuple[np.ndarray, str]:
         """The ids, and the ids as decimal numbers joined by spaces."""
-        found = self._found(text or "")
-        return np.frombuffer(b"".join([f[0] for f in found]), np.int32), " ".join([f[1] for f in found if f[1]])
+        written = self.written(text)
+        return np.fromstring(written, np.int32, sep=" ") if written else np.zeros(0, np.int32), written
+
+    def encode(self, text: str | None) -> np.ndarray:
+        return self.encode_with_text(text)[0]
 
     def decode(self, ids) -> bytes:
         """The tokens' strings joined by spaces, in UTF-8."""
@@ -260,9 +269,8 @@ class _Shared:
     def release(self) -> None:
         """Empty the caches: a worker goes on to other work after a partition."""
         if codec := _Shared.made.get(self.key):
-            for cache in (codec.by_word, codec.by_piece, codec.pairs):
-                cache.clear()
-                cache.old = {}
+            codec.known.clear()
+            codec.pairs.clear()
 
 
 def encode(docs: DataFrame, tokenizer_path: str) -> DataFrame:

@@ -55,10 +55,30 @@ def test_table_matches(spark, odd, frame):
     assert bpe.digests(odd.limit(0), PATH).count() == 0
 
 
-def test_small_caches_change_nothing():
+def test_small_caches_change_nothing(monkeypatch):
+    monkeypatch.setattr(bpe, "CACHED_WORDS", 3)
+    monkeypatch.setattr(bpe, "CACHED_PAIRS", 3)
     with open(PATH, encoding="utf-8") as f:
         small = bpe.Codec(f.read())
-    for cache in ("by_word", "by_piece", "pairs"):
-        setattr(small, cache, bpe.Recent(3))
-    text = "many different words and many words again, and again " * 3
+    text = "many different words, and many words again, and again... " * 3
     assert small.encode(text).tolist() == CODEC.encode(text).tolist()
+    assert len(small.known) <= 3 and len(small.pairs) <= 3
+
+
+def test_the_straight_way_is_the_one_with_steps_back():
+    rng = random.Random(9)
+    stepped = 0
+    for _ in range(3000):
+        piece = "".join(rng.choice("aeinorstlhdu") for _ in range(rng.randint(1, 14)))
+        want = CODEC._stepping_back(piece, piece + bpe.END)
+        assert CODEC.encode_piece(piece) == want
+        longest, at = [], 0
+        for end, found in CODEC.automaton.iter_long(piece + bpe.END):
+            longest.append(found & 0xFFFFF)
+        stepped += longest != want
+    assert stepped  # both ways were taken
+
+
+@pytest.mark.parametrize("text", ["word, word. word; a:b c!? ... (x) don't, we'll. é, naïve! 漢字. 12, a1. x', '' ','", "ª, º. ǆ, ﬃ; ٣! ²,"])
+def test_marks_at_the_end_of_words(text):
+    same(text)
