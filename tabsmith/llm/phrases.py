@@ -10,8 +10,8 @@ phrase is looked up in a hash table.
 Only phrases found `least` times are reported, and so are all their parts; a phrase of n words is therefore counted only
 where both its parts of n-1 words are that frequent, which drops none. Texts are split once into chunks, arrays of word
 numbers in the shared folder, with the numbers of a chunk's own words. Each length is one round: counts per chunk are
-shuffled by phrase, the frequent ones go back to the chunks that hold them. A chunk is bounded by its words
-unless a single text has more; a word or phrase meets at most one row per chunk.
+shuffled by phrase, in compressed buckets whose number grows with the corpus, and the frequent ones go back to the chunks that hold
+them. A chunk is bounded by its words unless a single text has more; a word or phrase meets at most one row per chunk.
 
 Defined results: a null text has no words; a null language is `und`; rows that share a doc_id are counted
 each; an empty table gives no phrases. Input columns other than text and lang are not read.
@@ -33,6 +33,8 @@ from tabsmith.llm.common import map_rows, stage
 
 #: Words of one language that a chunk holds before it is closed, and words that a task holds of all languages.
 CHUNK_WORDS, HELD_WORDS = 500_000, 1_000_000
+#: Pairs of a bucket, about: they are added up in one task.
+BUCKET_PAIRS = 2_000_000
 #: What parts pieces, and the byte that stands for it, which UTF-8 text never has.
 PARTING, PARTED = b".,;:!?\n\x0b\x0c\r", b"\xff"
 _MARKED = bytes.maketrans(b"\t" + PARTING, b" " + PARTED * len(PARTING))
@@ -95,34 +97,99 @@ def _close_chunks(texts_and_langs: Iterator) -> Iterator[dict]:
         yield chunk.closed(lang)
 
 
-def _next_length(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Chunks, with the numbers of the frequent phrases among theirs, to the neighbouring pairs of these."""
-    for batch in batches:
-        column = {n: batch.column(n) for n in batch.schema.names}
-        for row in range(batch.num_rows):
-            which = unpacked(column["which"][row].as_py())
-            held = np.unpackbits(np.frombuffer(column["held"][row].as_py(), np.uint8)).view(bool)
-            at = np.flatnonzero(held)[:len(which)]
-            places = column["places"][row].values.to_numpy()
-            numbers = column["numbers"][row].values.to_numpy()
-            local = np.full(max(int(which.max(initial=-1)), int(places.max(initial=-1))) + 1, -1, np.int64)
-            local[places] = np.arange(len(places))
-            found = local[which]
-            at, found = at[found >= 0], found[found >= 0]
-            beside = np.flatnonzero(np.diff(at) == 1)
-            pairs, which, counts = np.unique(
-                found[beside] << 32 | found[beside + 1], return_inverse=True, return_counts=True)
-            held = np.zeros(len(held), bool)
-            held[at[beside]] = True
-            made = {
-                "chunk": [column["chunk"][row].as_py()],
-                "held": [np.packbits(held).tobytes()], "which": [packed(which)], "lefts": [numbers[pairs >> 32]],
-                "rights": [numbers[pairs & 0xFFFFFFFF]], "counts": [counts]}
-            kinds = [pa.int64(), pa.binary(), pa.binary(), *[pa.list_(pa.int64())] * 3]
-            yield pa.RecordBatch.from_arrays([pa.array(v, k) for v, k in zip(made.values(), kinds)], names=list(made))
-
-
-_CHUNK = "chunk long, held binary, which binary, lefts array<long>, rights array<long>, counts array<long>"
+def _squeezed(*columns: np.ndarray) -> bytes:
+    """Whole numbers, column by column and byte by byte, compressed."""
+    planes = [np.ascontiguousarray(c.astype("<i8").view(np.uint8).reshape(-1, 8).T).tobytes() for c in columns]
+    return pa.compress(b"".join(planes), codec="zstd", asbytes=True)
+
+
+def _spread(blob: bytes, rows: int, columns: int) -> list[np.ndarray]:
+    planes = np.frombuffer(pa.decompress(blob, rows * columns * 8, codec="zstd"), np.uint8).reshape(columns, 8, rows)
+    return [np.ascontiguousarray(p.T).reshape(-1).view("<i8") for p in planes]
+
+
+def _next_length(buckets: int):
+    """Chunks, with the numbers of the frequent phrases among theirs, to the neighbouring pairs of these, dealt to buckets."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            column = {n: batch.column(n) for n in batch.schema.names}
+            for row in range(batch.num_rows):
+                which = unpacked(column["which"][row].as_py())
+                held = np.unpackbits(np.frombuffer(column["held"][row].as_py(), np.uint8)).view(bool)
+                at = np.flatnonzero(held)[:len(which)]
+                places = column["places"][row].values.to_numpy()
+                numbers = column["numbers"][row].values.to_numpy()
+                local = np.full(max(int(which.max(initial=-1)), int(places.max(initial=-1))) + 1, -1, np.int64)
+                local[places] = np.arange(len(places))
+                found = local[which]
+                at, found = at[found >= 0], found[found >= 0]
+                beside = np.flatnonzero(np.diff(at) == 1)
+                pairs, which, counts = np.unique(
+                    found[beside] << 32 | found[beside + 1], return_inverse=True, return_counts=True)
+                held = np.zeros(len(held), bool)
+                held[at[beside]] = True
+                lefts, rights = numbers[pairs >> 32], numbers[pairs & 0xFFFFFFFF]
+                mixed = lefts.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15) + rights.astype(np.uint64) * np.uint64(0xC2B2AE3D27D4EB4F)
+                bucket = ((mixed ^ mixed >> np.uint64(32)) % np.uint64(buckets)).astype(np.int64)
+                order = np.argsort(bucket, kind="stable")
+                ends = np.cumsum(np.bincount(bucket, minlength=buckets))
+                dealt = []
+                for b, (start, end) in enumerate(zip([0, *ends[:-1].tolist()], ends.tolist())):
+                    if end > start:
+                        own = order[start:end]
+                        dealt.append({"bucket": b, "rows": end - start, "blob": _squeezed(
+                            np.diff(own, prepend=0), np.diff(lefts[own], prepend=0), rights[own], counts[own])})
+                yield pa.RecordBatch.from_arrays([
+                    pa.array([column["chunk"][row].as_py()], pa.int64()), pa.array([np.packbits(held).tobytes()]), pa.array([packed(which)]),
+                    pa.array([dealt], pa.list_(pa.struct([("bucket", pa.int32()), ("rows", pa.int32()), ("blob", pa.binary())])))],
+                    names=["chunk", "held", "which", "dealt"])
+
+    return run
+
+
+_CHUNK = "chunk long, held binary, which binary, dealt array<struct<bucket: int, rows: int, blob: binary>>"
+
+
+def _add_up(least: int):
+    """All pairs of a bucket: those found `least` times in all, and where the chunks have them."""
+
+    def run(table: pa.Table) -> pa.Table:
+        chunks, sizes = table.column("chunk").to_numpy(), table.column("rows").to_numpy()
+        parts = [_spread(blob.as_py(), n, 4) for blob, n in zip(table.column("blob"), sizes.tolist())]
+        place, left = (np.concatenate([np.cumsum(p[i]) for p in parts]) for i in (0, 1))
+        right, n = (np.concatenate([p[i] for p in parts]) for i in (2, 3))
+        order = np.lexsort((right, left))
+        left, right = left[order], right[order]
+        begins = np.flatnonzero(np.append(True, (left[1:] != left[:-1]) | (right[1:] != right[:-1])))
+        total = np.add.reduceat(n[order], begins)
+        frequent = total >= least
+        # numbers are unique, as a pair is in one bucket only
+        ids = (int(table.column("bucket")[0].as_py()) << 32) + np.cumsum(frequent) - 1
+        of_row = np.empty(len(order), np.int64)
+        of_row[order] = np.repeat(np.where(frequent, ids, -1), np.diff(np.append(begins, len(order))))
+        out = {name: [] for name in ("chunk", "places", "numbers", "id", "left", "right", "f")}
+        at = 0
+        for chunk, size in zip(chunks.tolist(), sizes.tolist()):
+            mine = np.flatnonzero(of_row[at:at + size] >= 0)
+            if len(mine):
+                for name, value in (("chunk", chunk), ("places", place[at + mine]), ("numbers", of_row[at + mine]),
+                                    ("id", None), ("left", None), ("right", None), ("f", None)):
+                    out[name].append(value)
+            at += size
+        where = begins[frequent]
+        count_of = len(where)
+        kinds = [pa.int64(), pa.list_(pa.int64()), pa.list_(pa.int64()), *[pa.int64()] * 4]
+        rows = pa.table([pa.array(v, k) for v, k in zip(out.values(), kinds)], names=list(out))
+        phrases = pa.table([
+            pa.nulls(count_of, kinds[0]), pa.nulls(count_of, kinds[1]), pa.nulls(count_of, kinds[2]), pa.array(ids[frequent]),
+            pa.array(left[where]), pa.array(right[where]), pa.array(total[frequent])], names=list(out))
+        return pa.concat_tables([rows, phrases])
+
+    return run
+
+
+_HITS = "chunk long, places array<long>, numbers array<long>, id long, left long, right long, f long"
 
 
 def chunks_of(docs: DataFrame) -> DataFrame:
@@ -133,20 +200,22 @@ def chunks_of(docs: DataFrame) -> DataFrame:
     return stage(closed.withColumn("chunk", F.monotonically_increasing_id()), "phrase-chunks")
 
 
-def _frequent(occurrences: DataFrame, key: list[str], least: int, name: str) -> DataFrame:
-    """The rows (chunk, place) of phrases found `least` times in all, with their number id, and one row each with `key` and the count f."""
+def _frequent_words(words: DataFrame, least: int) -> DataFrame:
+    """The rows (chunk, place) of words found `least` times in all, with their number id, and one row each with lang, word and the count f."""
+    key = ["lang", "word"]
     together = Window.partitionBy(*key)
-    found = occurrences.withColumn("f", F.sum("n").over(together)).filter(F.col("f") >= least)
+    found = words.withColumn("f", F.sum("n").over(together)).filter(F.col("f") >= least)
     # the same partitions serve both windows
     numbered = found.withColumn("row", F.monotonically_increasing_id()).withColumn("id", F.min("row").over(together))
     is_first = F.col("row") == F.col("id")
-    return stage(numbered.select("chunk", "place", "id", is_first.alias("is_first"), *[F.when(is_first, F.col(c)).alias(c) for c in (*key, "f")]), name)
+    return stage(numbered.select(
+        "chunk", "place", "id", is_first.alias("is_first"), *[F.when(is_first, F.col(c)).alias(c) for c in (*key, "f")]), "phrase-words")
 
 
-def _next_chunks(chunks: DataFrame, hits: DataFrame, name: str) -> DataFrame:
-    fed = hits.groupBy("chunk").agg(F.collect_list(F.struct("place", "id")).alias("fed"))
-    fed = fed.select("chunk", F.col("fed.place").alias("places"), F.col("fed.id").alias("numbers"))
-    return stage(chunks.select("chunk", "held", "which").join(fed, "chunk").mapInArrow(_next_length, _CHUNK), name)
+def _next_chunks(chunks: DataFrame, fed: DataFrame, shorter: DataFrame, name: str) -> DataFrame:
+    # there are no more pairs than places of shorter phrases; a bucket has a bounded share of them
+    buckets = (shorter.agg(F.sum("f").alias("n")).first()["n"] or 0) // BUCKET_PAIRS + 1
+    return stage(chunks.select("chunk", "held", "which").join(fed, "chunk").mapInArrow(_next_length(buckets), _CHUNK), name)
 
 
 def count_phrases(docs: DataFrame, least: int = 100, longest: int = 5) -> tuple[DataFrame, list[DataFrame]]:
@@ -159,15 +228,17 @@ def count_phrases(docs: DataFrame, least: int = 100, longest: int = 5) -> tuple[
     totals = chunks.groupBy("lang").agg(F.sum(F.aggregate("counts", F.lit(0).cast("long"), lambda a, c: a + c)).alias("n"))
     words = chunks.select("chunk", "lang", F.posexplode(F.arrays_zip("words", "counts")).alias("place", "of"))
     words = words.select("chunk", (F.col("place") + 1).alias("place"), "lang", F.col("of.words").alias("word"), F.col("of.counts").alias("n"))
-    hits = _frequent(words, ["lang", "word"], least, "phrase-words")
+    hits = _frequent_words(words, least)
     lengths = [hits.filter("is_first").select("id", "lang", F.col("word").cast("string").alias("word"), "f")]
+    fed = hits.groupBy("chunk").agg(F.collect_list(F.struct("place", "id")).alias("fed"))
+    fed = fed.select("chunk", F.col("fed.place").alias("places"), F.col("fed.id").alias("numbers"))
     for n in range(2, longest + 1):
-        chunks = _next_chunks(chunks, hits, f"phrase-chunks-{n}")
-        pairs = chunks.select("chunk", F.posexplode(F.arrays_zip("lefts", "rights", "counts")).alias("place", "of"))
-        pairs = pairs.select(
-            "chunk", "place", F.col("of.lefts").alias("left"), F.col("of.rights").alias("right"), F.col("of.counts").alias("n"))
-        hits = _frequent(pairs, ["left", "right"], least, f"phrase-pairs-{n}")
-        lengths.append(hits.filter("is_first").select("id", "left", "right", "f"))
+        chunks = _next_chunks(chunks, fed, lengths[-1], f"phrase-chunks-{n}")
+        dealt = chunks.select("chunk", F.inline("dealt"))
+        hits = stage(dealt.groupBy("bucket").applyInArrow(_add_up(least), _HITS), f"phrase-pairs-{n}")
+        fed = hits.filter("chunk is not null").groupBy("chunk").agg(F.collect_list(F.struct("places", "numbers")).alias("fed"))
+        fed = fed.select("chunk", F.flatten("fed.places").alias("places"), F.flatten("fed.numbers").alias("numbers"))
+        lengths.append(hits.filter("chunk is null").select("id", "left", "right", "f"))
     return totals, lengths
 
 
