@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from importlib import import_module
 
-_MODULES = ("cleaning", "dates", "fitting", "splitting", "evaluation", "io", "synthesis", "modelling")
+_MODULES = ("cleaning", "dates", "fitting", "splitting", "evaluation", "io", "synthesis", "modelling", "boosting")
 
 
 def all_queries():

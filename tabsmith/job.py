@@ -19,7 +19,7 @@ from tabsmith.operators.fit import FitState
 from tabsmith.plans import loan_features, loan_preset as preset
 from tabsmith.session import build_session, job_folder, stage
 from tabsmith.sources import tables
-from tabsmith.training import model, tune
+from tabsmith.training import boosting, model, tune
 
 # The settings of a run that names none.
 DEFAULTS = {
@@ -32,8 +32,9 @@ DEFAULTS = {
     "train": {
         "input": "features/train", "val_input": "features/val", "val_split": 0.2, "split_by": "rows", "header": True,
         "input_format": None, "model_dir": "model", "objective": "binary:logistic",
-        "num_rounds": 500, "early_stopping": 20, "stop_rule": "library", "eval_metric": (), "max_depth": 7, "learning_rate": 0.1,
-        "subsample": 0.8, "colsample": 0.8, "min_child": 5, "max_bins": 256, "threshold": 0.5,
+        "engine": "histogram", "num_rounds": 500, "early_stopping": 20, "stop_rule": "patience", "eval_metric": (), "max_depth": 7, "learning_rate": 0.1,
+        "subsample": 0.8, "colsample": 0.8, "min_child": 5, "max_bins": 256, "threshold": 0.5, "reg_lambda": 1.0,
+        "min_child_weight": 0.0, "min_split_gain": 0.0, "quantile_alpha": 0.5, "tweedie_power": 1.5, "huber_delta": 1.0,
         "seed": 42, "class_weight_sample_rows": -1,
     },
     "tune": {
@@ -44,7 +45,8 @@ DEFAULTS = {
 }
 TREE_KEYS = (
     "objective", "num_rounds", "early_stopping", "stop_rule", "eval_metric", "max_depth", "learning_rate", "subsample",
-    "colsample", "min_child", "max_bins", "threshold", "seed",
+    "colsample", "min_child", "max_bins", "threshold", "seed", "engine", "reg_lambda", "min_child_weight", "min_split_gain",
+    "quantile_alpha", "tweedie_power", "huber_delta",
 )
 STEPS = ("features", "train", "tune")
 
@@ -168,6 +170,11 @@ def run_train(spark: SparkSession, c: dict) -> dict:
     tables.write_json_row(model.importance(trained), f"{folder}/feature_importance", "overwrite")
     params_json = json.dumps({**model.params_row(trained), "positive_weight": weight})
     spark.createDataFrame([(params_json,)], "params string").coalesce(1).write.mode("overwrite").text(f"{folder}/params")
+    if isinstance(trained.model, boosting.Boosted):
+        boosting.save(trained.model, spark, f"{folder}/model")
+        curves = model.metric_curves(trained, {"train": train, "val": val})
+        curves.coalesce(1).write.mode("overwrite").json(f"{folder}/curves")
+        return row.first().asDict(recursive=True)
     models = {f"class={k}": m for k, m in enumerate(trained.model.models)} if params.task == "multiclass" else {"": trained.model}
     for name, one in models.items():
         one.write().overwrite().save("/".join(filter(None, [folder, "model", name])))

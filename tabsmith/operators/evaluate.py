@@ -94,6 +94,24 @@ def ranking_metrics(counts: DataFrame) -> DataFrame:
     )
 
 
+def binary_curves(rows: DataFrame) -> DataFrame:
+    """(round, logloss, auc_roc) of rows (label, round, score)."""
+    counts = stage(rows.groupBy("round", "score").agg(
+        F.count_if(F.col("label") == 1).alias("pos"), F.count_if(F.col("label") == 0).alias("neg")), "round-score-counts")
+    ordered = running_totals(counts, ["round", "score"], ["pos", "neg"])
+    p = clip(F.col("score"), 1e-15, 1 - 1e-15)
+    pos, neg = F.col("pos").cast(_COUNT), F.col("neg").cast(_COUNT)
+    # what lies before a round is taken off at the end: twice (pairs) = sum pos * (2 * neg before + neg)
+    sums = ordered.groupBy("round").agg(
+        F.sum((pos * (2 * F.col("neg_before") + neg)).cast(_COUNT)).alias("twice"), F.min("neg_before").alias("before"),
+        F.sum(pos).alias("pos"), F.sum(neg).alias("neg"),
+        (-(F.sum(F.col("pos") * F.ln(p)) + F.sum(F.col("neg") * F.ln(1 - p)))).alias("loss"))
+    pairs = (F.col("twice") - (2 * F.col("before") * F.col("pos")).cast(_COUNT)).cast("double")
+    pos, neg = F.col("pos").cast("double"), F.col("neg").cast("double")
+    return sums.select(
+        "round", F.try_divide("loss", pos + neg).alias("logloss"), F.try_divide(pairs, 2 * pos * neg).alias("auc_roc"))
+
+
 def binary_report(df: DataFrame, label: str, score: str, threshold: float = 0.5) -> DataFrame:
     """All binary metrics in one row; the scored table is read once."""
     counts = score_counts(df, label, score)

@@ -29,6 +29,15 @@ def build_session(app_name: str = "tabsmith", master: str | None = None, **extra
     return builder.getOrCreate()
 
 
+def ship_package(spark: SparkSession) -> SparkSession:
+    """Let Python workers import this package from where the driver has it, unless their path names it already."""
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    paths = spark.sparkContext.environment.get("PYTHONPATH", "").split(os.pathsep)
+    if root not in paths:
+        spark.sparkContext.environment["PYTHONPATH"] = os.pathsep.join([root, *filter(None, paths)])
+    return spark
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The folder all executors can reach, as the session names it in spark.checkpoint.dir."""
     folder = spark.conf.get("spark.checkpoint.dir", None)

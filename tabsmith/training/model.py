@@ -5,7 +5,7 @@ from __future__ import annotations
 import time
 from collections.abc import Sequence
 from concurrent.futures import ThreadPoolExecutor
-from dataclasses import asdict, dataclass, field
+from dataclasses import asdict, dataclass, field, replace
 
 from pyspark import inheritable_thread_target
 from pyspark.ml import Model
@@ -17,7 +17,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tabsmith.operators import evaluate
-from tabsmith.session import shared_dir
+from tabsmith.session import shared_dir, ship_package
+from tabsmith.training import boosting, objectives
 
 # Objectives by task, and the metrics each task reports when none are named.
 OBJECTIVES = {
@@ -26,12 +27,15 @@ OBJECTIVES = {
     "regression": ["reg:squarederror", "regression", "regression_l2", "l2", "mse", "rmse"],
     "ranking": ["rank:pairwise", "rank:ndcg", "rank:map", "lambdarank", "rank_xendcg"],
 }
-# Objectives that the reference's trainers know and Spark's trees do not train.
-UNTRAINED = {
-    "binary:logitraw", "binary:hinge", "cross_entropy", "cross_entropy_lambda", "reg:logistic", "reg:squaredlogerror",
-    "reg:pseudohubererror", "reg:absoluteerror", "reg:quantileerror", "reg:gamma", "reg:tweedie", "count:poisson",
-    "survival:cox", "survival:aft", "poisson", "gamma", "tweedie", "huber", "fair", "quantile", "mape", "regression_l1", "l1",
-}
+# Further objectives that histogram boosting trains, by task, and those that nothing here trains.
+OBJECTIVES["binary"] += ["binary:logitraw", "binary:hinge"]
+OBJECTIVES["regression"] += [
+    "reg:logistic", "cross_entropy", "reg:squaredlogerror", "reg:pseudohubererror", "reg:absoluteerror", "reg:quantileerror", "reg:gamma",
+    "reg:tweedie", "count:poisson", "poisson", "gamma", "tweedie", "huber", "fair", "quantile", "regression_l1", "l1",
+]
+SPARK_ML_OBJECTIVES = {"binary:logistic", "binary", "multi:softmax", "multi:softprob", "multiclass", "multiclassova",
+                       "reg:squarederror", "regression", "regression_l2", "l2", "mse", "rmse"}
+UNTRAINED = {"cross_entropy_lambda", "survival:cox", "survival:aft", "mape"}
 DEFAULT_METRICS = {"binary": ["logloss", "auc"], "multiclass": ["mlogloss"], "regression": ["rmse"]}
 # Names of metrics that are columns of the reports under another name.
 METRIC_NAMES = {
@@ -73,7 +77,7 @@ class TreeParams:
     objective: str = "binary:logistic"
     num_rounds: int = 500
     early_stopping: int = 20  # 0 trains all rounds
-    stop_rule: str = "library"  # stop at the first round that is no better; "patience": after early_stopping such rounds
+    stop_rule: str = "patience"  # stop after early_stopping rounds that are no better; "library": at the first one
     max_depth: int = 7
     learning_rate: float = 0.1
     subsample: float = 0.8
@@ -82,6 +86,13 @@ class TreeParams:
     max_bins: int = 256
     threshold: float = 0.5
     seed: int = 42
+    engine: str = "histogram"  # boosting over binned columns; "spark_ml": Spark's own trees
+    reg_lambda: float = 1.0  # this and what follows: "histogram" only
+    min_child_weight: float = 0.0
+    min_split_gain: float = 0.0
+    quantile_alpha: float = 0.5
+    tweedie_power: float = 1.5
+    huber_delta: float = 1.0
     eval_metric: tuple[str, ...] = ()  # metrics to report besides the task's own; none: all of them
 
     @property
@@ -98,7 +109,7 @@ class OneVsRest:
 
 @dataclass
 class Trained:
-    model: Model | OneVsRest
+    model: Model | OneVsRest | boosting.Boosted
     params: TreeParams
     label: str
     features: list[str]
@@ -230,13 +241,17 @@ def train(
 ) -> Trained:
     """Fit trees; positives of a binary label are weighted by negatives / positives.
 
-    With validation rows the fit stops early by `stop_rule`. Multiclass fits one model per
-    class, each with its own stop.
+    With validation rows the fit stops early by `stop_rule`. The histogram engine boosts all classes
+    against one softmax; Spark's own trees fit one model per class, each with its own stop.
     """
     p = params or TreeParams()
     task = p.task
     start = time.time()
-    spark = train_df.sparkSession
+    spark = ship_package(train_df.sparkSession)
+    if p.engine not in ("histogram", "spark_ml"):
+        raise ValueError(f"engine {p.engine}: use histogram or spark_ml")
+    if p.stop_rule not in ("library", "patience"):
+        raise ValueError(f"stop_rule {p.stop_rule}: use library or patience")
     if spark.sparkContext.getCheckpointDir() is None:
         spark.sparkContext.setCheckpointDir(shared_dir(spark))
     features = feature_names(train_df, label)
@@ -245,6 +260,12 @@ def train(
         weight = positive_weight
         if weight is None:
             weight = evaluate.class_balance(train_df, label).first()["weight"]
+    if p.engine == "histogram" and p.objective != "multiclassova":
+        settings = replace(p, early_stopping=min(p.early_stopping, 1)) if p.stop_rule == "library" else p
+        boosted = boosting.fit(train_df, val_df, label, features, settings, float(weight))
+        return Trained(boosted, p, label, features, len(boosted.rounds), boosted.val_losses or [], time.time() - start)
+    if p.objective not in SPARK_ML_OBJECTIVES:
+        raise ValueError(f"{p.objective}: only the histogram engine trains it")
     # not persisted: the fit makes a binned copy of its own in a few passes and boosts on that
     rows = assemble(train_df, label, features, weight)
     val = None if val_df is None else assemble(val_df, label, features)
@@ -257,8 +278,43 @@ def train(
     return Trained(model, p, label, features, rounds, losses, time.time() - start)
 
 
+def _score_boosted(trained: Trained, df: DataFrame) -> DataFrame:
+    predicted = boosting.predict(trained.model, df)
+    value = F.col(predicted.columns[-1])
+    if trained.params.task == "multiclass":
+        return predicted.select(*df.columns, value.alias("probabilities"), evaluate.argmax(value).alias("predicted"))
+    scored = predicted.select(*df.columns, value[0].alias("score"))
+    if trained.params.task == "binary":
+        # raw margins have no threshold of their own: a margin of 0 is a probability of one half
+        at = 0.0 if trained.params.objective == "binary:logitraw" else trained.params.threshold
+        scored = scored.withColumn("predicted", evaluate.predict_label(F.col("score"), at))
+    return scored
+
+
+def trees(trained: Trained) -> DataFrame:
+    """Every node of a boosted model: round, class, node, parent, place, feature, threshold, sides, value, gain, cover, rows."""
+    return SparkSession.active().createDataFrame(boosting.tree_rows(trained.model), boosting.TREE_TABLE)
+
+
+#: Kinds of importance: splits of a feature, their mean and total gain, their mean and total weight.
+IMPORTANCE = {
+    "weight": F.count, "gain": F.avg, "total_gain": F.sum, "cover": F.avg, "total_cover": F.sum,
+}
+
+
+def importance_of_trees(nodes: DataFrame, features: Sequence[str], kind: str = "total_gain") -> DataFrame:
+    """(feature, importance), highest first, from a table of trees. Unused features have 0."""
+    column = "cover" if "cover" in kind else "gain"
+    used = nodes.filter("feature is not null").groupBy("feature").agg(IMPORTANCE[kind](column).cast("double").alias("importance"))
+    names = nodes.sparkSession.createDataFrame([(f,) for f in features], "feature string")
+    return names.join(used, "feature", "left").select(
+        "feature", F.coalesce("importance", F.lit(0.0)).alias("importance")).orderBy(F.desc("importance"), "feature")
+
+
 def score(trained: Trained, df: DataFrame) -> DataFrame:
     """`df` with `score` (binary probability or predicted number) or `predicted` and `probabilities`."""
+    if isinstance(trained.model, boosting.Boosted):
+        return _score_boosted(trained, df)
     names = [F.coalesce(F.col(c).cast("double"), F.lit(MISSING)) for c in trained.features]
     inputs = [f"_x{i}" for i in range(len(names))]
     wide = df.withColumns(dict(zip(inputs, names)))
@@ -303,11 +359,43 @@ def report(trained: Trained, scored: DataFrame) -> DataFrame:
 
 
 def round_losses(trained: Trained) -> DataFrame:
-    """(round, loss): the validation loss after each round, log-loss or RMSE."""
+    """(round, loss): the validation loss after each round that was looked at, in the objective's own metric."""
     rows = [(i, float(x)) for i, x in enumerate(trained.val_losses)]
     return SparkSession.active().createDataFrame(rows, "round int, loss double")
 
 
+def scores_by_round(trained: Trained, df: DataFrame) -> DataFrame:
+    """(label, round, score or probabilities): one row per row of `df` and round."""
+    predicted = boosting.predict(trained.model, df, by_round=True)
+    rows = predicted.select(F.col(trained.label).alias("label"), F.posexplode(predicted.columns[-1]).alias("round", "p"))
+    return rows.select("label", "round", F.col("p").alias("probabilities") if trained.params.task == "multiclass" else F.col("p")[0].alias("score"))
+
+
+def metric_curves(trained: Trained, parts: dict[str, DataFrame]) -> DataFrame:
+    """(part, round, metric, value): the task's metrics after every round, on the rows of each part.
+
+    Binary: logloss and auc_roc, regression: rmse and mae, multiclass: mlogloss and accuracy. One pass scores a row for
+    all rounds; the AUC goes by totals along (round, score), so no round is sorted in one task.
+    """
+    out = None
+    for part, df in parts.items():
+        rows = scores_by_round(trained, df)
+        if trained.params.task == "binary":
+            curve = evaluate.binary_curves(rows)
+        elif trained.params.task == "multiclass":
+            p = F.get("probabilities", F.col("label").cast("int"))
+            curve = rows.groupBy("round").agg(
+                F.avg(-F.ln(F.greatest(p, F.lit(1e-15)))).alias("mlogloss"),
+                F.avg((evaluate.argmax(F.col("probabilities")) == F.col("label")).cast("double")).alias("accuracy"))
+        else:
+            gap = F.col("score") - F.col("label")
+            curve = rows.groupBy("round").agg(F.sqrt(F.avg(gap * gap)).alias("rmse"), F.avg(F.abs(gap)).alias("mae"))
+        names = [c for c in curve.columns if c != "round"]
+        long = curve.unpivot("round", names, "metric", "value").select(F.lit(part).alias("part"), "round", "metric", "value")
+        out = long if out is None else out.unionByName(long)
+    return out
+
+
 def run_report(trained: Trained, scored: DataFrame, train_rows: int, val_rows: int, total_seconds: float) -> DataFrame:
     """`report` with the facts of the run: rounds, rows, times and the best validation loss."""
     context = scored.sparkSession.sparkContext
@@ -323,6 +411,8 @@ def run_report(trained: Trained, scored: DataFrame, train_rows: int, val_rows: i
     })
     if trained.val_losses:
         name = "best_val_" + DEFAULT_METRICS[trained.params.task][0]
+        if isinstance(trained.model, boosting.Boosted) and trained.params.task != "multiclass":
+            name = "best_val_" + objectives.metric_of(trained.params.objective)
         row = row.withColumn(name, F.lit(float(min(trained.val_losses))))
     return row
 
@@ -331,9 +421,18 @@ def params_row(trained: Trained) -> dict:
     return {**asdict(trained.params), "actual_rounds": trained.rounds}
 
 
-def importance(trained: Trained) -> DataFrame:
-    """(feature, importance), highest first; the share of the total gain. Unused features have 0."""
+def importance(trained: Trained, kind: str | None = None) -> DataFrame:
+    """(feature, importance), highest first; the share of the total gain, or a `kind` of IMPORTANCE. Unused features have 0."""
     spark = SparkSession.active()
+    if isinstance(trained.model, boosting.Boosted):
+        found = importance_of_trees(trees(trained), trained.features, kind or "total_gain")
+        if kind:
+            return found
+        total = found.agg(F.sum("importance")).scalar()
+        return found.select("feature", F.coalesce(F.try_divide("importance", total), F.lit(0.0)).alias("importance")).orderBy(
+            F.desc("importance"), "feature")
+    if kind:
+        raise ValueError("kinds of importance need the histogram engine")
     models = trained.model.models if trained.params.task == "multiclass" else [trained.model]
     totals = [sum(m.featureImportances[i] for m in models) / len(models) for i in range(len(trained.features))]
     pairs = [(name, float(x)) for name, x in zip(trained.features, totals)]

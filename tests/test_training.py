@@ -16,7 +16,8 @@ def data(spark):
     return train.drop("id").cache(), val.drop("id").cache()
 
 
-SMALL = model.TreeParams(num_rounds=6, early_stopping=0, max_depth=2, max_bins=32, colsample=1.0)
+SPARK_ML = dict(engine="spark_ml", stop_rule="library")
+SMALL = model.TreeParams(num_rounds=6, early_stopping=0, max_depth=2, max_bins=32, colsample=1.0, **SPARK_ML)
 
 
 def test_task_types():
@@ -27,7 +28,8 @@ def test_task_types():
         model.task_type("rank:ndcg")
     with pytest.raises(ValueError, match="unknown objective"):
         model.task_type("binary:logistc")
-    for name in ("count:poisson", "binary:hinge", "binary:logitraw", "cross_entropy"):
+    assert model.task_type("count:poisson") == "regression" and model.task_type("binary:hinge") == "binary"
+    for name in ("survival:cox", "survival:aft", "cross_entropy_lambda"):
         with pytest.raises(ValueError, match="not trained"):
             model.task_type(name)
     assert model.larger_is_better("auc") and not model.larger_is_better("rmse")
@@ -53,7 +55,7 @@ def test_binary(data):
 
 def test_patience_gives_the_model_of_the_best_round(data):
     train, val = data
-    p = model.TreeParams(num_rounds=40, early_stopping=2, stop_rule="patience", max_depth=4, max_bins=32, learning_rate=0.4)
+    p = model.TreeParams(num_rounds=40, early_stopping=2, stop_rule="patience", engine="spark_ml", max_depth=4, max_bins=32, learning_rate=0.4)
     trained = model.train(train, val, "target", p)
     assert trained.rounds < 40 and trained.model.getNumTrees == trained.rounds
     assert min(trained.val_losses) == trained.val_losses[trained.rounds - 1]
@@ -62,14 +64,14 @@ def test_patience_gives_the_model_of_the_best_round(data):
     assert loss == pytest.approx(min(trained.val_losses), rel=1e-6)
     assert [r["loss"] for r in model.round_losses(trained).orderBy("round").collect()] == trained.val_losses
     # the cut model is the one that so many rounds give
-    short = model.TreeParams(num_rounds=trained.rounds, early_stopping=0, max_depth=4, max_bins=32, learning_rate=0.4)
+    short = model.TreeParams(num_rounds=trained.rounds, early_stopping=0, max_depth=4, max_bins=32, learning_rate=0.4, engine="spark_ml")
     again = model.score(model.train(train, val, "target", short), val)
     assert scored.exceptAll(again).count() == 0
 
 
 def test_the_library_stops_in_one_run(data):
     train, val = data
-    trained = model.train(train, val, "target", model.TreeParams(num_rounds=60, max_depth=4, max_bins=32, learning_rate=0.4))
+    trained = model.train(train, val, "target", model.TreeParams(num_rounds=60, max_depth=4, max_bins=32, learning_rate=0.4, **SPARK_ML))
     assert 1 <= trained.rounds < 60 and len(trained.val_losses) == trained.rounds
     with pytest.raises(ValueError):
         model.train(train, val, "target", model.TreeParams(num_rounds=2, stop_rule="never"))
@@ -87,13 +89,13 @@ def test_eval_metrics(data):
 
 def test_regression_and_multiclass(data):
     train, val = data
-    p = model.TreeParams(objective="reg:squarederror", num_rounds=4, early_stopping=2, max_depth=2, max_bins=16, colsample=1.0)
+    p = model.TreeParams(objective="reg:squarederror", num_rounds=4, early_stopping=2, max_depth=2, max_bins=16, **SPARK_ML, colsample=1.0)
     numbers = train.withColumn("y", F.col("a") * 3).select("y", "a", "b")
     trained = model.train(numbers, numbers, "y", p)
     assert model.report(trained, model.score(trained, numbers)).first()["r2"] > 0.7
     classes = train.withColumn("k", F.floor(F.col("a") * 3).cast("int")).select("k", "a", "b")
-    p = model.TreeParams(objective="multi:softprob", num_rounds=2, early_stopping=0, max_depth=2, max_bins=16, colsample=1.0)
-    stopped = model.train(classes, classes, "k", model.TreeParams(objective="multi:softprob", num_rounds=3, max_depth=2, max_bins=16))
+    p = model.TreeParams(objective="multi:softprob", num_rounds=2, early_stopping=0, max_depth=2, max_bins=16, **SPARK_ML, colsample=1.0)
+    stopped = model.train(classes, classes, "k", model.TreeParams(objective="multi:softprob", num_rounds=3, max_depth=2, max_bins=16, **SPARK_ML))
     assert all(1 <= m.getNumTrees <= 3 for m in stopped.model.models)
     trained = model.train(classes, None, "k", p)
     scored = model.score(trained, classes)
