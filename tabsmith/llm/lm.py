@@ -6,11 +6,12 @@ product with the prediction. The most frequent words are classes of their own; t
 parted by their last bytes and, within a class, weighted by their counts over the whole corpus.
 So the probabilities of all words and of one unseen word per class add up to one.
 
-Training starts on a bounded set of documents in one task; every task then goes on from
-that over the documents it reads, and the parameters are averaged, weighted by their tokens.
-All positions of all training documents are trained on, unless `position_share` is below one;
-counts of words always cover every training document. Scoring looks up the `table_words` most frequent
-words in a broadcast table of that size; counts of all others come by a join.
+Texts are split twice: to count their words, and to write the classes of their tokens, from which the model is
+fitted and every text scored. Training starts in one task on documents drawn by a hash of their id, about `warm_tokens`
+tokens or half of a small corpus; every task then goes on from that over the other documents it reads, and the
+parameters are averaged, weighted by their tokens. So each position of each training document is trained on once, at every size; how documents are
+dealt to tasks, and with it the scores, depends on files and task counts. Counts of words cover every training document. The
+`table_words` most frequent words are looked up in a broadcast table of that size; counts of all others come by a join.
 
 Defined results: null and empty texts are one end token; rows with a null doc_id are held out; rows are
 scored one by one, whatever they share; without training rows every token has the same
@@ -29,7 +30,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tabsmith.llm.common import add_columns, map_rows, stage
+from tabsmith.llm.common import add_columns, free_name, map_rows, stage
 from tabsmith.llm.wordcounts import count_words, words_of
 
 #: The end of a text; no word is empty.
@@ -49,8 +50,7 @@ class Settings:
     noise_weight: float = 16.0
     batch: int = 2048
     rate: float = 0.1
-    warm_docs: int = 2000
-    position_share: float = 1.0
+    warm_tokens: int = 600_000
     held_out_of: int = 10
     smoothing: float = 0.1
 
@@ -176,16 +176,23 @@ class LogBilinear:
     def log10(self, seq: np.ndarray, at: np.ndarray, tables: np.ndarray) -> np.ndarray:
         """Normalised log10 probabilities of the classes at some positions."""
         out = np.empty(len(at))
+        # the bias is one more factor; where no score can be large, exponents need no shift
+        factors = np.vstack([self.q.T, self.b])
+        reach = np.abs(tables).max(axis=1).sum(axis=0) @ np.abs(self.q).T + np.abs(self.b)
+        shifted = not reach.max(initial=0) < 60
+        ones = np.ones(len(self.b), np.float32)
         for begin in range(0, len(at), self.settings.batch):
             part = at[begin:begin + self.settings.batch]
-            guess = sum(tables[p][x] for p, x in enumerate(self.contexts(seq, part)))
-            scores = guess @ self.q.T
-            scores += self.b
+            guess = np.ones((len(part), factors.shape[0]), np.float32)
+            guess[:, :-1] = sum(tables[p].take(x, axis=0) for p, x in enumerate(self.contexts(seq, part)))
+            scores = guess @ factors
             mine = scores[np.arange(len(part)), seq[part]].astype(float)
-            top = scores.max(axis=1, keepdims=True)
-            scores -= top
+            if shifted:
+                top = scores.max(axis=1)
+                scores -= top[:, None]
+                mine -= top
             np.exp(scores, out=scores)
-            out[begin:begin + len(part)] = mine - top[:, 0] - np.log(scores.sum(axis=1, dtype=np.float32).astype(float))
+            out[begin:begin + len(part)] = mine - np.log((scores @ ones).astype(float))
         return out / math.log(10)
 
 
@@ -218,135 +225,156 @@ def build_vocabulary(counts: DataFrame, settings: Settings) -> Vocabulary:
         {r["kind"]: (r["n"], r["v"]) for r in sums}, sum(r["n"] for r in sums), sum(r["v"] for r in sums), s)
 
 
-def _chunks(batches, vocabulary: Vocabulary, tokens: int, share: float):
-    """Sequences of about so many tokens and the positions to train on, from (ids, texts) batches."""
+def _chunks(batches, context: int, tokens: int):
+    """Sequences of about so many tokens and the positions to train on, from batches of (classes,)."""
     held, size = [], 0
-    rng = np.random.default_rng(0)
-
-    def chunk():
-        seq, at = _sequence(held, vocabulary.settings.context)
-        return seq, at[rng.random(len(at)) < share] if share < 1 else at
-
-    for ids, texts in batches:
-        for doc, text in zip(ids, texts):
-            words = words_of(text)
-            held.append(vocabulary.classes(words, vocabulary.numbers(words)))
-            size += len(words) + 1
+    for (sequences,) in batches:
+        for classes in sequences:
+            held.append(np.frombuffer(classes, np.int16))
+            size += len(held[-1])
             if size >= tokens:
-                rng = np.random.default_rng(abs(doc or 0))
-                yield chunk()
+                yield _sequence(held, context)
                 held, size = [], 0
     if held:
-        yield chunk()
+        yield _sequence(held, context)
 
 
-def train(docs: DataFrame, settings: Settings = Settings(), counts: DataFrame | None = None) -> tuple[Vocabulary, LogBilinear, DataFrame]:
-    """(vocabulary, model, counts of words) from the documents that are not held out."""
-    s = settings
-    learn = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").filter(~held_out("doc_id", s.held_out_of))
-    if counts is None:
-        counts = stage(count_words(learn.withColumn("grp", F.lit("")), "grp", extra=[END]).select("word", "n"), "word-counts")
-    vocabulary = build_vocabulary(counts, s)
+#: Columns of an encoded table besides those of the documents.
+_ENCODED = ("row", "tokens", "known", "base", "own", "rare", "classes", "key", "learnt")
+
+
+def encode(docs: DataFrame, vocabulary: Vocabulary) -> tuple[DataFrame, dict[str, str]]:
+    """`docs` without text, with the classes of the tokens and the parts of the scores that need no model; and these columns' names."""
     shared = docs.sparkSession.sparkContext.broadcast(vocabulary)
+    names = {n: free_name(docs, n) for n in _ENCODED}
 
-    def fit(start: bytes | None, share: float):
+    def run(texts):
+        table, out = shared.value, {n: [] for n in ("tokens", "known", "base", "own", "rare", "classes")}
+        for text in texts:
+            words = words_of(text)
+            numbers = table.numbers(words)
+            classes = table.classes(words, numbers)
+            there = numbers >= 0
+            inside = numbers[there]
+            rare = Counter([words[i] for i in np.flatnonzero(~there).tolist()])
+            out["tokens"].append(len(numbers))
+            # an end is known when there are training rows
+            out["known"].append(len(inside) - (0 if table.tokens else int((inside == 0).sum())))
+            out["base"].append(float(table.log_count[inside].sum()) - len(numbers) * table.base_norm)
+            out["own"].append(float(table.within[inside].sum()) - float(table.class_norm[classes[~there]].sum()))
+            out["rare"].append([{"word": w, "times": n} for w, n in rare.items()])
+            out["classes"].append(classes.astype(np.int16).tobytes())
+        return {names[n]: v for n, v in out.items()}
+
+    schema = "{tokens} long, {known} long, {base} double, {own} double, {rare} array<struct<word:binary,times:long>>, {classes} binary"
+    key = F.col("doc_id").cast("long")
+    named = docs.withColumns({names["key"]: key, names["learnt"]: ~held_out("doc_id", vocabulary.settings.held_out_of)})
+    found = add_columns(named, ["text"], run, schema.format(**names)).drop("text")
+    return stage(found.withColumn(names["row"], F.monotonically_increasing_id()), "encoded-texts"), names
+
+
+def fit(encoded: DataFrame, names: dict[str, str], vocabulary: Vocabulary) -> LogBilinear:
+    """The model, from the encoded documents that are not held out."""
+    s = vocabulary.settings
+    learn = encoded.filter(names["learnt"]).select(F.col(names["key"]).alias("key"), F.col(names["classes"]).alias("classes"))
+
+    def steps(start: bytes | None):
         def run(batches):
             from pyspark import TaskContext
 
-            words, task = shared.value, TaskContext.get().partitionId()
-            model = LogBilinear(s, words.noise)
+            model = LogBilinear(s, noise)
             if start:
                 model.load(np.frombuffer(start, np.float32))
-            if seen := model.fit(_chunks(batches, words, 200_000, share), seed=task):
+            if seen := model.fit(_chunks(batches, s.context, 200_000), seed=TaskContext.get().partitionId()):
                 yield {"tokens": [seen], "parameters": [model.flat()]}
 
         return run
 
-    schema = "tokens long, parameters array<float>"
-    docs_there = counts.filter(F.length("word") == 0).agg(F.sum("n")).first()[0] or 0  # an end per document
-    share = min(1.0, s.warm_docs / max(docs_there, 1))
-    drawn = F.pmod(F.xxhash64(F.lit("warm"), "doc_id"), F.lit(1 << 20)) < int(math.ceil(share * (1 << 20)))
-    warm = learn.filter(drawn).repartition(1)  # about warm_docs texts
-    first = map_rows(warm, ["doc_id", "text"], fit(None, 1.0), schema).collect()
+    noise, schema = vocabulary.noise, "tokens long, parameters array<float>"
+    share = min(0.5, s.warm_tokens / max(vocabulary.tokens, 1))
+    drawn = F.pmod(F.xxhash64(F.lit("warm"), "key"), F.lit(1 << 20)) < int(math.ceil(share * (1 << 20)))
+    first = map_rows(learn.filter(drawn).repartition(1), ["classes"], steps(None), schema).collect()  # about warm_tokens
     start = np.array(first[0]["parameters"], np.float32).tobytes() if first else None
-    fitted = map_rows(learn, ["doc_id", "text"], fit(start, s.position_share), schema)
+    fitted = map_rows(learn.filter(~drawn), ["classes"], steps(start), schema)
     each = fitted.select("tokens", F.posexplode("parameters").alias("at", "value"))
     mean = each.groupBy("at").agg((F.sum(F.col("value").cast("double") * F.col("tokens")) / F.sum("tokens")).alias("value"))
-    model = LogBilinear(s, vocabulary.noise)
+    model = LogBilinear(s, noise)
     if rows := mean.collect():  # a number per parameter
         flat = np.zeros(len(rows), np.float32)
         flat[[r["at"] for r in rows]] = [r["value"] for r in rows]
         model.load(flat)
-    return vocabulary, model, counts
+    elif start:
+        model.load(np.frombuffer(start, np.float32))
+    return model
 
 
-def score(docs: DataFrame, vocabulary: Vocabulary, model: LogBilinear, counts: DataFrame) -> DataFrame:
-    """`docs` without text, with n_tokens, n_known, train_tokens, base_score and score (log10 probabilities of the text)."""
+def count_training_words(docs: DataFrame, settings: Settings = Settings()) -> DataFrame:
+    """(word, n) over the documents that are not held out; an empty word counts their ends."""
+    learn = docs.filter(~held_out("doc_id", settings.held_out_of)).select("text", F.lit("").alias("grp"))
+    return stage(count_words(learn, "grp", extra=[END]).select("word", "n"), "word-counts")
+
+
+def train(docs: DataFrame, settings: Settings = Settings(), counts: DataFrame | None = None) -> tuple[Vocabulary, LogBilinear, DataFrame]:
+    """(vocabulary, model, counts of words) from the documents that are not held out."""
+    counts = count_training_words(docs, settings) if counts is None else counts
+    vocabulary = build_vocabulary(counts, settings)
+    learn = docs.select("doc_id", "text").filter(~held_out("doc_id", settings.held_out_of))
+    return vocabulary, fit(*encode(learn, vocabulary), vocabulary), counts
+
+
+def score_encoded(encoded: DataFrame, names: dict[str, str], vocabulary: Vocabulary, model: LogBilinear, counts: DataFrame) -> DataFrame:
+    """The columns of the documents without text, with n_tokens, n_known, train_tokens, base_score and score."""
     new = ["n_tokens", "n_known", "train_tokens", "base_score", "score"]
-    kept = [c for c in docs.columns if c.lower() not in new]
-    shared = docs.sparkSession.sparkContext.broadcast((vocabulary, model))
-    state: dict = {}
+    mine = set(names.values())
+    kept = [c for c in encoded.columns if c not in mine and c.lower() not in new]
+    shared = encoded.sparkSession.sparkContext.broadcast(model)
+    context = vocabulary.settings.context
+    found = free_name(encoded, "found")
 
-    def run(texts):
-        from pyspark import TaskContext
-
-        words_, model_ = shared.value
-        tables = state.get("tables")
-        if tables is None:
-            tables = state["tables"] = model_.tables()
-        task = TaskContext.get().partitionId()
-        if state.get("task") != task:
-            state["task"], state["row"] = task, 0
-        rows = {n: [] for n in ("row", "tokens", "known", "base", "own", "rare")}
-        held, size = [], 0
+    def run(sequences):
+        model_ = shared.value
+        tables, out, held, size = model_.tables(), [], [], 0
 
         def settle():
-            seq, at = _sequence(held, words_.settings.context)
+            seq, at = _sequence(held, context)
             starts = np.concatenate([[0], np.cumsum([len(h) for h in held])[:-1]])
-            sums = np.add.reduceat(model_.log10(seq, at, tables), starts)
-            base = len(rows["own"]) - len(held)
-            for i, value in enumerate(sums.tolist()):
-                rows["own"][base + i] += value
+            out.extend(np.add.reduceat(model_.log10(seq, at, tables), starts).tolist())
             held.clear()
 
-        for text in texts:
-            words = words_of(text)
-            numbers = words_.numbers(words)
-            classes = words_.classes(words, numbers)
-            there = numbers >= 0
-            inside = numbers[there]
-            rare = Counter([words[i] for i in np.flatnonzero(~there).tolist()])
-            # an end is known when there are training rows
-            known = len(inside) - (0 if words_.tokens else int((inside == 0).sum()))
-            rows["row"].append((task << 33) + state["row"])
-            state["row"] += 1
-            rows["tokens"].append(len(numbers))
-            rows["known"].append(known)
-            rows["base"].append(float(words_.log_count[inside].sum()) - len(numbers) * words_.base_norm)
-            rows["own"].append(float(words_.within[inside].sum()) - float(words_.class_norm[classes[~there]].sum()))
-            rows["rare"].append([{"word": w, "times": n} for w, n in rare.items()])
-            held.append(classes)
-            size += len(classes)
+        for classes in sequences:
+            held.append(np.frombuffer(classes, np.int16))
+            size += len(held[-1])
             if size >= 50_000:
                 settle()
                 size = 0
         if held:
             settle()
-        return {f"__{n}": v for n, v in rows.items()}
-
-    # the texts go no further than this step
-    named = docs.select(F.col("text").alias("__text"), *[c for c in kept if c != "text"])
-    schema = "__row long, __tokens long, __known long, __base double, __own double, __rare array<struct<word:binary,times:long>>"
-    local = stage(add_columns(named, ["__text"], run, schema).drop("__text"), "local-scores")
-    rare = local.select("__row", F.inline("__rare"))
-    known = counts.select("word", F.col("n").alias("__n"))
-    met = rare.join(known, "word", "left").withColumn("__n", F.coalesce("__n", F.lit(0)))
-    late = met.groupBy("__row").agg(
-        F.sum(F.col("times") * F.log10(F.col("__n") + vocabulary.settings.smoothing)).alias("__more"),
-        F.sum(F.when(F.col("__n") > 0, F.col("times")).otherwise(0)).alias("__met"))
-    joined = local.drop("__rare").join(late, "__row", "left")
-    more = F.coalesce("__more", F.lit(0.0))
+        return {found: out}
+
+    col = lambda n: F.col(names[n])
+    rare = encoded.select(col("row").alias("row"), F.inline(names["rare"]))
+    known = counts.select("word", F.col("n").alias("n"))
+    met = rare.join(known, "word", "left").withColumn("n", F.coalesce("n", F.lit(0)))
+    late = met.groupBy(F.col("row").alias(names["row"])).agg(
+        F.sum(F.col("times") * F.log10(F.col("n") + vocabulary.settings.smoothing)).alias(names["rare"]),
+        F.sum(F.when(F.col("n") > 0, F.col("times")).otherwise(0)).alias(names["learnt"]))
+    scored = add_columns(encoded.drop(names["rare"], names["learnt"], names["key"]), [names["classes"]], run, f"{found} double").drop(names["classes"])
+    joined = scored.join(late, names["row"], "left")
+    more = F.coalesce(col("rare"), F.lit(0.0))
     return joined.select(
-        *[c for c in kept if c != "text"], F.col("__tokens").alias("n_tokens"),
-        (F.col("__known") + F.coalesce("__met", F.lit(0))).alias("n_known"), F.lit(vocabulary.tokens).cast("long").alias("train_tokens"),
-        (F.col("__base") + more).alias("base_score"), (F.col("__own") + more).alias("score"))
+        *kept, col("tokens").alias("n_tokens"),
+        (col("known") + F.coalesce(col("learnt"), F.lit(0))).alias("n_known"), F.lit(vocabulary.tokens).cast("long").alias("train_tokens"),
+        (col("base") + more).alias("base_score"), (col("own") + F.col(found) + more).alias("score"))
+
+
+def score(docs: DataFrame, vocabulary: Vocabulary, model: LogBilinear, counts: DataFrame) -> DataFrame:
+    """`docs` without text, with n_tokens, n_known, train_tokens, base_score and score (log10 probabilities of the text)."""
+    return score_encoded(*encode(docs, vocabulary), vocabulary, model, counts)
+
+
+def train_and_score(docs: DataFrame, settings: Settings = Settings()) -> DataFrame:
+    """`score` of all documents by a model of those that are not held out; texts are encoded once for both."""
+    counts = count_training_words(docs, settings)
+    vocabulary = build_vocabulary(counts, settings)
+    encoded = encode(docs, vocabulary)
+    return score_encoded(*encoded, vocabulary, fit(*encoded, vocabulary), counts)

@@ -48,8 +48,7 @@ def op1_sharding(spark, sf_dir):
 @query("op2_lm_scoring")
 def op2_lm_scoring(spark, sf_dir):
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    vocabulary, model, counts = lm.train(docs)
-    scored = lm.score(docs, vocabulary, model, counts)
+    scored = lm.train_and_score(docs)
     return scored.select(
         "doc_id", lm.held_out("doc_id", 10).alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score")
 

@@ -7,7 +7,7 @@ import pytest
 
 from tabsmith.llm import lm
 
-SMALL = lm.Settings(word_classes=12, suffix_classes=5, table_words=30, size=8, noise=16, warm_docs=50, batch=256, position_share=1.0)
+SMALL = lm.Settings(word_classes=12, suffix_classes=5, table_words=30, size=8, noise=16, warm_tokens=1500, batch=256)
 
 
 def _corpus():
@@ -78,16 +78,68 @@ def test_odd_and_empty(odd):
     assert lm.score(odd.limit(0), vocabulary, model, counts).count() == 0
 
 
-def test_production_settings_train_on_every_position():
-    rows = _corpus()
+def _vocabulary(rows, s):
     words = Counter(w for _, text in rows for w in lm.words_of(text))
     top = sorted(words)
     totals = {}
     for w, n in [(lm.END, len(rows)), *words.items()]:
-        kind = zlib.crc32(w[-2:]) % 64
+        kind = zlib.crc32(w[-2:]) % s.suffix_classes
         totals[kind] = (totals.get(kind, (0, 0))[0] + n, totals.get(kind, (0, 0))[1] + 1)
-    s = lm.Settings()
     tokens = sum(words.values()) + len(rows)
-    vocabulary = lm.Vocabulary([lm.END, *top], [len(rows), *[words[w] for w in top]], totals, tokens, len(words) + 1, s)
-    chunks = lm._chunks([tuple(map(list, zip(*rows)))], vocabulary, 1_000, s.position_share)
-    assert lm.LogBilinear(s, vocabulary.noise).fit(chunks, seed=0) == tokens
+    return lm.Vocabulary([lm.END, *top], [len(rows), *[words[w] for w in top]], totals, tokens, len(words) + 1, s)
+
+
+def test_production_settings_train_on_every_position():
+    rows = _corpus()
+    s = lm.Settings()
+    vocabulary = _vocabulary(rows, s)
+    encoded = [vocabulary.classes(w := lm.words_of(t), vocabulary.numbers(w)).astype(np.int16).tobytes() for _, t in rows]
+    chunks = lm._chunks([(encoded[:100],), (encoded[100:],)], s.context, 1_000)
+    assert lm.LogBilinear(s, vocabulary.noise).fit(chunks, seed=0) == vocabulary.tokens
+
+
+@pytest.mark.parametrize("warm", [0, 1500, 10**9])
+def test_every_training_position_is_learnt_once(frame, monkeypatch, warm):
+    rows = _corpus()
+    df = frame(rows)
+    settings = lm.Settings(**{**vars(SMALL), "warm_tokens": warm})
+    counts = lm.count_training_words(df, settings)
+    vocabulary = lm.build_vocabulary(counts, settings)
+    encoded, names = lm.encode(df, vocabulary)
+    seen = []
+    plain = lm.map_rows
+
+    def watched(*args):
+        out = plain(*args)
+        seen.append(out.agg({"tokens": "sum"}).first()[0] or 0)
+        return out
+
+    monkeypatch.setattr(lm, "map_rows", watched)
+    lm.fit(encoded, names, vocabulary)
+    assert sum(seen) == vocabulary.tokens and seen[0] <= 0.7 * vocabulary.tokens
+
+
+def test_score_equals_a_token_by_token_computation(frame):
+    rows = _corpus()[:60] + [(2000, "red never seen 漢字"), (2001, None)]
+    vocabulary, model, counts = lm.train(frame(_corpus()), SMALL)
+    seen = {bytes(r["word"]): r["n"] for r in counts.collect()}
+    got = {r["doc_id"]: r["score"] for r in lm.score(frame(rows), vocabulary, model, counts).collect()}
+    r, c, q, b = (p.astype(float) for p in model.parameters())
+    for doc, text in rows:
+        tokens = [*(text or "").lower().encode().split(), lm.END]
+        classes = [0] * SMALL.context
+        total = 0.0
+        for t in tokens:
+            rank = vocabulary.number.get(t, SMALL.word_classes)
+            k = rank if rank < SMALL.word_classes else SMALL.word_classes + vocabulary.suffix(t)
+            guess = sum(r[classes[-1 - p]] @ c[p] for p in range(SMALL.context))
+            scores = q @ guess + b
+            total += (scores[k] - np.log(np.exp(scores - scores.max()).sum()) - scores.max()) / math.log(10)
+            if k >= SMALL.word_classes:
+                total += math.log10(seen.get(t, 0) + 0.1) - vocabulary.class_norm[k]
+            classes.append(k)
+        assert got[doc] == pytest.approx(total, abs=1e-3)
+    far = lm.LogBilinear(SMALL, vocabulary.noise)
+    far.q *= 10_000  # scores far beyond what an exponent bears
+    seq = np.array([0, 0, 0, 0, 3, 1, 2], np.int16)
+    assert np.isfinite(far.log10(seq, np.arange(4, 7), far.tables())).all()
