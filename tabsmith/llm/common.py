@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 from collections.abc import Callable, Iterator, Sequence
+from functools import wraps
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -46,6 +47,30 @@ def free_name(df: DataFrame, name: str) -> str:
     return name
 
 
+def shielded(operator: Callable[..., DataFrame]) -> Callable[..., DataFrame]:
+    """An operator whose own columns begin with two underscores, for tables that have such columns too.
+
+    Those of the table go through it under other names, also where an argument names them, and come back under their own.
+    """
+
+    @wraps(operator)
+    def run(df: DataFrame, *args, **settings) -> DataFrame:
+        renamed: dict[str, str] = {}
+        for c in df.columns:
+            if c.startswith("__"):
+                name = free_name(df, f"kept{c}")
+                while name.lower() in {n.lower() for n in renamed.values()}:
+                    name += "_"
+                renamed[c] = name
+        if not renamed:
+            return operator(df, *args, **settings)
+        own = lambda x: renamed.get(x, x) if isinstance(x, str) else [own(y) for y in x] if isinstance(x, list) else x
+        out = operator(df.withColumnsRenamed(renamed), *map(own, args), **{k: own(v) for k, v in settings.items()})
+        return out.withColumnsRenamed({name: c for c, name in renamed.items()})
+
+    return run
+
+
 #: Rows that become Python objects at once.
 SLICE_ROWS = 1_000
 

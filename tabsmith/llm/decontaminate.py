@@ -2,7 +2,8 @@
 
 Every window of `n` consecutive words of a benchmark item is hashed; the set of distinct
 windows is joined to the hashes of all windows of the documents, broadcast when its counted
-size allows and shuffled otherwise, and hits are verified word by word.
+size allows, and hits are verified word by word. A larger set is shuffled: a document's window then is a hash and a
+position, and the words of the few documents that are hit are read once more to verify them.
 
 Defined results: null and empty texts have no words; items without words are ignored, items
 of fewer words are one window; a document's rows that share doc_id and text are judged alike;
@@ -14,7 +15,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tabsmith.llm.common import ascii_lower, stage, text_or_empty
+from tabsmith.llm.common import ascii_lower, shielded, stage, text_or_empty
 
 #: Fixed value: everything but letters, digits and characters beyond ASCII parts words.
 BETWEEN_WORDS = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
@@ -58,23 +59,39 @@ def contaminated_spans(docs: DataFrame, benchmark: DataFrame, n: int = 13) -> Da
     """doc_id, body (xxhash64 of the text), start, len (in words), items: every verified window hit."""
     windows = stage(benchmark_windows(benchmark, n), "benchmark-windows")
     sizes = {r["len"]: r["count"] for r in windows.groupBy("len").count().collect()}  # at most n rows
-    found = windows.hint("broadcast") if sum(sizes.values()) <= BROADCAST_WINDOWS else windows
+    few = sum(sizes.values()) <= BROADCAST_WINDOWS
+    found = windows.hint("broadcast") if few else windows
     found = found.select(F.col("len").alias("win_len"), F.col("hash").alias("win_hash"), "win_words", "items")
     tokens = docs.select(
         F.col("doc_id"), F.xxhash64(text_or_empty()).alias("body"), words(text_or_empty()).alias("w"))
-    hits = None
-    for length in sorted(sizes):
-        starts = F.sequence(F.lit(0), F.size("w") - length)
-        at = tokens.filter(F.size("w") >= length).select("doc_id", "body", "w", F.explode(starts).alias("start"))
-        hashed = at.withColumn("win_hash", _window_hash("w", F.col("start"), length))
-        part = hashed.join(found.filter(F.col("win_len") == length), "win_hash").filter(
-            F.slice("w", F.col("start") + 1, length) == F.col("win_words"))
-        part = part.select("doc_id", "body", "start", F.lit(length).alias("len"), "items")
-        hits = part if hits is None else hits.unionByName(part)
-    if hits is None:  # no benchmark item has words
-        hits = tokens.select(
+    if not sizes:  # no benchmark item has words
+        return tokens.select(
             "doc_id", "body", F.lit(0).alias("start"), F.lit(n).alias("len"), F.array(F.lit("")).alias("items")).filter(F.lit(False))
-    return hits
+    # all lengths in one pass over the texts
+    at = tokens.filter(F.size("w") > 0).select("doc_id", "body", "w", F.explode(F.sequence(F.lit(0), F.size("w") - 1)).alias("start"))
+    if len(sizes) == 1:
+        length = F.lit(next(iter(sizes)))
+        at = at.withColumn("len", length).filter(F.col("start") + length <= F.size("w"))
+    else:
+        at = at.withColumn("len", F.explode(F.array(*map(F.lit, sorted(sizes))))).filter(F.col("start") + F.col("len") <= F.size("w"))
+    hashed = F.lit(None).cast("long")
+    for length in sorted(sizes):
+        own = _window_hash("w", F.col("start"), length)
+        hashed = own if len(sizes) == 1 else F.when(F.col("len") == length, own).otherwise(hashed)
+    at = at.withColumn("win_hash", hashed)
+    same = lambda start: F.slice("w", start + 1, F.size("win_words")) == F.col("win_words")
+    if few:
+        hits = at.join(found, (F.col("len") == F.col("win_len")) & (at["win_hash"] == found["win_hash"])).filter(same(F.col("start")))
+        return hits.select("doc_id", "body", "start", "len", "items")
+    hits = at.select("doc_id", "body", "start", "len", "win_hash").join(
+        found, (F.col("len") == F.col("win_len")) & (at["win_hash"] == found["win_hash"])).select(
+        F.col("doc_id").alias("hit_doc"), F.col("body").alias("hit_body"), "start", "len", "win_words", "items").distinct()
+    # rows that share doc_id and text have one text; few columns on the left, and no text is sorted
+    texts = tokens.join(
+        hits.select("hit_doc", "hit_body").distinct().hint("shuffle_hash"),
+        tokens["doc_id"].eqNullSafe(F.col("hit_doc")) & (tokens["body"] == F.col("hit_body")), "left_semi").dropDuplicates(["doc_id", "body"])
+    checked = texts.hint("shuffle_hash").join(hits, texts["doc_id"].eqNullSafe(hits["hit_doc"]) & (texts["body"] == hits["hit_body"]))
+    return checked.filter(same(F.col("start"))).select("doc_id", "body", "start", "len", "items")
 
 
 def _with_verdict(docs: DataFrame, benchmark: DataFrame, n: int, share: int) -> DataFrame:
@@ -104,6 +121,7 @@ def _with_verdict(docs: DataFrame, benchmark: DataFrame, n: int, share: int) ->
         ((n_hit > 0) & (n_hit * share >= F.col("__words"))).alias("contaminated")).alias("__verdict"))
 
 
+@shielded
 def judge(docs: DataFrame, benchmark: DataFrame, n: int = 13, share: int = 20) -> DataFrame:
     """`docs` with n_words, n_hit, n_items, hit_items (sorted) and contaminated.
 
@@ -115,6 +133,7 @@ def judge(docs: DataFrame, benchmark: DataFrame, n: int = 13, share: int = 20) -
     return _with_verdict(docs, benchmark, n, share).select(*kept, "__verdict.*")
 
 
+@shielded
 def remove_contaminated(docs: DataFrame, benchmark: DataFrame, n: int = 13, share: int = 20) -> DataFrame:
     """The documents that are not contaminated, with the columns of `docs`."""
     return _with_verdict(docs, benchmark, n, share).filter("not __verdict.contaminated").select(*docs.columns)

@@ -23,7 +23,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tabsmith.llm.common import add_columns, stage, text_or_empty
+from tabsmith.llm.common import add_columns, shielded, stage, text_or_empty
 
 SHINGLE_SEED = 42
 
@@ -148,6 +148,7 @@ def _with_key(docs: DataFrame) -> DataFrame:
 _KEY = ["__doc", "__nodoc", "__body"]
 
 
+@shielded
 def near_duplicates(docs: DataFrame, width: int = 3, max_bits: int = 3, segment_bits: int = 2) -> DataFrame:
     """`docs` with fingerprint (16 hexadecimal digits) and component_id, the smallest doc_id that links reach."""
     new = [F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id"]
@@ -162,6 +163,7 @@ def near_duplicates(docs: DataFrame, width: int = 3, max_bits: int = 3, segment_
     return joined.select(*kept, F.col("__fp").alias("fingerprint"), F.col("__component").alias("component_id"))
 
 
+@shielded
 def keep_first(docs: DataFrame, width: int = 3, max_bits: int = 3, segment_bits: int = 2) -> DataFrame:
     """One document of each component, that with the smallest doc_id, with the columns of `docs`.
 

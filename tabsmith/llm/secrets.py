@@ -21,7 +21,7 @@ from itertools import product
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tabsmith.llm.common import text_or_empty
+from tabsmith.llm.common import shielded, text_or_empty
 
 
 @dataclass(frozen=True)
@@ -199,6 +199,7 @@ def _matches(rule: Rule, order: int) -> Column:
     return F.aggregate(pairs, empty, add, lambda acc: acc["out"])
 
 
+@shielded
 def scan(docs: DataFrame, rules=RULES) -> DataFrame:
     """`docs` with spans: an array of (start, rule, end, kind), by start, then by the rules' order."""
     kept = [c for c in docs.columns if c.lower() != "spans"]

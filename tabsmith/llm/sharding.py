@@ -24,6 +24,8 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from tabsmith.llm.common import shielded
+
 #: Cells of equal width that the ring is looked up by, and parts an arc's rows are ranked in.
 RING_BITS, ARC_PARTS = 12, 32
 
@@ -62,6 +64,7 @@ def _rows(spark, values: list[dict], schema: str) -> DataFrame:
     return spark.range(1).select(F.inline(F.from_json(F.lit(json.dumps(values)), f"array<struct<{schema}>>")))
 
 
+@shielded
 def assign(df: DataFrame, key: str, shards: int, virtual_nodes: int = 64, slack: float = 0.0, ties: list[str] | None = None) -> DataFrame:
     """`df` with shard and slot (gapless from 0 within a shard).
 

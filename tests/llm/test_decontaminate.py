@@ -1,8 +1,10 @@
 import re
+import time
 
 import numpy as np
 import pytest
 from odd_rows import ODD
+from pyspark.sql import functions as F
 
 from tabsmith.llm import decontaminate
 
@@ -80,3 +82,27 @@ def test_null_items_are_ignored_only_without_words(spark, frame):
     benchmark = spark.createDataFrame([(None, "one two three")], "item_id long, text string")
     got = decontaminate.judge(frame([(1, "one two three four")]), benchmark).first()
     assert (got["n_hit"], got["n_items"]) == (3, 0)
+
+
+def test_shuffled_windows_of_long_texts_carry_no_words(spark, frame, monkeypatch):
+    rng = np.random.default_rng(2)
+    texts = [(i, " ".join(f"w{k}" for k in rng.integers(0, 5000, 8000))) for i in range(20)]
+    items = [(0, " ".join(texts[3][1].split()[100:130])), (1, "one two three")]
+    benchmark = spark.createDataFrame(items, "item_id long, text string")
+    seconds = {}
+    for windows in (200_000, 0):
+        monkeypatch.setattr(decontaminate, "BROADCAST_WINDOWS", windows)
+        start = time.time()
+        rows = decontaminate.judge(frame(texts), benchmark).collect()
+        seconds[windows] = time.time() - start
+        assert {r["doc_id"]: r["n_hit"] for r in rows if r["n_hit"]} == {3: 30}
+    assert seconds[0] < 2 * seconds[200_000] + 5
+
+
+def test_internal_names_of_users_survive(spark, frame):
+    benchmark = spark.createDataFrame([(1, "one two")], "item_id long, text string")
+    names = ["__words", "__body", "__hit", "__items", "__doc", "__hit_body", "__verdict", "kept__words", "in0"]
+    df = frame([(1, "one two"), (2, "none")]).select("doc_id", "text", *[F.lit(f"mine {n}").alias(n) for n in names])
+    for out in (decontaminate.judge(df, benchmark), decontaminate.remove_contaminated(df, benchmark)):
+        assert out.columns[:len(df.columns)] == df.columns
+        assert all(r[n] == f"mine {n}" for r in out.collect() for n in names)
