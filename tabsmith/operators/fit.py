@@ -107,6 +107,10 @@ def fit(
     return state
 
 
+#: Categories of a column that are looked up without a join.
+INLINE_CODES = 100
+
+
 def fill_missing(df: DataFrame, values: dict) -> DataFrame:
     """Constants in place of NULL (and NaN), for the columns that exist."""
     return df.fillna({c: v for c, v in values.items() if c in df.columns})
@@ -115,13 +119,23 @@ def fill_missing(df: DataFrame, values: dict) -> DataFrame:
 def encode_labels(df: DataFrame, state: FitState, suffix: str = "_encoded") -> DataFrame:
     """A float code column for each fitted label column; a value not seen in the fit gives NULL.
 
-    Codes are joined without a hint: a small table is broadcast by Spark's own threshold; with a
-    large one, values are unique in it, so a hot value is split by the adaptive skew join.
+    Columns of up to INLINE_CODES categories are looked up in a map within the projection. Codes of others are joined without a
+    hint: Spark's own threshold decides on a broadcast; with a large table, values are unique in it, so a hot value is
+    split by the adaptive skew join.
     """
+    present = [c for c in state.sizes if c in df.columns]
+    small = [c for c in present if state.sizes[c] <= INLINE_CODES]
+    inline: dict[str, list] = {c: [] for c in small}
+    if small:
+        for r in state.codes.filter(F.col("name").isin(*small)).collect():  # INLINE_CODES rows per column at most
+            inline[r["name"]] += [F.lit(r["value"]), F.lit(float(r["code"])).cast("float")]
     out = df
-    for c in state.sizes:
-        if c in df.columns:
-            table = state.codes.filter(F.col("name") == c).select(
-                F.col("value").alias(c), F.col("code").cast("float").alias(c + suffix))
-            out = out.join(table, c, "left")
-    return out.select(*df.columns, *[c + suffix for c in state.sizes if c in df.columns])
+    for c in present:
+        if c in inline:
+            found = F.try_element_at(F.create_map(*inline[c]), F.col(c)) if inline[c] else F.lit(None)
+            out = out.withColumn(c + suffix, found.cast("float"))
+            continue
+        table = state.codes.filter(F.col("name") == c).select(
+            F.col("value").alias(c), F.col("code").cast("float").alias(c + suffix))
+        out = out.join(table, c, "left")
+    return out.select(*df.columns, *[c + suffix for c in present])

@@ -39,7 +39,12 @@ def running_totals(df: DataFrame, order: Sequence[str], sums: Sequence[str], des
 
 def dense_codes(values: DataFrame) -> DataFrame:
     """(name, value, code) of distinct (name, value): codes 0..n-1 within each name, in sorted order."""
-    numbered = running_totals(values.select("name", "value", F.lit(1).alias("one")), ["name", "value"], ["one"])
-    # one row per name
-    starts = numbered.groupBy("name").agg(F.min("one_before").alias("start"))
-    return numbered.join(starts, "name").select("name", "value", (F.col("one_before") - F.col("start")).cast("long").alias("code"))
+    ranges = values.select("name", "value").repartitionByRange("name", "value")
+    dealt = stage(ranges.withColumn("_part", F.spark_partition_id()), "ranges")
+    earlier = Window.partitionBy("name").orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    # a name has one row per range that it is in: as many rows as names and ranges together
+    offsets = dealt.groupBy("name", "_part").agg(F.count(F.lit(1)).alias("n")).select(
+        "name", "_part", F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("before"))
+    nth = F.row_number().over(Window.partitionBy("name", "_part").orderBy("value")) - 1
+    return dealt.withColumn("nth", nth).join(F.broadcast(offsets), ["name", "_part"]).select(
+        "name", "value", (F.col("before") + F.col("nth")).cast("long").alias("code"))
