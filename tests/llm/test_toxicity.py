@@ -27,6 +27,26 @@ def test_learns_labels_and_spares_group_names(spark, frame):
     assert shift < abs(none.score(neutral) - none.score(neutral.replace("women", "people")))
 
 
+def test_the_shipped_strength_spares_groups_and_keeps_recall(spark, frame):
+    """Group terms go with the label, in the held-out rows too; the penalty takes them out of the score, not the insults."""
+    import zlib
+
+    rows, labels = _labelled(spark, 800)
+    shipped = toxicity.train(frame(rows), labels)
+    plain = toxicity.train(frame(rows), labels, Settings(counterfactual=0.0))
+    assert Settings().counterfactual == 1.0
+    held = [(i, t) for i, t in rows if zlib.crc32(str(i).encode()) % 5 == 0]
+    recall = lambda m: sum(m.score(t) >= 0.5 for i, t in held if i % 4 == 0) / sum(i % 4 == 0 for i, _ in held)
+    assert recall(shipped) >= recall(plain) == 1.0
+    assert not any(shipped.score(t) >= 0.5 for i, t in held if i % 4)
+    changes = {}
+    for name, model in (("shipped", shipped), ("plain", plain)):
+        swapped = [(t, t.replace(a, b)) for _, t in held for a in ("women", "muslims", "immigrants") for b in ("men", "people") if a in t.split()]
+        swapped += [(f"some say that {g} are kind", "some say that people are kind") for g in ("women", "muslims", "immigrants")]
+        changes[name] = sum(abs(model.score(x) - model.score(y)) for x, y in swapped) / len(swapped)
+    assert changes["shipped"] < 0.5 * changes["plain"]
+
+
 def test_odd_rows_and_no_labels(spark, odd):
     labels = spark.createDataFrame([(5, 1, 1), (5, 1, None), (6, 0, 0), (None, 0, 1), (99, 0, 1)], "doc_id long, quality int, toxic int")
     model = toxicity.train(odd, labels)
