@@ -40,7 +40,7 @@ DEFAULTS = {
     "tune": {
         "algorithms": {"depthwise": {}, "leafwise": {"objective": "binary", "min_child": 20}},
         "ranges": {}, "max_jobs": 20, "parallel_jobs": 4, "strategy": "random",
-        "metric": "auc_roc", "direction": None, "output": "trials",
+        "metric": "auc_roc", "direction": None, "output": "trials", "ledger": None, "seed": 42,
     },
 }
 TREE_KEYS = (
@@ -185,15 +185,23 @@ def run_tune(spark: SparkSession, c: dict, base: dict) -> dict:
     train, val, label = read_feature_tables(spark, base)
     fixed = {k: base[k] for k in TREE_KEYS}
     spaces = {"depthwise": tune.DEPTHWISE_SPACE, "leafwise": tune.LEAFWISE_SPACE}
-    draw = {"random": tune.random_trials, "grid": tune.grid_trials}[c["strategy"]]
+    in_turns = c["strategy"] == "bayesian"
+    draw = {"random": lambda space, n: tune.random_trials(space, n, c["seed"]), "grid": tune.grid_trials,
+            "bayesian": lambda space, n: (space, n)}[c["strategy"]]
     names = list(c["algorithms"])
     searches = {}
     for i, name in enumerate(names):
         # the budget is shared; the first algorithms take what is left over
         n = c["max_jobs"] // len(names) + (i < c["max_jobs"] % len(names))
         space = tune.space_from_config(c["ranges"][name]) if name in c["ranges"] else spaces[name]
-        searches[name] = (tree_params({**fixed, "eval_metric": (), **c["algorithms"][name]}), draw(space, n))
-    trials = stage(tune.tune(train, val, label, searches, c["metric"], c["parallel_jobs"]), "trials")
+        params = tree_params({**fixed, "eval_metric": (), **c["algorithms"][name]})
+        searches[name] = (params, *draw(space, n)) if in_turns else (params, draw(space, n))
+    if in_turns:
+        found = tune.tune_in_turns(
+            train, val, label, searches, c["metric"], c["parallel_jobs"], c["seed"], c["direction"], c["ledger"])
+    else:
+        found = tune.tune(train, val, label, searches, c["metric"], c["parallel_jobs"], c["ledger"])
+    trials = stage(found, "trials")
     direction = c["direction"] or tune.direction_of(c["metric"])
     trials.coalesce(1).write.mode("overwrite").json(c["output"])
     return {

@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
+import hashlib
 import itertools
 import json
 import math
 import random
 from collections.abc import Mapping, Sequence
 from concurrent.futures import ThreadPoolExecutor
-from dataclasses import dataclass, fields, replace
+from dataclasses import asdict, dataclass, fields, replace
 
 from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame
@@ -95,6 +96,92 @@ def grid_trials(space: Space, n: int | None = None, per_axis: int = 3) -> list[d
     return [dict(point) for point in itertools.product(*axes)]
 
 
+def _density(x: Sequence[float], points: Sequence[Sequence[float]], width: float) -> float:
+    """Of a mixture of bells around the points and an even share over the unit cube."""
+    height = (width * math.sqrt(2 * math.pi)) ** len(x)
+    bells = sum(math.exp(-sum((a - b) ** 2 for a, b in zip(x, p)) / (2 * width**2)) / height for p in points)
+    return (bells + 1.0) / (len(points) + 1)
+
+
+def parzen_trials(
+    space: Space, done: Sequence[tuple[dict, float | None]], n: int, seed: int = 42, maximize: bool = True,
+    startup: int = 8, best_share: float = 0.2, candidates: int = 24, width: float = 0.15,
+) -> list[dict]:
+    """The next `n` points, given the (point, objective) of the trials so far; the same history and seed give the same points.
+
+    Up to `startup` trials points are drawn at random. Then the best share of them and the others give a Parzen density each,
+    over all settings together, with a width that shrinks with the trials; of some candidates drawn from the first density the one
+    that is likeliest under it against the second is taken, and keeps the rest of its batch off. Trials without an objective count among the others.
+    """
+    rng = random.Random(f"{seed}/{len(done)}")
+    found = [(p, v) for p, v in done if v is not None]
+    if len(found) < startup:
+        return [{name: r.draw(rng) for name, r in space.items()} for _ in range(n)]
+    spans = {name: float(r.high - r.low) or 1.0 for name, r in space.items()}
+    place = lambda p: [(p[name] - r.low) / spans[name] for name, r in space.items()]
+    ranked = sorted(found, key=lambda t: -t[1] if maximize else t[1])
+    some = max(2, round(best_share * len(ranked)))
+    best = [place(p) for p, _ in ranked[:some]]
+    rest = [place(p) for p, _ in ranked[some:]] + [place(p) for p, v in done if v is None]
+    width *= (startup / len(found)) ** (1 / 3)
+    out = []
+    for _ in range(n):
+        drawn = []
+        for _ in range(candidates):
+            centre = rng.choice([*best, None])
+            x = [rng.random() if centre is None else min(1.0, max(0.0, rng.gauss(c, width))) for c in centre or spans]
+            drawn.append((_density(x, best, width) / _density(x, rest, width), x))
+        x = max(drawn)[1]
+        rest.append(x)
+        point = {}
+        for (name, r), at in zip(space.items(), x):
+            value = r.low + spans[name] * at
+            point[name] = min(r.high, max(r.low, round(value))) if isinstance(r, Integer) else value
+        out.append(point)
+    return out
+
+
+LEDGER = "trial int, algorithm string, params string, rounds int, objective double, error string, metric string, fixed string"
+
+
+def _exists(spark, path: str) -> bool:
+    there = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return there.getFileSystem(spark._jsc.hadoopConfiguration()).exists(there)
+
+
+def _finished(spark, ledger: str | None) -> dict[tuple, tuple]:
+    """(algorithm, params, metric, fixed settings) -> (rounds, objective) of the trials that a ledger has."""
+    if not ledger or not _exists(spark, ledger):
+        return {}
+    rows = spark.read.schema(LEDGER).json(f"{ledger.rstrip('/')}/*").filter("error is null").collect()  # one row per trial
+    return {(r["algorithm"], r["params"], r["metric"], r["fixed"]): (r["rounds"], r["objective"]) for r in rows}
+
+
+def tune_in_turns(
+    train_df: DataFrame, val_df: DataFrame, label: str, searches: Mapping[str, tuple[TreeParams, Space, int]], metric: str = "auc_roc",
+    parallel: int = 4, seed: int = 42, direction: str | None = None, ledger: str | None = None,
+) -> DataFrame:
+    """Trials asked for in batches of `parallel`, each batch after what the earlier ones found.
+
+    `searches` gives, by algorithm name, the fixed parameters, the ranges and the number of trials.
+    """
+    maximize = _maximize(direction or direction_of(metric))
+    rows: list[tuple] = []
+    for name, (base, space, budget) in searches.items():
+        done: list[tuple[dict, float | None]] = []
+        while len(done) < budget:
+            points = parzen_trials(space, done, min(parallel, budget - len(done)), seed, maximize)
+            found = tune(train_df, val_df, label, {name: (base, points)}, metric, parallel, ledger, must_work=False).orderBy("trial").collect()
+            done += [(point, r["objective"]) for point, r in zip(points, found)]
+            rows += [(len(rows) + i, *r[1:]) for i, r in enumerate(found)]
+    if rows and all(r[-1] for r in rows):
+        raise RuntimeError(f"every trial failed, the first with: {rows[0][-1]}")
+    return train_df.sparkSession.createDataFrame(rows, TRIALS)
+
+
+TRIALS = "trial int, algorithm string, params string, rounds int, objective double, error string"
+
+
 def tune(
     train_df: DataFrame,
     val_df: DataFrame,
@@ -102,15 +189,19 @@ def tune(
     searches: Mapping[str, tuple[TreeParams, Sequence[dict]]],
     metric: str = "auc_roc",
     parallel: int = 4,
+    ledger: str | None = None,
+    must_work: bool = True,
 ) -> DataFrame:
     """One row per trial: (trial, algorithm, params, objective).
 
     `searches` gives, by algorithm name, the fixed parameters and the points to
     try. Trials run side by side as jobs of one application; every trial is
     scored on the whole validation table. A failed trial has its error and no objective; an
-    objective that is no number counts as none.
+    objective that is no number counts as none. Every finished trial is written below `ledger`, if it is given; a search that starts
+    again there takes over what is finished under the same settings and metric. With `must_work` it is an error if all trials fail.
     """
     spark = train_df.sparkSession
+    finished = _finished(spark, ledger)
     trials = [(name, replace(base, **point), point) for name, (base, points) in searches.items() for point in points]
     weight = None
     if any(p.task == "binary" for _, p, _ in trials):
@@ -120,10 +211,17 @@ def tune(
     def run(number: int) -> tuple:
         name, params, point = trials[number]
         said = json.dumps(point, sort_keys=True)
+        key = (name, said, column, json.dumps(asdict(params), sort_keys=True))
+        if key in finished:
+            return number, name, said, *finished[key], None
         try:
             trained = train(train_df, val_df, label, params, weight)
             value = report(trained, score(trained, val_df)).first()[column]
-            return number, name, said, trained.rounds, value if value is None or math.isfinite(value) else None, None
+            row = number, name, said, trained.rounds, value if value is None or math.isfinite(value) else None, None
+            if ledger:  # a folder per trial, as several are written at a time
+                path = f"{ledger.rstrip('/')}/{hashlib.md5(repr(key).encode()).hexdigest()}"
+                spark.createDataFrame([(*row, *key[2:])], LEDGER).coalesce(1).write.mode("overwrite").json(path)
+            return row
         except Exception as e:  # noqa: BLE001 - one failed trial must not cost the others
             return number, name, said, None, None, str(e)[:500]
 
@@ -131,10 +229,9 @@ def tune(
         # one wrapper per trial: each copies the caller's local properties
         jobs = [pool.submit(inheritable_thread_target(spark)(run), i) for i in range(len(trials))]
         results = [j.result() for j in jobs]
-    if results and all(r[-1] for r in results):
+    if must_work and results and all(r[-1] for r in results):
         raise RuntimeError(f"every trial failed, the first with: {results[0][-1]}")
-    return spark.createDataFrame(
-        results, "trial int, algorithm string, params string, rounds int, objective double, error string")
+    return spark.createDataFrame(results, TRIALS)
 
 
 def _maximize(direction: str) -> bool:
