@@ -177,3 +177,26 @@ def regression_metrics(spark, sf_dir):
     report = evaluate.regression_report(fitted, "y", "p")
     return report.select("task_type", F.round("rmse", 6).alias("rmse"), F.round("mae", 6).alias("mae"),
                          F.round("r2", 9).alias("r2"))
+
+
+@query("group_ranking", """
+with r as (
+    select l_orderkey as g, 2 * (l_returnflag = 'R')::int + (l_linestatus = 'F')::int as y,
+        row_number() over (partition by l_orderkey order by l_discount desc, l_linenumber, l_partkey, l_suppkey, l_extendedprice) as pos,
+        row_number() over (partition by l_orderkey order by 2 * (l_returnflag = 'R')::int + (l_linestatus = 'F')::int desc) as ideal
+    from lineitem),
+p as (select *, sum((y > 0)::int) over (partition by g order by pos) as upto from r),
+per_group as (
+    select g, sum((pow(2, y) - 1) / log2(pos + 1)) filter (where pos <= 3) as dcg, sum((pow(2, y) - 1) / log2(ideal + 1)) filter (where ideal <= 3) as most,
+        sum((y > 0)::int) filter (where pos <= 3) as hits, sum((y > 0)::int * upto / pos) filter (where pos <= 3) as precisions,
+        least(sum((y > 0)::int), 3) as possible
+    from p group by g)
+select count(*) as groups, round(avg(case when most > 0 then dcg / most else 1 end), 9) as ndcg,
+    round(avg(case when possible > 0 then precisions / possible else 1 end), 9) as map, round(avg(hits / 3), 9) as precision
+from per_group""")
+def group_ranking(spark, sf_dir):
+    """Orders as groups, their items ranked by discount."""
+    items = spark.read.parquet(f"{sf_dir}/lineitem.parquet").withColumn(
+        "relevance", 2 * (F.col("l_returnflag") == "R").cast("int") + (F.col("l_linestatus") == "F").cast("int"))
+    row = evaluate.group_ranking(items, "l_orderkey", "relevance", "l_discount", 3, ("l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice"))
+    return row.select("groups", *[F.round(c, 9).alias(c) for c in ("ndcg", "map", "precision")])

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tabsmith.functions.numeric import clip, ratio_or_zero
@@ -229,3 +229,33 @@ def regression_report(df: DataFrame, label: str, predicted: str) -> DataFrame:
         "mae",
         F.when(sst > 0, 1 - sse / sst).when(sse == 0, 1.0).otherwise(0.0).alias("r2"),
     )
+
+
+def group_ranking(
+    df: DataFrame, group: str, label: str, score: str, k: int = 10, ties: tuple[str, ...] = (), without_hits: float = 1.0,
+) -> DataFrame:
+    """(groups, ndcg, map, precision) at `k`, the mean over groups, in one row.
+
+    Rows rank by score within their group, the highest first, then by `ties`. The gain of a label is 2^label - 1; a label above 0 is a
+    hit. Groups without a hit count with `without_hits` in ndcg and map. Only a group's first k rows by score and by label
+    are shuffled from each task, so a hot group costs k rows per task. Rows without a group are left out.
+    """
+    rows = df.filter(F.col(group).isNotNull()).select(F.col(group).alias("g"), F.col(label).cast("double").alias("y"), F.col(score).alias("s"), *[F.col(c).alias(f"t{i}") for i, c in enumerate(ties)])
+    tied = [f"t{i}" for i in range(len(ties))]
+    at = lambda *order: F.row_number().over(Window.partitionBy("g").orderBy(*order))
+    discount = 1.0 / F.log2(F.col("at") + 1)
+    gain = (F.pow(F.lit(2.0), F.col("y")) - 1) * discount
+    hit = (F.col("y") > 0).cast("double")
+    best = rows.withColumn("at", at(F.desc("s"), *tied)).filter(F.col("at") <= k)
+    hits_upto = F.sum(hit).over(Window.partitionBy("g").orderBy("at"))
+    found = best.withColumn("upto", hits_upto).groupBy("g").agg(
+        F.sum(gain).alias("dcg"), F.sum(hit).alias("hits"), F.sum(hit * F.col("upto") / F.col("at")).alias("precisions"))
+    ideal = rows.select("g", "y").withColumn("at", at(F.desc("y"))).filter(F.col("at") <= k).groupBy("g").agg(
+        F.sum(gain).alias("most"), F.sum(hit).alias("possible"))  # hits up to k
+    joined = found.join(ideal, "g")
+    none = F.lit(float(without_hits))
+    return joined.agg(
+        F.count(F.lit(1)).alias("groups"),
+        F.avg(F.when(F.col("most") > 0, F.col("dcg") / F.col("most")).otherwise(none)).alias("ndcg"),
+        F.avg(F.when(F.col("possible") > 0, F.col("precisions") / F.col("possible")).otherwise(none)).alias("map"),
+        F.avg(F.col("hits") / k).alias("precision"))

@@ -1,3 +1,4 @@
+import math
 import os
 import random
 import statistics
@@ -280,3 +281,21 @@ def test_log_lines(spark):
     got = {(r["name"], r["metric"]) for r in logs.extract_metrics(other, logs.LGBM_PATTERNS).collect()}
     assert got == {("lgbm:eval-auc", 0.6), ("lgbm:eval-l2", 0.2)}
     assert logs._literal_start("ab?c") == "a"
+
+
+def test_group_ranking(spark):
+    from tabsmith.operators.evaluate import group_ranking
+
+    rows = [("a", 2, 0.9), ("a", 0, 0.8), ("a", 1, 0.7), ("b", 0, 0.5), ("b", 3, 0.4), ("c", 0, 0.1), (None, 1, 0.3)]
+    df = spark.createDataFrame(rows, "g string, y int, s double")
+    got = group_ranking(df, "g", "y", "s", 2).first()
+    dcg = {"a": 3.0, "b": 7 / math.log2(3)}
+    ideal = {"a": 3 + 1 / math.log2(3), "b": 7.0}
+    assert got["groups"] == 3
+    assert got["ndcg"] == pytest.approx((dcg["a"] / ideal["a"] + dcg["b"] / ideal["b"] + 1) / 3)
+    assert got["map"] == pytest.approx((1 / 2 + 1 / 2 + 1) / 3)
+    assert got["precision"] == pytest.approx((1 / 2 + 1 / 2 + 0) / 3)
+    assert "WindowGroupLimit" in group_ranking(df, "g", "y", "s", 2)._jdf.queryExecution().toString()
+    hot = spark.range(3000).selectExpr("if(id < 1000, 'hot', string(id)) as g", "int(id % 3) as y", "double(id % 7) as s")
+    assert group_ranking(hot, "g", "y", "s", 5, ("y",)).first()["groups"] == 2001
+    assert group_ranking(df.limit(0), "g", "y", "s").first()["groups"] == 0

@@ -1,6 +1,5 @@
 """Searches that learn from their trials, and searches that go on after their driver was lost."""
 
-
 import pytest
 from pyspark.sql import functions as F
 
