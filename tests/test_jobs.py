@@ -100,6 +100,7 @@ def test_job_from_raw_loans_to_metrics(spark, raw, tmp_path):
     at = lambda name: str(tmp_path / name)
     ordered = raw.repartitionByRange(3, "src_ord").sortWithinPartitions("src_ord").drop("src_ord")
     tables.write_table(synthesis.append_sentinels(ordered, 900_000_000), at("raw.csv"), "csv")
+    os.makedirs(os.path.join(spark.conf.get("spark.checkpoint.dir"), "tabsmith"), exist_ok=True)  # nothing may be staged yet
     before = set(os.listdir(os.path.join(spark.conf.get("spark.checkpoint.dir"), "tabsmith")))
     config = job.merge_config({
         "run": ["features", "train", "tune"],
