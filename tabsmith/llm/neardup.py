@@ -23,6 +23,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tabsmith.llm import shingles
 from tabsmith.llm.common import add_columns, shielded, stage, text_or_empty
 
 SHINGLE_SEED = 42
@@ -128,12 +129,26 @@ def components(edges: DataFrame, max_rounds: int = 100) -> DataFrame:
         edges.select(F.col("a").alias("node"), F.col("a").alias("root")).distinct())
 
 
-def _memberships(docs: DataFrame, width: int, max_bits: int, segment_bits: int) -> DataFrame:
-    """doc_id, body (xxhash64 of the text), fp, root (the component's smallest fingerprint), component_id, per row."""
+def _memberships(docs: DataFrame, width: int, max_bits: int, segment_bits: int, overlap: tuple[int, int] | None = None) -> DataFrame:
+    """doc_id, body (xxhash64 of the text), fp, root (one fingerprint of the component), component_id, per row."""
     narrow = docs.select("doc_id", "text").withColumn("body", F.xxhash64(text_or_empty()))
-    hashed = stage(fingerprints(narrow, width).select("doc_id", "body", "fp"), "fingerprints")
+    if overlap:
+        with_sets = add_columns(narrow, ["text"], lambda texts: {
+            "fp": [simhash(t or "", width) for t in texts], **shingles.described(texts)}, f"fp long, {shingles.DESCRIBED}")
+        hashed = stage(with_sets.drop("text"), "fingerprints")
+    else:
+        hashed = stage(fingerprints(narrow, width).select("doc_id", "body", "fp"), "fingerprints")
     prints = stage(hashed.groupBy("fp").agg(F.min("doc_id").alias("first_doc")), "distinct-fingerprints")
-    roots = stage(components(links(prints.select("fp"), max_bits, segment_bits)), "component-roots")
+    near = links(prints.select("fp"), max_bits, segment_bits)
+    if overlap:
+        overlaps = shingles.Overlaps(hashed, narrow.select("body", "text"), overlap)
+        near = near.unionByName(overlaps.first_links())
+    roots = stage(components(near), "component-roots")
+    if overlap:
+        # links between components join these; the root of what is joined stands for all of it
+        joined = components(overlaps.links_between(roots)).select(F.col("node").alias("part"), F.col("root").alias("whole"))
+        of = prints.select(F.col("fp").alias("node")).join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
+        roots = stage(of.join(joined, F.col("root") == F.col("part"), "left").select("node", F.coalesce("whole", "root").alias("root")), "joined-roots")
     rooted = prints.join(roots, prints["fp"] == roots["node"], "left").select(
         "fp", "first_doc", F.coalesce("root", "fp").alias("root"))
     names = rooted.groupBy("root").agg(F.min("first_doc").alias("component_id"))
@@ -164,13 +179,15 @@ def near_duplicates(docs: DataFrame, width: int = 3, max_bits: int = 3, segment_
 
 
 @shielded
-def keep_first(docs: DataFrame, width: int = 3, max_bits: int = 3, segment_bits: int = 2) -> DataFrame:
+def keep_first(docs: DataFrame, width: int = 3, max_bits: int = 3, segment_bits: int = 2, overlap: tuple[int, int] | None = None) -> DataFrame:
     """One document of each component, that with the smallest doc_id, with the columns of `docs`.
 
+    With `overlap`, a fraction such as (4, 5), texts whose sets of five-word shingles are that similar (shared shingles to all
+    shingles) are linked as well.
     Of rows that share the doc_id, the one with the smallest hash of its text stays; of rows
     that share both, any one. A component without any doc_id keeps one row in the same way.
     """
-    found = _memberships(docs, width, max_bits, segment_bits)
+    found = _memberships(docs, width, max_bits, segment_bits, overlap)
     first = found.groupBy("root").agg(F.min(F.struct(
         F.col("doc_id").isNull().alias("__nodoc"), F.coalesce("doc_id", F.lit(0)).alias("__doc"), F.col("body").alias("__body"))).alias("f"))
     joined = _with_key(docs).join(first.select("f.*").hint("shuffle_hash"), _KEY)

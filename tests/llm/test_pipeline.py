@@ -4,7 +4,7 @@ import pytest
 import test_bpe
 import test_decontaminate
 import test_linededup
-import test_neardup
+import test_shingles
 
 import corpus_pipeline
 from tabsmith.llm import toxicity
@@ -18,7 +18,7 @@ def test_run_equals_brute_force_stages(spark, sf_dir):
     model = toxicity.train(docs, labels)
     rows = [(r["doc_id"], r["text"]) for r in docs.select("doc_id", "text").collect() if model.score(r["text"]) < 0.5]
     rows = [(i, text) for i, text, _, _ in test_linededup.brute(rows)]
-    root = test_neardup.brute_components([test_neardup.brute_print(t) for _, t in rows])
+    root = test_shingles.brute_groups([t for _, t in rows])
     first = {}
     for (i, _), r in zip(rows, root):
         first[r] = min(first.get(r, i), i)
