@@ -30,9 +30,10 @@ def drop_shared_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document with the smallest doc_id of each group of near copies."""
+    """The document with the smallest doc_id of each group of near copies: fingerprints within 3 bits, or five-word
+    shingles of which four fifths are shared."""
     prepare(spark)
-    return neardup.keep_first(docs)
+    return neardup.keep_first(docs, overlap=(4, 5))
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
