@@ -116,7 +116,8 @@ def clean_table(spark, sf_dir):
 def _read_in_order(spark, sf_dir, kind):
     """The cleaned table of a written one, by the order in which its rows are read."""
     path = f"{work_path(spark, 'raw')}.{kind}"
-    ordered = loans(spark, sf_dir).repartitionByRange(6, "src_ord").sortWithinPartitions("src_ord")
+    # as many ranges as the shuffle gives, so that no writer takes a share that grows with the table
+    ordered = loans(spark, sf_dir).repartitionByRange("src_ord").sortWithinPartitions("src_ord")
     tables.write_table(ordered.select(*preset.RAW_COLUMNS), path, kind)
     raw = tables.read_table(spark, path, kind, preset.raw_schema(), position=True)
     return loan_features.clean(raw).select("loan_id", "loan_status", "city", "phone_number", "employer_name")
