@@ -35,6 +35,8 @@ from tabsmith.llm.common import map_rows, stage
 CHUNK_WORDS, HELD_WORDS = 500_000, 1_000_000
 #: Pairs of a bucket, about: they are added up in one task.
 BUCKET_PAIRS = 2_000_000
+#: Parts of a language whose phrases are ranked apart before the rank over the language.
+RANK_PARTS = 64
 #: What parts pieces, and the byte that stands for it, which UTF-8 text never has.
 PARTING, PARTED = b".,;:!?\n\x0b\x0c\r", b"\xff"
 _MARKED = bytes.maketrans(b"\t" + PARTING, b" " + PARTED * len(PARTING))
@@ -294,7 +296,13 @@ def collocations(docs: DataFrame, least: int = 100, longest: int = 5, swallowed:
 
 
 def best_collocations(docs: DataFrame, top: int = 2000, **settings) -> DataFrame:
-    """The `top` collocations of every language with their rank: by score, then count, then the phrase's bytes."""
-    order = Window.partitionBy("lang").orderBy(F.desc("score"), F.desc("a"), "phrase")
-    ranked = collocations(docs, **settings).withColumn("rank", F.row_number().over(order).cast("long"))
+    """The `top` collocations of every language with their rank: by score, then count, then the phrase's bytes.
+
+    A language's phrases are ranked in RANK_PARTS parts by a hash of the phrase first; its first `top` are among the first `top`
+    of their parts, so the rank over the language reads at most `top` rows of each part, however many phrases it has.
+    """
+    order = [F.desc("score"), F.desc("a"), "phrase"]
+    part = F.pmod(F.xxhash64("phrase"), F.lit(RANK_PARTS))
+    found = collocations(docs, **settings).withColumn("rank", F.row_number().over(Window.partitionBy("lang", part).orderBy(*order)))
+    ranked = found.filter(F.col("rank") <= top).withColumn("rank", F.row_number().over(Window.partitionBy("lang").orderBy(*order)).cast("long"))
     return ranked.filter(F.col("rank") <= top).select("lang", "rank", "phrase", "a", "l", "r", "n", "score")

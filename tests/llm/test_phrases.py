@@ -107,3 +107,13 @@ def test_numbers_pack(spark):
 def test_joins_are_sort_merge_joins(spark):
     plan = phrases.collocations(frame(spark, corpus(1, 20)), least=2)._jdf.queryExecution().executedPlan().toString()
     assert "SortMergeJoin" in plan and "ShuffledHashJoin" not in plan
+
+
+def test_rank_of_a_language_reads_a_bounded_share(spark, monkeypatch):
+    # one window by lang ranked all phrases of a language in one task; now each part gives it at most `top`
+    rows = corpus(8, 150)
+    monkeypatch.setattr(phrases, "RANK_PARTS", 3)
+    df = phrases.best_collocations(frame(spark, rows), top=4, least=3)
+    assert got(df) == brute(rows, 3, top=4)
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("row_number()") >= 2 and "xxhash64(phrase" in plan
