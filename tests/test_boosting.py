@@ -223,3 +223,15 @@ def test_a_saved_model_scores_alike(rows, spark, tmp_path):
     assert boosting.tree_rows(back) == boosting.tree_rows(trained.model)
     again = model.Trained(back, trained.params, "k", back.features, 2)
     assert model.score(again, df).exceptAll(model.score(trained, df)).count() == 0
+
+
+def test_fits_on_the_same_frames_bin_them_once(rows, monkeypatch):
+    df = rows[0].drop("k")
+    train, val = df.filter("xxhash64(a, b, c) % 3 <> 0"), df.filter("xxhash64(a, b, c) % 3 = 0")
+    params = [model.TreeParams(**{**PLAIN, "max_depth": d}) for d in (2, 3)]
+    want = [boosting.tree_rows(model.train(train.select("*"), val.select("*"), "y", p).model) for p in params]
+    made = []
+    sketch = boosting.bin_edges
+    monkeypatch.setattr(boosting, "bin_edges", lambda *a, **k: made.append(1) or sketch(*a, **k))
+    got = [boosting.tree_rows(model.train(train, val, "y", p).model) for p in params]
+    assert got == want and len(made) == 1
