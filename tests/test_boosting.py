@@ -235,3 +235,53 @@ def test_fits_on_the_same_frames_bin_them_once(rows, monkeypatch):
     monkeypatch.setattr(boosting, "bin_edges", lambda *a, **k: made.append(1) or sketch(*a, **k))
     got = [boosting.tree_rows(model.train(train, val, "y", p).model) for p in params]
     assert got == want and len(made) == 1
+
+
+@pytest.mark.parametrize("label", ["y", "k"])
+def test_tasks_that_keep_their_blocks_grow_the_same_trees(rows, monkeypatch, label):
+    df = rows[0].drop("k" if label == "y" else "y")
+    train, val = df.filter("xxhash64(a, b, c) % 3 <> 0"), df.filter("xxhash64(a, b, c) % 3 = 0")
+    monkeypatch.setattr(boosting, "STAGED_ROWS", 32)
+    monkeypatch.setattr(boosting, "BLOCK_ROWS", 64)
+    monkeypatch.setattr(boosting, "TASK_ROWS", 100)
+    monkeypatch.setattr(boosting, "HELD_ROUNDS", 5)
+    p = model.TreeParams(
+        objective="binary:logistic" if label == "y" else "multi:softprob", num_rounds=40, early_stopping=4, max_depth=4, learning_rate=0.4, colsample=0.7)
+    held = model.train(train, val, label, p).model
+    monkeypatch.setattr(boosting, "HELD_BYTES", 0)
+    jobs = model.train(train, val, label, p).model
+    assert boosting.tree_rows(held) == boosting.tree_rows(jobs) and 5 < held.trained_rounds == jobs.trained_rounds
+    assert np.allclose(held.val_losses, jobs.val_losses, rtol=1e-12) and np.allclose(held.train_losses, jobs.train_losses, rtol=1e-12)
+
+
+def test_many_rounds_take_few_jobs(rows, spark):
+    df = rows[0].drop("k")
+    context = spark.sparkContext
+    context.setJobGroup("few-jobs", "rounds")
+    trained = model.train(df, None, "y", model.TreeParams(num_rounds=30, early_stopping=0, max_depth=5))
+    context.setLocalProperty("spark.jobGroup.id", None)
+    assert trained.rounds == 30 and len(context.statusTracker().getJobIdsForGroup("few-jobs")) < 30
+
+
+def test_best_splits_are_those_of_each_node_alone():
+    settings = model.TreeParams(min_child=3, min_child_weight=0.5)
+    rng = np.random.default_rng(3)
+    sizes = [1, 4, 7, 2]
+    starts = np.repeat(np.cumsum([0, *sizes])[:-1], sizes)
+    for missing in (True, False):
+        sums = rng.integers(0, 6, (150, 3, sum(sizes))).astype(float)
+        sums[:, 0] -= 2
+        if not missing:
+            sums[:, :, np.unique(starts)] = 0
+        totals = np.full((150, 3), 40.0)
+        for own, whole, (gain, cell, left_side, left) in zip(sums, totals, boosting.best_splits(sums, totals, starts, settings)):
+            best = (-np.inf, None, True, None)
+            for side in (True, False):
+                for c in range(sum(sizes)):
+                    g, h, n = part = own[:, starts[c]:c + 1].sum(axis=1) - (0 if side else own[:, starts[c]])
+                    if min(n, whole[2] - n) >= 3 and min(h, whole[1] - h) >= 0.5:
+                        found = g**2 / (h + 1) + (whole[0] - g) ** 2 / (whole[1] - h + 1)
+                        found = (found - whole[0] ** 2 / (whole[1] + 1)) / 2
+                        if found > best[0]:
+                            best = (found, c, side, part.tolist())
+            assert (gain, cell, left_side, left) == best if best[1] is not None else gain == -np.inf
